@@ -27,9 +27,9 @@ USERS = """users AS (
          CAST(DATE '2020-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS DATE) AS signup_date,
          CAST(c_custkey % 100 AS INTEGER) AS total_purchases,
          CAST(c_acctbal AS DECIMAL(12,2)) AS total_spent,
-         list_distinct([['ECONOMY','SMALL','MEDIUM','PROMO','STANDARD','LARGE'][c_custkey % 6 + 1],
-          ['ECONOMY','SMALL','MEDIUM','PROMO','STANDARD','LARGE'][(c_custkey * 5 + 2) % 6 + 1]]) AS favorites
-  FROM customer)"""
+         CASE WHEN c_custkey % 6 = (c_custkey * 5 + 2) % 6 THEN [g[c_custkey % 6 + 1]]
+              ELSE [g[c_custkey % 6 + 1], g[(c_custkey * 5 + 2) % 6 + 1]] END AS favorites
+  FROM customer, (SELECT ['ECONOMY','SMALL','MEDIUM','PROMO','STANDARD','LARGE'] AS g))"""
 
 CONTENTS = """contents AS (
   SELECT 'content-' || p_partkey AS content_id, p_name AS title,

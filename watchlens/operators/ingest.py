@@ -43,7 +43,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     parsed = messages.select(
         *[F.col(name).alias("message_timestamp" if name == "timestamp" else name) for name in kept],
         text.alias("raw_value"),
-        data.alias("data"),
+        _evaluated_once(data, "data"),
     )
     numbers = ("duration_minutes", "watched_minutes")
     flat = parsed.select(
@@ -58,6 +58,16 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     return timed.withColumn("reject_reason", _reject_reason()).drop(_CORRUPT)
 
 
+def _evaluated_once(value: Column, name: str) -> Column:
+    """A column that filters further up refer to instead of repeating its expression.
+
+    Spark pushes filters below projections by copying the expressions they use,
+    which would parse the text again for every field a filter looks at. It does
+    not push them below a generator.
+    """
+    return F.explode(F.array(value)).alias(name)
+
+
 def _missing(name: str) -> Column:
     return ~F.coalesce(F.length(name) > 0, F.lit(False))
 
