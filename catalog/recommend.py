@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.sqltext import CONTENTS, EV, RECS, USERS, ab, with_
 from watchlens.operators import experiment, recommend as ops
+from watchlens.session import materialize
 from watchlens.sources import testbed
 
 NOW = "2024-01-20 00:05:00"
@@ -17,6 +18,18 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return testbed.user_events(spark, folder)
 
 
+def _matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(ops.interactions(_events(spark, folder)), "interactions")
+
+
+def _visits(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(ops.session_visits(_events(spark, folder)), "visits")
+
+
+def _popularity(spark: SparkSession, folder: str) -> DataFrame:
+    return ops.popularity(ops.interactions(_events(spark, folder)))
+
+
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
@@ -26,40 +39,40 @@ def _now() -> Column:
 
 
 def user_cf_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(ops.user_cf(ops.interactions(_events(spark, folder))), "score")
+    return _rounded(ops.user_cf(_matrix(spark, folder)), "score")
 
 
 def similar_users(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(ops.similar_users(ops.interactions(_events(spark, folder)), "user-00007"), "similarity")
+    return _rounded(ops.similar_users(_matrix(spark, folder), "user-00007"), "similarity")
 
 
 def als_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.als_recommendations(ops.interactions(_events(spark, folder)))
+    return ops.als_recommendations(_matrix(spark, folder))
 
 
 def session_recs(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(ops.session_based(_events(spark, folder)), "score")
+    return _rounded(ops.session_based(_visits(spark, folder)), "score")
 
 
 def popular_by_genre(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.popular_by_genre(ops.popularity(_events(spark, folder)), testbed.contents(spark, folder))
+    return ops.popular_by_genre(_popularity(spark, folder), testbed.contents(spark, folder))
 
 
-def _preference(spark: SparkSession, folder: str) -> DataFrame:
+def _preference(spark: SparkSession, folder: str, scores: DataFrame) -> DataFrame:
     users = testbed.user_profiles(spark, folder)
     # Every seventh user likes a genre that no content has.
     odd = F.substring_index("user_id", "-", -1).cast("int") % 7 == 0
     users = users.withColumn("favorite_categories", F.when(odd, F.array(F.lit("OPERA"))).otherwise(F.col("favorite_categories")))
-    return ops.preference_match(users, testbed.contents(spark, folder), ops.popularity(_events(spark, folder)))
+    return ops.preference_match(users, testbed.contents(spark, folder), scores)
 
 
 def blended_recs(spark: SparkSession, folder: str) -> DataFrame:
-    events = _events(spark, folder)
-    scores = ops.popularity(events)
+    matrix = _matrix(spark, folder)
+    scores = ops.popularity(matrix)
     sources = {
-        ops.COLLABORATIVE: ops.user_cf(ops.interactions(events), 4),
-        ops.SESSION: ops.session_based(events, 4),
-        ops.PREFERENCE: _preference(spark, folder),
+        ops.COLLABORATIVE: ops.user_cf(matrix, 4),
+        ops.SESSION: ops.session_based(_visits(spark, folder), 4),
+        ops.PREFERENCE: _preference(spark, folder, scores),
         ops.POPULAR: ops.popular_for_all(testbed.user_profiles(spark, folder), scores),
     }
     return _rounded(ops.blend(sources), "score")
@@ -117,11 +130,11 @@ QUERIES = {
     "user_cf_topk": user_cf_topk,
     "similar_users": similar_users,
     "als_topk": als_topk,
-    "session_cooccurrence": lambda spark, folder: ops.cooccurrence(_events(spark, folder)),
+    "session_cooccurrence": lambda spark, folder: ops.cooccurrence(_visits(spark, folder)),
     "session_recs": session_recs,
-    "popular_contents": lambda spark, folder: ops.popular(ops.popularity(_events(spark, folder))),
+    "popular_contents": lambda spark, folder: ops.popular(_popularity(spark, folder)),
     "popular_by_genre": popular_by_genre,
-    "preference_match": _preference,
+    "preference_match": lambda spark, folder: _preference(spark, folder, _popularity(spark, folder)),
     "blended_recs": blended_recs,
     "latest_recs": latest_recs,
     "recs_ttl_fallback": recs_ttl_fallback,

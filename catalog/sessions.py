@@ -81,8 +81,9 @@ def latest_sessions_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def active_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    sessions = ops.session_summary(testbed.user_events(spark, folder))
-    return ops.active_sessions(sessions, 6 * 3600).select("session_id", "user_id", "end_time", "event_count")
+    events = testbed.user_events(spark, folder)
+    now = events.agg(F.max("timestamp_ts")).scalar()
+    return ops.active_sessions(ops.session_summary(events), 6 * 3600, now).select("session_id", "user_id", "end_time", "event_count")
 
 
 def latest_user_events(spark: SparkSession, folder: str) -> DataFrame:

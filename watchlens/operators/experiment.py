@@ -51,20 +51,19 @@ def attribute(recommendations: DataFrame, events: DataFrame, horizon_seconds: in
     # A recommendation sees its stretch and the next one, so each summary row is
     # offered to both; a recommendation's row is never repeated.
     keys = ["user_id", "content_id", "__stretch"]
-    here = summary.select(*keys, F.struct("__last_click", "__last_watch").alias("__here"), F.lit(None).alias("__next"))
-    ahead = summary.select(
-        "user_id", "content_id", (F.col("__stretch") - 1).alias("__stretch"),
-        F.lit(None).alias("__here"), F.struct("__first_click", "__first_watch").alias("__next"),
-    )
-    merged = here.unionByName(ahead).groupBy(*keys).agg(
-        F.max("__here").alias("__here"), F.max("__next").alias("__next")
+    own, ahead = ("__last_click", "__last_watch"), ("__first_click", "__first_watch")
+    none = F.lit(None).cast(summary.schema["__first_click"].dataType)
+    here = summary.select(*keys, *own, *[none.alias(name) for name in ahead])
+    nearby = summary.select(
+        "user_id", "content_id", (F.col("__stretch") - 1).alias("__stretch"), *[none.alias(name) for name in own], *ahead
     )
+    merged = here.unionByName(nearby).groupBy(*keys).agg(*[F.max(name).alias(name) for name in (*own, *ahead)])
     created = F.col("created_at")
     until = created + F.make_dt_interval(secs=F.lit(horizon_seconds))
 
     def outcome(kind: str) -> Column:
-        same = F.col(f"__here.__last_{kind}") >= created
-        after = F.col(f"__next.__first_{kind}") <= until
+        same = F.col(f"__last_{kind}") >= created
+        after = F.col(f"__first_{kind}") <= until
         return F.coalesce(same, F.lit(False)) | F.coalesce(after, F.lit(False))
 
     joined = recommendations.withColumn("__stretch", stretch("created_at")).join(merged, keys, "left")

@@ -37,6 +37,18 @@ def _ranked(scores: DataFrame, k: int, by: str = "user_id") -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _unknown(parts: DataFrame, known: DataFrame) -> DataFrame:
+    """Sum the partial scores of each (user, content), leaving out known pairs.
+
+    Known pairs are marked in the same aggregation instead of an anti-join of their own.
+    """
+    marked = parts.withColumn("known", F.lit(0)).unionByName(
+        known.select("user_id", "content_id", F.lit(0.0).alias("score"), F.lit(1).alias("known"))
+    )
+    sums = marked.groupBy("user_id", "content_id").agg(F.sum("score").alias("score"), F.max("known").alias("known"))
+    return sums.where(F.col("known") == 0).drop("known")
+
+
 def _both_ways(pairs: DataFrame, value: str) -> DataFrame:
     """Unordered pairs as (content, candidate) in both directions, without a second pass."""
     def way(a: str, b: str) -> Column:
@@ -63,23 +75,16 @@ def user_cf(matrix: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
     users, where one popular content pairs up everyone who saw it. The same sum
     is added up contents-first instead: user x content x content, bounded by the
     catalogue however many users there are. Contents the user knows are left
-    out; scores are scaled to 0..1 per user.
+    out; scores are scaled to 0..1 per user. `matrix` is read several times;
+    keep it as a table.
     """
     affinity = _both_ways(content_affinity(matrix), "affinity")
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("user_id")))
     unit = matrix.select("user_id", "content_id", (F.col("weight") / norm).alias("unit"))
     parts = sharded_join(unit, affinity, ["content_id"], F.col("user_id")).select(
-        "user_id", F.col("candidate").alias("content_id"), (F.col("unit") * F.col("affinity")).alias("score"),
-        F.lit(0).alias("known"),
-    )
-    # Known contents are marked in the same aggregation instead of an anti-join of its own.
-    known = matrix.select("user_id", "content_id", F.lit(0.0).alias("score"), F.lit(1).alias("known"))
-    scores = (
-        parts.unionByName(known)
-        .groupBy("user_id", "content_id")
-        .agg(F.sum("score").alias("score"), F.max("known").alias("known"))
-        .where(F.col("known") == 0)
+        "user_id", F.col("candidate").alias("content_id"), (F.col("unit") * F.col("affinity")).alias("score")
     )
+    scores = _unknown(parts, matrix)
     mine = Window.partitionBy("user_id")
     low, high = F.min("score").over(mine), F.max("score").over(mine)
     spread = F.try_divide(F.col("score") - low, high - low)
@@ -140,49 +145,41 @@ def als_recommendations(
     return flat.join(users, "user_id_no").join(contents, "content_id_no").select("user_id", "content_id", "score", "rank")
 
 
-def session_contents(events: DataFrame) -> DataFrame:
-    return events.groupBy("session_id", "content_id").agg(F.count(F.lit(1)).alias("events")).select("session_id", "content_id")
+def session_visits(events: DataFrame) -> DataFrame:
+    """Which session of which user touched which content, and when last."""
+    return events.groupBy("session_id", "user_id", "content_id").agg(F.max("timestamp_ts").alias("last_ts"))
 
 
-def cooccurrence(events: DataFrame) -> DataFrame:
+def cooccurrence(visits: DataFrame) -> DataFrame:
     """In how many sessions two contents appear together, per pair (left < right)."""
-    pairs = group_pairs(session_contents(events), ["session_id"], "content_id")
+    pairs = group_pairs(visits.select("session_id", "user_id", "content_id"), ["session_id", "user_id"], "content_id")
     return pairs.groupBy("left_content_id", "right_content_id").agg(F.count(F.lit(1)).alias("sessions"))
 
 
-def session_based(events: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
+def session_based(visits: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
     """Contents that share sessions with those of the user's latest session.
 
     A content's score is the sum, over the contents of that session, of the
-    sessions both share divided by the sessions the latter has.
+    sessions both share divided by the sessions the latter has. `visits` is read
+    several times; keep it as a table.
     """
-    support = session_contents(events).groupBy("content_id").agg(F.count(F.lit(1)).alias("support"))
-    together = _both_ways(cooccurrence(events), "sessions").join(support, "content_id").select(
+    support = visits.groupBy("content_id").agg(F.count(F.lit(1)).alias("support"))
+    together = _both_ways(cooccurrence(visits), "sessions").join(support, "content_id").select(
         "content_id", "candidate", (F.col("sessions") / F.col("support")).alias("part")
     )
-    latest = events.groupBy("user_id").agg(F.max(F.struct("timestamp_ts", "session_id")).alias("last")).select(
+    latest = visits.groupBy("user_id").agg(F.max(F.struct("last_ts", "session_id")).alias("last")).select(
         "user_id", F.col("last.session_id").alias("session_id")
     )
-    current = latest.join(events.select("session_id", "user_id", "content_id"), ["session_id", "user_id"]).select(
-        "user_id", "content_id"
-    ).distinct()
+    current = visits.join(latest, ["user_id", "session_id"]).select("user_id", "content_id")
     parts = sharded_join(current, together, ["content_id"], F.col("user_id")).select(
-        "user_id", F.col("candidate").alias("content_id"), F.col("part").alias("score"), F.lit(0).alias("known")
+        "user_id", F.col("candidate").alias("content_id"), F.col("part").alias("score")
     )
-    known = current.select("user_id", "content_id", F.lit(0.0).alias("score"), F.lit(1).alias("known"))
-    scores = (
-        parts.unionByName(known)
-        .groupBy("user_id", "content_id")
-        .agg(F.sum("score").alias("score"), F.max("known").alias("known"))
-        .where(F.col("known") == 0)
-        .drop("known")
-    )
-    return _ranked(scores, k)
+    return _ranked(_unknown(parts, current), k)
 
 
-def popularity(events: DataFrame) -> DataFrame:
+def popularity(matrix: DataFrame) -> DataFrame:
     """Total interaction weight per content."""
-    return events.groupBy("content_id").agg(F.sum(interaction_weight(F.col("event_type"))).alias("score"))
+    return matrix.groupBy("content_id").agg(F.sum("weight").alias("score"))
 
 
 def popular(popular_scores: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
@@ -192,27 +189,29 @@ def popular(popular_scores: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> Dat
 
 def popular_by_genre(popular_scores: DataFrame, contents: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
     """The `k` contents of most weight in each genre; contents nobody touched weigh 0."""
-    scored = contents.select("content_id", "genre").join(popular_scores, "content_id", "left").select(
-        "content_id", "genre", F.coalesce("score", F.lit(0)).alias("score")
-    )
-    return _ranked(scored, k, by="genre")
+    return _ranked(_all_scored(contents.select("content_id", "genre"), popular_scores), k, by="genre")
 
 
-def _top_list(popular_scores: DataFrame, k: int) -> Column:
-    """The `k` most popular contents as one array value for the whole query."""
-    top = popular(popular_scores, k).agg(
+def _top_list(scored: DataFrame, k: int) -> Column:
+    """The `k` best contents as one array value for the whole query, best first."""
+    best = popular(scored, k).agg(
         F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "content_id"))).alias("items")
     )
-    return top.scalar()
+    plain = F.transform(
+        "items", lambda item: F.struct(item["content_id"].alias("content_id"), (-item["minus"]).alias("score"))
+    )
+    return best.select(plain).scalar()
 
 
 def popular_for_all(users: DataFrame, popular_scores: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
     """The most popular contents for every user."""
     listed = users.select("user_id", F.posexplode(_top_list(popular_scores, k)).alias("position", "item"))
-    return listed.select(
-        "user_id", F.col("item.content_id").alias("content_id"), (-F.col("item.minus")).alias("score"),
-        (F.col("position") + 1).alias("rank"),
-    )
+    return listed.select("user_id", "item.*", (F.col("position") + 1).alias("rank"))
+
+
+def _all_scored(contents: DataFrame, popular_scores: DataFrame) -> DataFrame:
+    """All contents with their popularity; contents nobody touched weigh 0."""
+    return contents.join(popular_scores, "content_id", "left").withColumn("score", F.coalesce("score", F.lit(0)))
 
 
 def preference_match(
@@ -231,7 +230,7 @@ def preference_match(
     matched = wanted.join(listed, "genre").groupBy("user_id").agg(
         F.sum("genre_size").alias("eligible"), F.flatten(F.collect_list("best")).alias("items")
     )
-    everything = popular_for_content_list(contents, popular_scores, k)
+    everything = _top_list(_all_scored(contents.select("content_id"), popular_scores), k)
     total = contents.agg(F.count(F.lit(1))).scalar()
     chosen = users.select("user_id").join(matched, "user_id", "left").select(
         "user_id",
@@ -242,14 +241,6 @@ def preference_match(
     return _ranked(scored, k)
 
 
-def popular_for_content_list(contents: DataFrame, popular_scores: DataFrame, k: int) -> Column:
-    """The `k` best of all contents as one array value; contents nobody touched weigh 0."""
-    scored = contents.select("content_id").join(popular_scores, "content_id", "left").select(
-        "content_id", F.coalesce("score", F.lit(0)).alias("score")
-    )
-    return popular(scored, k).agg(F.collect_list(F.struct("content_id", "score"))).scalar()
-
-
 def blend(sources: dict[str, DataFrame], k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
     """Fill each user's list from the sources in their order, each by its own rank.
 

@@ -160,17 +160,28 @@ def session_lengths(sessions: DataFrame) -> DataFrame:
 def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Events numbered into sessions per user: a new one starts when the pause reaches the gap.
 
-    Adds `session_no`, from 1.
+    Adds `session_no`, from 1. Sessions are counted inside time chunks; a summary
+    row per chunk says where counting goes on across chunk borders.
     """
-    previous = along_time(
-        events, ["user_id"], ["timestamp_ts", "event_id"], previous={"previous_ts": F.col("timestamp_ts")}
+    gap = gap_seconds * 1000000
+    keys = ["user_id", "__chunk"]
+    inside = Window.partitionBy(*keys).orderBy("timestamp_ts", "event_id")
+    pause = micros_between(F.lag("timestamp_ts").over(inside), F.col("timestamp_ts"))
+    flagged = events.withColumn("__chunk", time_chunk("timestamp_ts")).withColumn(
+        "__start", F.when(pause >= gap, 1).otherwise(0)
+    )
+    summary = flagged.groupBy(*keys).agg(
+        F.min("timestamp_ts").alias("first"), F.max("timestamp_ts").alias("last"), F.sum("__start").alias("inner")
+    )
+    across = Window.partitionBy("user_id").orderBy("__chunk")
+    border = micros_between(F.lag("last").over(across), F.col("first"))
+    opened = summary.withColumn("opens", F.when(F.coalesce(border >= gap, F.lit(True)), 1).otherwise(0))
+    before = F.coalesce(F.sum("inner").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offset = opened.select(*keys, (before + F.sum("opens").over(across)).alias("__offset"))
+    numbered = flagged.withColumn("__inner", F.sum("__start").over(inside))
+    return numbered.join(offset, keys).select(
+        *events.columns, (F.col("__inner") + F.col("__offset")).alias("session_no")
     )
-    pause = micros_between(F.col("previous_ts"), F.col("timestamp_ts"))
-    starts = F.when(F.coalesce(pause >= gap_seconds * 1000000, F.lit(True)), 1).otherwise(0)
-    flagged = previous.withColumn("__starts", starts).drop("previous_ts")
-    return along_time(
-        flagged, ["user_id"], ["timestamp_ts", "event_id"], running={"session_no": F.col("__starts")}
-    ).drop("__starts")
 
 
 def gap_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:

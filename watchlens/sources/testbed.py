@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchlens.functions.identity import ab_group, prefixed_id
+from watchlens.functions.times import utc_instant
 
 # How the check tables' codes read in this domain.
 EVENT_TYPE_OF = {
@@ -170,7 +171,7 @@ def as_messages(events: DataFrame) -> DataFrame:
             F.lit("user-events").alias("topic"),
             (F.col("__id") % 3).cast("int").alias("partition"),
             (F.col("__id") * 2 + F.col("__copy")).alias("offset"),
-            wall.cast("timestamp").alias("timestamp"),
+            utc_instant(wall).alias("timestamp"),
         )
     )
 
