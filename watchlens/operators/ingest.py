@@ -6,6 +6,9 @@ works on batch and streaming frames alike.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,14 +77,17 @@ def _missing(name: str) -> Column:
 
 def _reject_reason() -> Column:
     raw = F.col("raw_value")
-    missing = F.array_compact(F.array(*[F.when(_missing(name), name) for name in REQUIRED_FIELDS]))
+    absent = [_missing(name) for name in REQUIRED_FIELDS]
+    names = F.concat_ws(",", *[F.when(gone, name) for gone, name in zip(absent, REQUIRED_FIELDS)])
     return (
         # The second parse runs only for records the first one could not read.
-        F.when(raw.isNull(), "bad_json")
+        F.when(F.coalesce(F.trim(raw) == "", F.lit(True)), "bad_json")
         .when(F.col(_CORRUPT).isNotNull() & F.try_parse_json(raw).isNull(), "bad_json")
         .when(~F.ltrim(raw).startswith("{"), "not_object")
+        # The reader stops at the closing brace; text after it makes the record bad.
+        .when(~F.rtrim(raw).endswith("}"), "bad_json")
         .when(F.col(_CORRUPT).isNotNull() & F.col("event_id").isNull(), "bad_json")
-        .when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ",")))
+        .when(reduce(or_, absent), F.concat(F.lit("missing:"), names))
         .when(~F.col("event_type").isin(*EVENT_TYPES), "bad_event_type")
         .when(F.col("timestamp_ts").isNull(), "bad_timestamp")
     )

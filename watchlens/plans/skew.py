@@ -13,6 +13,16 @@ _SHARD = "__shard"
 _SHARDS = "__shards"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by keys over the session's shuffle partitions, whatever the size.
+
+    For the input of a join that multiplies rows: judged by its input size, Spark
+    would merge such partitions into a few long tasks.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
+
+
 def hot_keys(df: DataFrame, keys: list[str], parts: int = HOT_KEY_PARTS) -> DataFrame:
     """Keys holding over 1/`parts` of the rows, with the shards each should have.
 
@@ -48,8 +58,8 @@ def sharded_join(
     right = few.join(F.broadcast(hot), keys, "left").withColumn(
         _SHARD, F.explode(F.sequence(F.lit(0), shards - 1))
     )
-    joined = left.drop(_SHARDS).join(right.drop(_SHARDS), [*keys, _SHARD], how)
-    return joined.drop(_SHARD)
+    place = [*keys, _SHARD]
+    return spread(left.drop(_SHARDS), *place).join(spread(right.drop(_SHARDS), *place), place, how).drop(_SHARD)
 
 
 def group_pairs(
@@ -82,5 +92,6 @@ def group_pairs(
         F.col(item).alias(f"right_{item}"),
         *[F.col(name).alias(f"right_{name}") for name in carry],
     )
-    pairs = left.join(right, [*group, _SHARD]).where(F.col(f"left_{item}") < F.col(f"right_{item}"))
+    place = [*group, _SHARD]
+    pairs = spread(left, *place).join(spread(right, *place), place).where(F.col(f"left_{item}") < F.col(f"right_{item}"))
     return pairs.drop(_SHARD)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from watchlens.functions.jsontext import parse_text_list
 from watchlens.schemas import S, struct
@@ -17,9 +18,13 @@ CONTENT_RECORD = struct(
 )
 
 
-def _records(spark: SparkSession, path: str, schema, key: str, multi_line: bool) -> DataFrame:
-    records = spark.read.schema(schema).json(path, multiLine=multi_line)
-    # Items that are no objects come out as rows of NULLs and fall to the key check.
+def _records(spark: SparkSession, path: str, schema: StructType, key: str, one_list: bool) -> DataFrame:
+    if one_list:
+        # Items are taken apart as text first: one that is no object must not spoil the others.
+        items = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("item"))
+        records = items.select(F.from_json("item", schema).alias("r")).select("r.*")
+    else:
+        records = spark.read.schema(schema).json(path)
     return records.where(F.trim(key) != "")
 
 
@@ -29,18 +34,18 @@ def _require_rows(df: DataFrame, what: str, path: str) -> DataFrame:
     return df
 
 
-def read_users(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Users from a JSON list file, or from JSON lines with `multi_line=False`.
+def read_users(spark: SparkSession, path: str, one_list: bool = True) -> DataFrame:
+    """Users from a JSON list file, or from JSON lines with `one_list=False`.
 
-    One multi-line file is one task; large user sets belong in JSON lines or parquet.
+    One list file is read as one row; large user sets belong in JSON lines or parquet.
     """
-    users = clean_users(_records(spark, path, USER_RECORD, "user_id", multi_line))
+    users = clean_users(_records(spark, path, USER_RECORD, "user_id", one_list))
     return _require_rows(users, "users", path)
 
 
-def read_contents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Contents from a JSON list file, or from JSON lines with `multi_line=False`."""
-    contents = clean_contents(_records(spark, path, CONTENT_RECORD, "content_id", multi_line))
+def read_contents(spark: SparkSession, path: str, one_list: bool = True) -> DataFrame:
+    """Contents from a JSON list file, or from JSON lines with `one_list=False`."""
+    contents = clean_contents(_records(spark, path, CONTENT_RECORD, "content_id", one_list))
     return _require_rows(contents, "contents", path)
 
 
