@@ -27,7 +27,7 @@ def _visits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _popularity(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.popularity(ops.interactions(_events(spark, folder)))
+    return materialize(ops.popularity(ops.interactions(_events(spark, folder))), "popularity")
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -55,7 +55,7 @@ def session_recs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def popular_by_genre(spark: SparkSession, folder: str) -> DataFrame:
-    return ops.popular_by_genre(_popularity(spark, folder), testbed.contents(spark, folder))
+    return ops.popular_by_genre(ops.popularity(ops.interactions(_events(spark, folder))), testbed.contents(spark, folder))
 
 
 def _preference(spark: SparkSession, folder: str, scores: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def _preference(spark: SparkSession, folder: str, scores: DataFrame) -> DataFram
 
 def blended_recs(spark: SparkSession, folder: str) -> DataFrame:
     matrix = _matrix(spark, folder)
-    scores = ops.popularity(matrix)
+    scores = materialize(ops.popularity(matrix), "popularity")
     sources = {
         ops.COLLABORATIVE: ops.user_cf(matrix, 4),
         ops.SESSION: ops.session_based(_visits(spark, folder), 4),
@@ -84,7 +84,7 @@ def latest_recs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def recs_ttl_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    stored = testbed.recommendations(spark, folder)
+    stored = materialize(testbed.recommendations(spark, folder), "recommendations")
     cached = stored.where(F.col("algorithm") == ops.COLLABORATIVE)
     served = ops.cached_or_stored(cached, stored, _now())
     return served.select("user_id", "content_id", "created_at", "served_from")
@@ -98,12 +98,17 @@ def rec_attribution(spark: SparkSession, folder: str) -> DataFrame:
     return _attributed(spark, folder).select("user_id", "content_id", "created_at", "is_clicked", "is_watched")
 
 
+def _metrics(spark: SparkSession, folder: str) -> DataFrame:
+    outcomes = materialize(_attributed(spark, folder), "outcomes")
+    return experiment.group_metrics(outcomes, _now())
+
+
 def ab_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(experiment.group_metrics(_attributed(spark, folder), _now()), "metric_value")
+    return _rounded(_metrics(spark, folder), "metric_value")
 
 
 def ab_compare(spark: SparkSession, folder: str) -> DataFrame:
-    compared = experiment.compare(experiment.group_metrics(_attributed(spark, folder), _now()))
+    compared = experiment.compare(_metrics(spark, folder))
     return _rounded(compared, "value_a", "value_b", "difference", "lift", "z", "p_value")
 
 
@@ -132,7 +137,7 @@ QUERIES = {
     "als_topk": als_topk,
     "session_cooccurrence": lambda spark, folder: ops.cooccurrence(_visits(spark, folder)),
     "session_recs": session_recs,
-    "popular_contents": lambda spark, folder: ops.popular(_popularity(spark, folder)),
+    "popular_contents": lambda spark, folder: ops.popular(ops.popularity(ops.interactions(_events(spark, folder)))),
     "popular_by_genre": popular_by_genre,
     "preference_match": lambda spark, folder: _preference(spark, folder, _popularity(spark, folder)),
     "blended_recs": blended_recs,

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def prefixed_id(prefix: str, number: Column, width: int = 5) -> Column:
     """`prefix-00042`; numbers wider than `width` keep all their digits."""
-    return F.format_string(f"{prefix}-%0{width}d", number.cast("bigint"))
+    digits = number.cast("string")
+    return F.concat(F.lit(f"{prefix}-"), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
 def code_point_sum(text: Column) -> Column:

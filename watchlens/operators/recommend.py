@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from watchlens.functions.weights import interaction_weight
 from watchlens.plans.skew import group_pairs, sharded_join
 from watchlens.schemas import RECOMMENDATION_TTL_SECONDS, RECOMMENDATIONS_PER_USER
+from watchlens.session import materialize
 
 COLLABORATIVE, SESSION, PREFERENCE, POPULAR = (
     "collaborative_filtering", "session_based", "preference", "popularity",
@@ -161,7 +162,7 @@ def session_based(visits: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataF
 
     A content's score is the sum, over the contents of that session, of the
     sessions both share divided by the sessions the latter has. `visits` is read
-    several times; keep it as a table.
+    several times; keep it as a table. Latest sessions are written out once.
     """
     support = visits.groupBy("content_id").agg(F.count(F.lit(1)).alias("support"))
     together = _both_ways(cooccurrence(visits), "sessions").join(support, "content_id").select(
@@ -170,7 +171,8 @@ def session_based(visits: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataF
     latest = visits.groupBy("user_id").agg(F.max(F.struct("last_ts", "session_id")).alias("last")).select(
         "user_id", F.col("last.session_id").alias("session_id")
     )
-    current = visits.join(latest, ["user_id", "session_id"]).select("user_id", "content_id")
+    # At most one session per user, and needed on both sides and for the hot keys.
+    current = materialize(visits.join(latest, ["user_id", "session_id"]).select("user_id", "content_id"), "current-sessions")
     parts = sharded_join(current, together, ["content_id"], F.col("user_id")).select(
         "user_id", F.col("candidate").alias("content_id"), F.col("part").alias("score")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +37,9 @@ def _merged() -> list[Column]:
     ]
 
 
-def _lists() -> list[Column]:
+def _lists(collect: Callable[[Column], Column]) -> list[Column]:
     return [
-        F.collect_set(F.when(F.col("event_type") == kind, F.col("content_id"))).alias(name)
-        for name, kind in LISTS.items()
+        collect(F.when(F.col("event_type") == kind, F.col("content_id"))).alias(name) for name, kind in LISTS.items()
     ]
 
 
@@ -47,8 +48,8 @@ def _by_type_and_content(events: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _fold(fine: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per (keys, type, content) to one row per keys, with the content lists."""
-    return fine.groupBy(*keys).agg(*_merged(), *_lists())
+    """Rows per (keys, type, content) to one row per keys; each content is there once, so lists are sets."""
+    return fine.groupBy(*keys).agg(*_merged(), *_lists(F.collect_list))
 
 
 def _finish(sessions: DataFrame, null_minutes: bool) -> DataFrame:
@@ -76,7 +77,7 @@ def session_windows(
     timed = events.where(F.col("timestamp_ts").isNotNull())
     spans = F.window("timestamp_ts", window)
     if events.isStreaming:
-        grouped = timed.groupBy("session_id", "user_id", spans).agg(*_measures(), *_lists())
+        grouped = timed.groupBy("session_id", "user_id", spans).agg(*_measures(), *_lists(F.collect_set))
         windows = grouped.select("*", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")).drop("window")
     else:
         keyed = timed.select(
