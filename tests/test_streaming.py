@@ -206,6 +206,28 @@ def test_events_arriving_long_after_they_happened_are_stored(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ev")).count() == 2
 
 
+def test_started_queries_go_from_messages_to_tables(spark, tmp_path):
+    folder = Folder(spark, tmp_path / "messages")
+    folder.add(as_messages(spark, [value for value, _ in CASES]))
+    raw = messages.file_stream(spark, str(folder.path))
+    log = str(tmp_path / "log")
+    queries.start_sessions(raw, str(tmp_path / "ck1"), log, every=None).awaitTermination()
+    # One accepted case has a blank user and so a session row of its own.
+    got = {r.user_id: r.event_count for r in sinks.current_sessions(spark, log).collect()}
+    assert got == {"user-001": sum(r is None for _, r in CASES) - 1, "   ": 1}
+    queries.start_ingest(raw, str(tmp_path / "ck2"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "ev")).count() == 1
+
+
+def test_jdbc_sink_appends_table_rows_with_retries(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(sinks, "append_jdbc", lambda df, url, table, *rest: calls.append((df.columns, url, table)))
+    sessions = session_windows(spark.createDataFrame(event_rows(LATE[0], 0), EVENT))
+    sinks.session_jdbc_writer("jdbc:x")(sessions, 0)
+    ((columns, url, table),) = calls
+    assert (url, table) == ("jdbc:x", "user_sessions") and "browsed_contents" in columns and "window_start" not in columns
+
+
 def test_strict_and_lax_event_streams(spark):
     df = as_messages(spark, [value for value, _ in CASES])
     strict = queries.events_from_messages(df).count()

@@ -47,6 +47,18 @@ def test_rows_go_in_with_defaults_and_come_back_by_key(spark, created):
     assert row.created_at is not None and row.updated_at is not None
 
 
+def test_events_are_appended_once(spark, created):
+    from tests.test_ingest import CASES, as_messages
+    from watchlens.operators.ingest import parse_messages
+
+    parsed = parse_messages(as_messages(spark, [value for value, _ in CASES]))
+    # All accepted cases carry the same event id.
+    assert tables.append_events(spark, parsed) == 1
+    assert tables.append_events(spark, parsed) == 0
+    (row,) = tables.read_table(spark, "user_events", event_id="evt-test-001").collect()
+    assert row.watched_minutes == 45 and str(row.event_date) == "2025-01-03" and row.created_at is not None
+
+
 def test_upsert_keeps_last_source_row(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     source = spark.createDataFrame([("b", 20, 1), ("b", 30, 2), ("c", 40, 1)], "k string, v int, version int")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from watchlens.operators.ingest import accepted, first_per_event, not_yet_stored, stored_event
 from watchlens.schemas import TABLES, TableSpec
 
 #: Upsert tables are stored in this many hash buckets of their key; an upsert
@@ -87,6 +88,18 @@ def read_table(spark: SparkSession, name: str, **equals: object) -> DataFrame:
     return df
 
 
+def append_events(spark: SparkSession, parsed: DataFrame, name: str = "user_events") -> int:
+    """Store the accepted events of a batch that the table does not hold yet; gives the rows written.
+
+    The number comes with the write itself, without a job of its own.
+    """
+    fresh = not_yet_stored(stored_event(first_per_event(accepted(parsed), ["timestamp_ts", "offset"])), spark.table(name))
+    written = Observation("append_events")
+    counted = fresh.observe(written, F.count(F.lit(1)).alias("rows"))
+    fill_defaults(counted, TABLES[name]).write.insertInto(name)
+    return written.get["rows"]
+
+
 def last_per_key(source: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row per key, the last in `order`; also filtered before the shuffle."""
     newest = Window.partitionBy(*key).orderBy(*[F.desc(name) for name in order])

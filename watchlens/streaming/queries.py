@@ -15,7 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from watchlens.functions.times import utc_instant, utc_wall_clock
 from watchlens.operators.ingest import accepted, add_event_time, decode_events, parse_messages
 from watchlens.operators.sessions import session_windows
-from watchlens.schemas import SESSION_GAP_SECONDS, SESSION_WATERMARK, SESSION_WINDOW
+from watchlens.schemas import (
+    INGEST_TRIGGER, SESSION_GAP_SECONDS, SESSION_TRIGGER, SESSION_WATERMARK, SESSION_WINDOW,
+)
+from watchlens.streaming.sinks import batch_log, ingest_writer
 
 
 def with_watermark(events: DataFrame, delay: str | None, column: str = "timestamp_ts") -> DataFrame:
@@ -158,3 +161,21 @@ def run(stream: DataFrame, name: str, checkpoint: str, write: Callable[[DataFram
     query = start(stream, name, checkpoint, write, output_mode)
     query.awaitTermination()
     return query
+
+
+def start_sessions(
+    messages: DataFrame, checkpoint: str, log: str, window: str = SESSION_WINDOW,
+    watermark: str | None = SESSION_WATERMARK, strict: bool = True, every: str | None = SESSION_TRIGGER,
+) -> StreamingQuery:
+    """Track sessions of a message stream into a batch log, see `sinks.current_sessions`."""
+    stream = session_stream(events_from_messages(messages, strict), window, watermark)
+    return start(stream, "sessions", checkpoint, batch_log(log), "update", every)
+
+
+def start_ingest(
+    messages: DataFrame, checkpoint: str, events_path: str, letters_path: str,
+    every: str | None = INGEST_TRIGGER, on_failure: Callable[[Exception], None] | None = None,
+) -> StreamingQuery:
+    """Store the raw events of a message stream and its rejects."""
+    writer = ingest_writer(events_path, letters_path, on_failure)
+    return start(counted(ingest_stream(messages)), "ingest", checkpoint, writer, "append", every)

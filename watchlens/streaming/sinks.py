@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchlens.operators.ingest import accepted, dead_letters, stored_event
+from watchlens.operators.sessions import as_table_row
 from watchlens.operators.tables import last_per_key
+from watchlens.sources.relational import append_jdbc
 
 SESSION_KEY = ["session_id", "user_id", "window_start"]
 
@@ -48,6 +50,20 @@ def batch_log(path: str) -> Callable[[DataFrame, int], None]:
     return lambda df, batch_id: with_retries(lambda: write_batch(df, path, batch_id))
 
 
+def session_jdbc_writer(
+    url: str, table: str = "user_sessions", properties: dict[str, str] | None = None, connections: int = 16
+) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function that appends session rows to a relational table.
+
+    For queries in `append` mode, where a window comes out once. A batch that
+    failed half-way is appended again, so the table's own key must turn the
+    copies away or a view must fold them.
+    """
+    return lambda df, batch_id: with_retries(
+        lambda: append_jdbc(as_table_row(df), url, table, properties, connections)
+    )
+
+
 def current_rows(spark: SparkSession, path: str, key: list[str], snapshot: str | None = None) -> DataFrame:
     """The latest row of each key out of a batch log.
 
