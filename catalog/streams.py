@@ -12,7 +12,7 @@ from watchlens.session import shared_folder
 from watchlens.sources import messages, testbed
 from watchlens.streaming import queries, sinks
 
-STAGED_FILES = 4
+STAGED_FILES = 2
 # Longer than the data: files of a staged table come in any order, none is late.
 LONG_WATERMARK = "60 days"
 

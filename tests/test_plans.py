@@ -77,3 +77,45 @@ def test_group_pairs_gives_each_pair_once(spark, block):
         (g, a, b, weight[g, a], weight[g, b]) for g, items in groups.items() for a, b in combinations(items, 2)
     )
     assert got == expected
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ordered_work_is_shuffled_by_key_and_chunk(spark):
+    df = along_time(random_events(spark, 6), ["user_id"], ["ts", "event_id"], previous={"p": F.col("v")})
+    exchanges = [line for line in plan_of(df).splitlines() if "Exchange hashpartitioning(user_id" in line]
+    whole_user = [line for line in exchanges if "__chunk" not in line]
+    # Only the chunk summaries meet per user; they come out of an aggregation by chunk.
+    assert len(exchanges) >= 3 and len(whole_user) == 1
+
+
+def test_rank_filters_run_before_the_shuffle(spark):
+    from watchlens.operators.sessions import latest_per_user
+
+    events = random_events(spark, 7).withColumnRenamed("ts", "timestamp_ts")
+    plan = plan_of(latest_per_user(events, 5))
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_lookups_reach_the_scan(spark, tmp_path):
+    from watchlens.operators.sessions import user_events
+
+    path = str(tmp_path / "events")
+    random_events(spark, 8).withColumnRenamed("ts", "timestamp_ts").write.parquet(path)
+    plan = plan_of(user_events(spark.read.parquet(path), "hot", 5).select("event_id"))
+    assert "EqualTo(user_id,hot)" in plan and "v:int" not in plan and "TakeOrderedAndProject" in plan
+
+
+def test_no_query_crosses_tables(spark):
+    """No cross or nested-loop joins, and no Python in any batch query's plan."""
+    import __spark_entry__ as contract
+
+    for name, query in contract.queries().items():
+        if name.startswith("stream_") or name == "als_topk":
+            continue
+        plan = plan_of(query(spark, "/root/testdata/sf0.001"))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+            assert bad not in plan, (name, bad)

@@ -9,7 +9,7 @@ from watchlens.operators.ingest import accepted, first_per_event, not_yet_stored
 from watchlens.schemas import TABLES, TableSpec
 
 #: Upsert tables are stored in this many hash buckets of their key; an upsert
-#: rewrites only the buckets it touches.
+#: rewrites only the buckets it touches. Fixed for a table once it is written.
 BUCKETS = 256
 BUCKET = "key_bucket"
 
@@ -128,7 +128,7 @@ def _bucketed(df: DataFrame, key: list[str]) -> DataFrame:
 def store_for_upsert(df: DataFrame, path: str, key: list[str]) -> None:
     """Write a table in the layout `upsert_into` keeps up."""
     bucketed = _bucketed(df, key)
-    bucketed.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    bucketed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
 def upsert_into(spark: SparkSession, path: str, source: DataFrame, key: list[str], order: list[str] | None = None) -> None:
@@ -145,7 +145,7 @@ def upsert_into(spark: SparkSession, path: str, source: DataFrame, key: list[str
     affected = stored.join(F.broadcast(touched), BUCKET, "left_semi")
     merged = upsert(affected.select(*stored.columns), incoming, key, order)
     (
-        merged.repartition(BUCKET)
+        merged.hint("rebalance", BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)

@@ -38,7 +38,13 @@ def with_retries(
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Write one micro-batch into its own folder; a repeat replaces it."""
+    """Write one batch into its own folder; a repeat replaces it.
+
+    Rows of a partition value are brought together for few files, and a value
+    that holds many is split again.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
