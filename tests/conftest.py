@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         {
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(base / "shared"),

@@ -65,6 +65,13 @@ def test_upsert_keeps_last_source_row(spark):
     assert rows(tables.upsert(target, source, ["k"], ["version"])) == [("a", 1), ("b", 30), ("c", 40)]
 
 
+def test_upsert_keeps_the_creation_time_of_known_rows(spark):
+    target = spark.createDataFrame([("a", 1, "old"), ("b", 2, "old")], "k string, v int, created string")
+    source = spark.createDataFrame([("b", 20, "new"), ("c", 30, "new")], "k string, v int, created string")
+    got = rows(tables.upsert(target, source, ["k"], keep=("created",)))
+    assert got == [("a", 1, "old"), ("b", 20, "old"), ("c", 30, "new")]
+
+
 def test_stored_upsert_touches_only_its_buckets_and_repeats(spark, tmp_path):
     path = str(tmp_path / "users")
     tables.store_for_upsert(spark.createDataFrame([(f"u{i}", i) for i in range(40)], "k string, v int"), path, ["k"])
@@ -84,6 +91,8 @@ def test_merge_statement():
         "MERGE INTO users AS t USING incoming AS s ON t.`k` = s.`k` WHEN MATCHED THEN UPDATE SET t.`v` = s.`v` "
         "WHEN NOT MATCHED THEN INSERT (`k`, `v`) VALUES (s.`k`, s.`v`)"
     )
+    kept = tables.merge_statement("users", "incoming", ["k", "v", "created_at"], ["k"], ("created_at",))
+    assert "UPDATE SET t.`v` = s.`v` WHEN" in kept and "s.`created_at`)" in kept
 
 
 def test_delete_and_orphans(spark):

@@ -15,7 +15,7 @@ def prefixed_id(prefix: str, number: Column, width: int = 5) -> Column:
 def code_point_sum(text: Column) -> Column:
     """Sum of the Unicode code points of a text."""
     characters = F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1))
-    return F.aggregate(F.transform(characters, F.ascii), F.lit(0), lambda total, code: total + code)
+    return F.aggregate(characters, F.lit(0), lambda total, character: total + F.ascii(character))
 
 
 def ab_group(user_id: Column) -> Column:

@@ -106,14 +106,23 @@ def last_per_key(source: DataFrame, key: list[str], order: list[str]) -> DataFra
     return source.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") == 1).drop("__rank")
 
 
-def upsert(target: DataFrame, source: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
-    """Target rows with those of the source put in or put over them, whole rows by key.
-
-    With `order`, the last source row of a key wins; without, source keys must be unique.
+def upsert(
+    target: DataFrame, source: DataFrame, key: list[str], order: list[str] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Target rows with those of the source put in or put over them by key.
+
+    With `order`, the last source row of a key wins; without, source keys must be
+    unique. Columns in `keep`, such as `created_at`, stay as they are in rows
+    that exist already.
     """
     latest = last_per_key(source, key, order) if order else source
     latest = latest.select(*target.columns)
-    return target.join(latest, key, "left_anti").select(*target.columns).unionByName(latest)
+    if keep:
+        held = target.select(*key, *[F.col(name).alias(f"__kept_{name}") for name in keep])
+        latest = latest.join(held, key, "left").select(
+            *[F.coalesce(f"__kept_{name}", name).alias(name) if name in keep else F.col(name) for name in target.columns]
+        )
+    return target.join(latest.select(*key), key, "left_anti").select(*target.columns).unionByName(latest)
 
 
 def delete_keys(target: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
@@ -131,7 +140,10 @@ def store_for_upsert(df: DataFrame, path: str, key: list[str]) -> None:
     bucketed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
-def upsert_into(spark: SparkSession, path: str, source: DataFrame, key: list[str], order: list[str] | None = None) -> None:
+def upsert_into(
+    spark: SparkSession, path: str, source: DataFrame, key: list[str], order: list[str] | None = None,
+    keep: tuple[str, ...] = (),
+) -> None:
     """Upsert into a table written by `store_for_upsert`, reading and rewriting only the buckets it touches.
 
     Repeating it changes nothing. Plain parquet swaps bucket folders one by one
@@ -143,7 +155,7 @@ def upsert_into(spark: SparkSession, path: str, source: DataFrame, key: list[str
     # No more rows than buckets.
     touched = incoming.select(BUCKET).distinct()
     affected = stored.join(F.broadcast(touched), BUCKET, "left_semi")
-    merged = upsert(affected.select(*stored.columns), incoming, key, order)
+    merged = upsert(affected.select(*stored.columns), incoming, key, order, keep)
     (
         merged.hint("rebalance", BUCKET)
         .write.mode("overwrite")
@@ -153,10 +165,12 @@ def upsert_into(spark: SparkSession, path: str, source: DataFrame, key: list[str
     )
 
 
-def merge_statement(table: str, source_view: str, columns: list[str], key: list[str]) -> str:
+def merge_statement(
+    table: str, source_view: str, columns: list[str], key: list[str], keep: tuple[str, ...] = ()
+) -> str:
     """`MERGE INTO` text of the same upsert, for table formats that support it."""
     match = " AND ".join(f"t.`{c}` = s.`{c}`" for c in key)
-    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c not in key)
+    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c not in key and c not in keep)
     names = ", ".join(f"`{c}`" for c in columns)
     values = ", ".join(f"s.`{c}`" for c in columns)
     return (
@@ -165,9 +179,13 @@ def merge_statement(table: str, source_view: str, columns: list[str], key: list[
     )
 
 
-def merge_into(spark: SparkSession, table: str, source: DataFrame, key: list[str], order: list[str] | None = None) -> None:
+def merge_into(
+    spark: SparkSession, table: str, source: DataFrame, key: list[str], order: list[str] | None = None,
+    keep: tuple[str, ...] = (),
+) -> None:
     """Upsert through the table format's own atomic merge."""
     latest = last_per_key(source, key, order) if order else source
     view = f"merge_source_{table.replace('.', '_')}"
+    latest = latest.select(*spark.table(table).columns)
     latest.createOrReplaceTempView(view)
-    spark.sql(merge_statement(table, view, latest.columns, key))
+    spark.sql(merge_statement(table, view, latest.columns, key, keep))

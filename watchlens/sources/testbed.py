@@ -115,12 +115,12 @@ def recommendations(spark: SparkSession, folder: str) -> DataFrame:
         (F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'") + hour).alias("created_at"),
         (F.col("l_quantity") / 50).alias("recommendation_score"),
     )
-    group = ab_group(F.col("user_id"))
+    collaborative = F.col("ab_test_group") == "A"
     return (
         picked.groupBy("user_id", "content_id", "created_at")
         .agg(F.max("recommendation_score").alias("recommendation_score"))
-        .withColumn("algorithm", F.when(group == "A", "collaborative_filtering").otherwise("session_based"))
-        .withColumn("ab_test_group", group)
+        .withColumn("ab_test_group", ab_group(F.col("user_id")))
+        .withColumn("algorithm", F.when(collaborative, "collaborative_filtering").otherwise("session_based"))
     )
 
 
