@@ -41,6 +41,15 @@ def test_along_time_equals_plain_window(spark, seed, unit):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_rows_without_key_or_time_do_not_disturb_the_others(spark):
+    events = random_events(spark, 9, 50)
+    stray = spark.createDataFrame([("x1", None, datetime.datetime(2026, 1, 1), 7), ("x2", "hot", None, 7)], events.schema)
+    wanted = dict(previous={"p": F.col("v")}, running={"n": F.lit(1), "s": F.col("v")})
+    clean = along_time(events, ["user_id"], ["ts", "event_id"], **wanted)
+    mixed = along_time(events.unionByName(stray), ["user_id"], ["ts", "event_id"], **wanted)
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, clean.collect()))
+
+
 def test_hot_keys_are_few_and_right(spark):
     df = random_events(spark, 3)
     rows = {r.user_id: r["__shards"] for r in hot_keys(df, ["user_id"], parts=4).collect()}

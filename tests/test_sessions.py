@@ -134,6 +134,12 @@ def test_a_pause_of_exactly_the_gap_starts_a_session_where_sparks_window_merges(
     assert merged.count() == 1
 
 
+def test_events_without_time_are_in_no_gap_session(make_events):
+    events = make_events([("a", "u", "s", "click", "c", 0, "10:00:00"), ("b", "u", "s", "click", "c", 0, None)])
+    assert only(sessions.gap_sessions(events)).event_count == 1
+    assert only(sessions.session_starts(events)).session_no == 1
+
+
 def test_rating_inherits_minutes_of_the_same_content_only(make_events):
     events = make_events([
         ("a", "u", "s", "watch", "c1", 30, "10:00:00"), ("b", "u", "s", "rating", "c1", 0, "10:00:10"),

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_ingest import CASES, SAMPLE, as_messages
-from watchlens.operators.sessions import session_windows
+from watchlens.operators.sessions import active_sessions, session_windows
+from watchlens.operators.stats import heat_map
 from watchlens.schemas import TABLES
 from watchlens.sources import messages
 from watchlens.streaming import metrics, queries, sinks
@@ -219,6 +220,29 @@ def test_started_queries_go_from_messages_to_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ev")).count() == 1
 
 
+def test_a_timed_trigger_keeps_the_query_running(spark, tmp_path, late_folder):
+    log = str(tmp_path / "log")
+    query = queries.start(
+        queries.session_stream(stream_of(spark, late_folder)), "timed", str(tmp_path / "ck"), sinks.batch_log(log),
+        "update", every="1 second",
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+        sessions = sinks.current_sessions(spark, log)
+        assert [r.session_id for r in active_sessions(sessions, 180).collect()] == ["s2"]
+    finally:
+        query.stop()
+
+
+def test_heat_map_of_a_stream_counts_viewers_approximately(spark, tmp_path, late_folder):
+    stream = queries.with_watermark(stream_of(spark, late_folder), "10 minutes")
+    log = str(tmp_path / "log")
+    queries.run(heat_map(stream, "1 day"), "heat", str(tmp_path / "ck"), sinks.batch_log(log), "update")
+    rows = sinks.current_rows(spark, log, ["content_id", "bucket_start"]).collect()
+    assert len(rows) == 8 and all((r.views, r.viewers, r.minutes) == (1, 1, 5) for r in rows)
+
+
 def test_jdbc_sink_appends_table_rows_with_retries(spark, monkeypatch):
     calls = []
     monkeypatch.setattr(sinks, "append_jdbc", lambda df, url, table, *rest: calls.append((df.columns, url, table)))

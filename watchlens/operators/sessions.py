@@ -161,14 +161,16 @@ def session_lengths(sessions: DataFrame) -> DataFrame:
 def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Events numbered into sessions per user: a new one starts when the pause reaches the gap.
 
-    Adds `session_no`, from 1. Sessions are counted inside time chunks; a summary
-    row per chunk says where counting goes on across chunk borders.
+    Adds `session_no`, from 1; events without user or time are left out. Sessions
+    are counted inside time chunks; a summary row per chunk says where counting
+    goes on across chunk borders.
     """
     gap = gap_seconds * 1000000
     keys = ["user_id", "__chunk"]
     inside = Window.partitionBy(*keys).orderBy("timestamp_ts", "event_id")
     pause = micros_between(F.lag("timestamp_ts").over(inside), F.col("timestamp_ts"))
-    flagged = events.withColumn("__chunk", time_chunk("timestamp_ts")).withColumn(
+    placed = events.where(F.col("user_id").isNotNull() & F.col("timestamp_ts").isNotNull())
+    flagged = placed.withColumn("__chunk", time_chunk("timestamp_ts")).withColumn(
         "__start", F.when(pause >= gap, 1).otherwise(0)
     )
     summary = flagged.groupBy(*keys).agg(
@@ -186,13 +188,14 @@ def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) ->
 
 
 def gap_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
-    """One row per gap session of a user.
+    """One row per gap session of a user; events without a time are left out.
 
     Events shrink to mini-sessions inside time chunks first; only those, at most
     one per gap and chunk, are put in order per user and merged across chunk borders.
     """
     gap = gap_seconds * 1000000
-    chunked = events.select(
+    timed = events.where(F.col("timestamp_ts").isNotNull())
+    chunked = timed.select(
         "user_id", "event_id", "timestamp_ts", "watched_minutes", time_chunk("timestamp_ts").alias("chunk")
     )
     inside = Window.partitionBy("user_id", "chunk").orderBy("timestamp_ts", "event_id")

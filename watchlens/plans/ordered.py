@@ -9,6 +9,9 @@ Results equal those of the plain window.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,12 +38,14 @@ def along_time(
     `order` starts with a timestamp and must order the rows of a key totally.
     `previous` maps a new column to the expression whose value in the row before
     is wanted (NULL in the first row of a key); `running` maps a new column to
-    the expression to add up, the current row included. Keys must not be NULL.
-    `unit` is the chunk width as a `date_trunc` unit.
+    the expression to add up, the current row included. Rows with a NULL key or
+    time have no place in an order and are left out. `unit` is the chunk width
+    as a `date_trunc` unit: a chunk of one key should fit a task.
     """
     previous = previous or {}
     running = running or {}
-    chunked = df.withColumn(_CHUNK, time_chunk(order[0], unit))
+    placed = reduce(and_, [F.col(name).isNotNull() for name in (*keys, order[0])])
+    chunked = df.where(placed).withColumn(_CHUNK, time_chunk(order[0], unit))
     packed = F.struct(*[value.alias(name) for name, value in previous.items()])
 
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
