@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from catalog.sqltext import CONTENTS, EV, RECS, USERS, ab, with_
 from watchlens.operators import experiment, recommend as ops
+from watchlens.operators.tables import fill_defaults
+from watchlens.schemas import TABLES
 from watchlens.session import materialize
 from watchlens.sources import testbed
 
@@ -42,6 +44,12 @@ def user_cf_topk(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(ops.user_cf(_matrix(spark, folder)), "score")
 
 
+def recommendation_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Collaborative lists as the recommendations table stores them."""
+    lists = ops.as_recommendations(ops.user_cf(_matrix(spark, folder)), ops.COLLABORATIVE, _now())
+    return _rounded(fill_defaults(lists, TABLES["recommendations"]), "recommendation_score")
+
+
 def similar_users(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(ops.similar_users(_matrix(spark, folder), "user-00007"), "similarity")
 
@@ -133,6 +141,7 @@ def rec_diversity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "interactions": lambda spark, folder: ops.interactions(_events(spark, folder)),
     "user_cf_topk": user_cf_topk,
+    "recommendation_rows": recommendation_rows,
     "similar_users": similar_users,
     "als_topk": als_topk,
     "session_cooccurrence": lambda spark, folder: ops.cooccurrence(_visits(spark, folder)),
@@ -205,6 +214,9 @@ ORACLE = {
     "interactions": with_(EV, MATRIX) + "SELECT * FROM matrix",
     "user_cf_topk": with_(EV, MATRIX, CF) + """SELECT user_id, content_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
 FROM cf WHERE rank <= 10""",
+    "recommendation_rows": with_(EV, MATRIX, CF) + f"""SELECT user_id, content_id, round(score, 6) AS recommendation_score,
+  'collaborative_filtering' AS algorithm, {ab('user_id')} AS ab_test_group, false AS is_clicked, false AS is_watched,
+  TIMESTAMP '{NOW}' AS created_at FROM cf WHERE rank <= 10""",
     "similar_users": with_(EV, MATRIX) + """SELECT b.user_id, round(sum(a.weight * b.weight) / sqrt(
     (SELECT sum(weight * weight)::DOUBLE FROM matrix WHERE user_id = 'user-00007') *
     (SELECT sum(weight * weight)::DOUBLE FROM matrix n WHERE n.user_id = b.user_id)), 6) AS similarity

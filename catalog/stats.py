@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.sqltext import CONTENTS, EV, USERS, ab, with_
+from catalog.sqltext import CONTENTS, EV, USERS, with_
 from watchlens.functions.identity import pseudonym
 from watchlens.operators import stats as ops
 from watchlens.sources import testbed

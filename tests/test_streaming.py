@@ -220,6 +220,16 @@ def test_started_queries_go_from_messages_to_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ev")).count() == 1
 
 
+def test_json_line_files_stream_with_all_their_rejects(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text("\n".join([json.dumps(SAMPLE), "{}", "{}", "bad", json.dumps(SAMPLE)]) + "\n")
+    raw = messages.json_lines_stream(spark, str(tmp_path / "in"))
+    query = queries.start_ingest(raw, str(tmp_path / "ck"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None)
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "ev")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "dl")).count() == 3
+
+
 def test_a_timed_trigger_keeps_the_query_running(spark, tmp_path, late_folder):
     log = str(tmp_path / "log")
     query = queries.start(

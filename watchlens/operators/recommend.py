@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from watchlens.functions.identity import ab_group
 from watchlens.functions.weights import interaction_weight
 from watchlens.plans.skew import group_pairs, sharded_join
 from watchlens.schemas import RECOMMENDATION_TTL_SECONDS, RECOMMENDATIONS_PER_USER
@@ -298,5 +299,5 @@ def as_recommendations(lists: DataFrame, algorithm: str, now: Column) -> DataFra
     """Scored lists as rows of the recommendations table."""
     return lists.select(
         "user_id", "content_id", F.col("score").cast(T.DoubleType()).alias("recommendation_score"),
-        F.lit(algorithm).alias("algorithm"), now.alias("created_at"),
+        F.lit(algorithm).alias("algorithm"), ab_group(F.col("user_id")).alias("ab_test_group"), now.alias("created_at"),
     )

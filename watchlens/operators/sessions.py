@@ -78,7 +78,9 @@ def session_windows(
     spans = F.window("timestamp_ts", window)
     if events.isStreaming:
         grouped = timed.groupBy("session_id", "user_id", spans).agg(*_measures(), *_lists(F.collect_set))
-        windows = grouped.select("*", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")).drop("window")
+        windows = grouped.withColumns(
+            {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
+        ).drop("window")
     else:
         keyed = timed.select(
             "session_id", "user_id", "event_type", "content_id", "watched_minutes", "timestamp_ts",

@@ -79,10 +79,11 @@ def ingest_stream(messages: DataFrame, dedupe_within: str = "1 hour") -> DataFra
     The watermark runs on the time a message arrived, so that events are kept
     however late they happened; copies of an event are recognised when they
     arrive within `dedupe_within`. Rejects are told apart by their place in the
-    topic and all pass.
+    topic, or all pass where the source gives none.
     """
     parsed = parse_messages(messages)
-    place = F.concat_ws("/", "topic", "partition", "offset")
+    placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    place = F.when(placed, F.concat_ws("/", "topic", "partition", "offset")).otherwise(F.uuid())
     key = F.when(F.col("reject_reason").isNull(), F.col("event_id")).otherwise(F.concat(F.lit("reject:"), place))
     keyed = parsed.withColumn("__key", key).withWatermark("message_timestamp", dedupe_within)
     return keyed.dropDuplicatesWithinWatermark(["__key"]).drop("__key")
@@ -156,7 +157,9 @@ def start(
     return writer.start()
 
 
-def run(stream: DataFrame, name: str, checkpoint: str, write: Callable[[DataFrame, int], None], output_mode: str = "update") -> StreamingQuery:
+def run(
+    stream: DataFrame, name: str, checkpoint: str, write: Callable[[DataFrame, int], None], output_mode: str = "update"
+) -> StreamingQuery:
     """Work through everything that is there now; raises when the query fails."""
     query = start(stream, name, checkpoint, write, output_mode)
     query.awaitTermination()
