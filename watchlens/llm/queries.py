@@ -3,26 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from watchlens.llm import mixing, shards
-from watchlens.llm.text import bound_batches, documents
+from watchlens.llm import bpe, mixing, rules, shards, toxicity
+from watchlens.llm.text import documents, remainder
 
 SHARDS = 24
+TOKENIZER = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
+
+
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder))
 
 
-def op9_shard_records(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql import functions as F
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(documents(spark, folder)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
 
+    counts = bpe.token_counts(documents(spark, folder), bpe.load_ranks(public_tokenizers.path(TOKENIZER)))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    lexicon = toxicity.learn(docs, labels(spark, folder).where(remainder(F.col("doc_id"), 5) != 0))
+    return toxicity.scores(docs, lexicon).select(
+        "doc_id",
+        (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op9_shard_records(spark: SparkSession, folder: str) -> DataFrame:
     rows = shards.shard_rows(documents(spark, folder), shards.equal_weights(SHARDS), shards.equal_weights(SHARDS + 1))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_token_counts": op5_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op9_shard_records": op9_shard_records,
 }
 ORACLE: dict[str, str] = {}
