@@ -33,7 +33,8 @@ MEASURES = {
     "shouts_per_word": (0.06, False),
     "capitals_per_letter": (0.08, False),
     "repeated_lines": (0.08, False),
-    "repeated_words": (0.07, False),
+    "repeated_words": (0.1, False),
+    "stutters_per_word": (0.04, False),
     "letters_per_word": (1.5, True),
 }
 
@@ -65,8 +66,13 @@ def base_measures(docs: DataFrame, keep: Sequence[str] = ("doc_id", "lang", "sou
             lambda start: F.xxhash64(F.slice("__words", start, WINDOW)),
         ),
     )
+    # Words equal to the one before: equal neighbours of the text's list of words.
+    stutters = F.size(
+        F.filter(F.sequence(F.lit(0), F.size("__words") - 1), lambda k: F.get("__words", k) == F.get("__words", k - 1))
+    )
     rows = rows.select(
         *keep,
+        F.when(F.size("__words") > 1, stutters).otherwise(F.lit(0)).cast("long").alias("n_stutters"),
         F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         "n_symbols",
@@ -110,8 +116,10 @@ def measures() -> dict[str, Column]:
         "symbols_per_word": _ratio(F.col("n_symbols"), F.col("n_words")),
         "shouts_per_word": _ratio(F.col("n_shouts"), F.col("n_words")),
         "capitals_per_letter": _ratio(F.col("n_capitals"), F.col("word_chars")),
-        "repeated_lines": _ratio(F.col("n_dup_lines"), F.col("n_lines")),
+        # A few lines more, so that one line said twice is nothing in a short text.
+        "repeated_lines": _ratio(F.col("n_dup_lines"), F.col("n_lines") + 4),
         "repeated_words": _ratio(F.col("n_repeat_words"), F.col("n_words")),
+        "stutters_per_word": _ratio(F.col("n_stutters"), F.col("n_words")),
         "letters_per_word": _ratio(F.col("word_chars"), F.col("n_words")),
     }
 
@@ -176,20 +184,20 @@ def judge(docs: DataFrame) -> DataFrame:
     fine = materialize(sketch(rows.where(~F.col("base_failed")), ("lang", "source"), measures()), "rules-sketch")
     by_source = _limits(fine, ("lang", "source")).where(F.col("rows") >= LEAST_DOCUMENTS)
     by_lang = _limits(merge(fine, ("lang",)), ("lang",)).where(F.col("rows") >= LEAST_DOCUMENTS)
-    overall = _limits(merge(fine.withColumn("__all", F.lit(0)), ("__all",)), ("__all",))
+    overall = _limits(merge(fine.withColumn("whole", F.lit(0)), ("whole",)), ("whole",))
     names = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
 
-    def level(limits: DataFrame, keys: dict[str, str], prefix: str) -> DataFrame:
+    def level(limits: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
         return limits.select(
             *[F.col(c).alias(f"{prefix}_{c}") for c in keys], *[F.col(n).alias(f"{prefix}_{n}") for n in names]
         )
 
-    s, g, a = level(by_source, {"lang": "", "source": ""}, "s"), level(by_lang, {"lang": ""}, "g"), level(overall, {"__all": ""}, "a")
+    s, g, a = level(by_source, ("lang", "source"), "s"), level(by_lang, ("lang",), "g"), level(overall, ("whole",), "a")
     joined = (
         rows.join(s, rows["lang"].eqNullSafe(s["s_lang"]) & rows["source"].eqNullSafe(s["s_source"]), "left")
         .join(g, rows["lang"].eqNullSafe(g["g_lang"]), "left")
-        .withColumn("__all", F.lit(0))
-        .join(a, F.col("__all") == F.col("a___all"), "left")
+        .withColumn("__whole", F.lit(0))
+        .join(a, F.col("__whole") == F.col("a_whole"), "left")
     )
     inside = F.lit(True)
     for name, value in measures().items():

@@ -2,7 +2,8 @@
 
 Folding undoes the usual disguises: case, look-alike letters of other scripts, digits and
 signs in place of letters, punctuation round words. The lexicon is learnt: terms that labelled
-toxic documents hold more often than others are candidates, and a regularised logistic fit
+toxic documents hold more often than others are candidates, whole words as well as beginnings
+that a document's words share (`stem*`, counted from their second word on), and a regularised logistic fit
 gives them their weights, which also tells marks of toxicity from words that merely keep it
 company. Phrases in which a term is harmless do not count as hits. A text's score is the
 logistic value of its summed weights over a power of its length.
@@ -26,6 +27,8 @@ from watchlens.llm.text import bound_batches, texts
 
 #: Most terms of the lexicon, most exception phrases, most labelled documents in the fit of the weights.
 TERMS, PHRASES, FIT_ROWS = 400, 400, 60_000
+#: Lengths of shared beginnings, and the most that one term counts in a text.
+STEMS, MOST_HITS = range(4, 9), 6
 #: A candidate term occurs in so many toxic documents at least.
 LEAST_TOXIC = 3
 #: Hits are divided by (words + LENGTH_BASE) ** LENGTH_POWER.
@@ -87,9 +90,12 @@ class Lexicon:
             return None
         found = ahocorasick.Automaton()
         for phrase in self.phrases:
-            found.add_word(f" {phrase} ", (len(phrase), None))
+            found.add_word(f" {phrase} ", (len(phrase), 0, None))
         for term in self.weights:
-            found.add_word(f" {term} ", (len(term), term))
+            if term.endswith("*"):
+                found.add_word(f" {term[:-1]}", (len(term) - 1, 1, term))
+            else:
+                found.add_word(f" {term} ", (len(term), 0, term))
         found.make_automaton()
         return found
 
@@ -99,15 +105,16 @@ def hits(folded: str, matcher: ahocorasick.Automaton | None) -> Counter:
     if matcher is None:
         return Counter()
     terms, shields = [], []
-    for end, (size, term) in matcher.iter(folded):
-        span = (end - size, end)
+    for end, (size, past, term) in matcher.iter(folded):
+        span = (end + past - size, end + past)
         if term is None:
             shields.append(span)
         else:
             terms.append((*span, term))
     if shields:
         terms = [t for t in terms if not any(a <= t[0] and t[1] <= b for a, b in shields)]
-    return Counter(term for _, _, term in terms)
+    counts = Counter(term for _, _, term in terms)
+    return Counter({term: n for term, count in counts.items() if (n := count - term.endswith("*"))})
 
 
 def _scale(count: int) -> float:
@@ -116,19 +123,25 @@ def _scale(count: int) -> float:
 
 def score(folded: str, lexicon: Lexicon, matcher: ahocorasick.Automaton | None) -> float:
     found = hits(folded, matcher)
-    raw = sum(lexicon.weights[t] * min(n, 3) for t, n in sorted(found.items()))
+    raw = sum(lexicon.weights[t] * min(n, MOST_HITS) for t, n in sorted(found.items()))
     return float(1 / (1 + np.exp(-np.clip(lexicon.bias + raw / _scale(folded.count(" ")), -30, 30))))
 
 
+def _terms(folded: str) -> set[str]:
+    own = {w for w in words(folded) if 3 <= len(w) <= 40}
+    stems = Counter(w[:size] + "*" for w in own for size in STEMS if size <= len(w))
+    return own | {stem for stem, count in stems.items() if count > 1}
+
+
 def _term_counts(labelled: DataFrame) -> DataFrame:
-    """Documents of each label that hold a folded word, counted in the tasks before the shuffle."""
+    """Documents of each label that hold a term, counted in the tasks before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = (Counter(), Counter())
             marks = batch.column(batch.schema.get_field_index("toxic")).to_pylist()
             for data, mark in zip(texts(batch), marks, strict=True):
-                counts[mark].update({w for w in words(fold(data)) if 3 <= len(w) <= 40})
+                counts[mark].update(_terms(fold(data)))
             terms = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_pydict(
                 {"term": terms, "clean": [counts[0][t] for t in terms], "toxic": [counts[1][t] for t in terms]}
@@ -139,11 +152,17 @@ def _term_counts(labelled: DataFrame) -> DataFrame:
 
 
 def _candidates(labelled: DataFrame, clean: int, toxic: int) -> list[str]:
-    """The terms that mark toxic documents best: by count times log odds, which must be over 1 surely."""
+    """The terms that mark toxic documents best: by count times log odds, which must be over 1 surely.
+
+    Of nested beginnings with the same counts, the longest stands for all.
+    """
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     doubt = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     rows = _term_counts(labelled).where(F.col("toxic") >= LEAST_TOXIC).withColumn("odds", odds)
-    rows = rows.where(F.col("odds") - doubt > 1).orderBy((F.col("toxic") * F.col("odds")).desc(), "term")
+    rows = rows.where(F.col("odds") - doubt > 1)
+    stem = F.when(F.col("term").endswith("*"), F.substring("term", 1, STEMS[0])).otherwise(F.col("term"))
+    longest = F.max_by("term", F.length("term"))
+    rows = rows.groupBy(stem.alias("stem"), "toxic", "odds").agg(longest.alias("term")).orderBy((F.col("toxic") * F.col("odds")).desc(), "term")
     return [row.term for row in rows.select("term").limit(TERMS).collect()]
 
 
@@ -187,7 +206,7 @@ def _fit(rows: Sequence, terms: Sequence[str]) -> tuple[np.ndarray, float]:
         for term, count in zip(row.terms, row.counts, strict=True):
             at.append(n)
             column.append(place[term])
-            value.append(min(count, 3) / _scale(row.words))
+            value.append(min(count, MOST_HITS) / _scale(row.words))
     at, column, value = np.array(at, int), np.array(column, int), np.array(value)
     y = np.array([row.toxic for row in rows], float)
     weights, bias, count = np.zeros(len(terms)), 0.0, len(rows)
