@@ -4,8 +4,13 @@ The vocabulary is that of an existing tokenizer. Its piece scores give the start
 which expectation maximisation fits to the training words: the expected number of times that a
 piece is used, over all segmentations, becomes its new weight. A word's probability is the sum
 over all ways to cut it into pieces, by a forward recursion over its characters in log space; a
-text is its words and one end. Words begin with a blank piece sign, so no segmentation reaches
-across words and every distinct word is worked out once.
+whole word seen in training is one more arc of its lattice, weighted by its discounted count,
+and what the discount frees goes to the pieces. Words begin with a blank piece sign, so no
+segmentation reaches across words and every distinct word is worked out once. A text is its
+words and one end.
+
+Weights are fitted for each class of training texts (their language). A text's probability is
+the sum over the classes too, so its own class is never asked for.
 
 Texts are dealt into blocks of a bounded size. A block sends its distinct words to be counted
 and scored, and gets them back with their figures.
@@ -22,7 +27,7 @@ from itertools import islice
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchlens.llm.text import bound_batches, pieces_of, slices, texts
@@ -30,7 +35,9 @@ from watchlens.session import materialize
 
 BLANK = "▁"
 #: Bytes of text in a block, about; words whose lattices are worked out together; rounds of fitting.
-BLOCK_BYTES, GROUP_WORDS, ROUNDS = 16 << 20, 6000, 3
+BLOCK_BYTES, GROUP_WORDS, ROUNDS = 24 << 20, 6000, 3
+#: Most classes of texts; the rarer ones share the last.
+CLASSES = 8
 #: What every piece counts besides its expected uses.
 SMOOTHING = 0.02
 
@@ -41,7 +48,6 @@ class Vocabulary:
 
     pieces: list[str]
     weights: np.ndarray
-    end: float
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -53,7 +59,7 @@ def load_vocabulary(path: str) -> Vocabulary:
     scores = np.array([model.get_score(i) for i in ids])
     weights = 1 / (3 - scores) if scores.min() < -100 else np.exp(scores)
     weights = np.append(weights, np.full(256, weights.min() / 10))
-    return Vocabulary([model.id_to_piece(i) for i in ids], np.log(weights / weights.sum()), 0.0)
+    return Vocabulary([model.id_to_piece(i) for i in ids], np.log(weights / weights.sum()))
 
 
 class Lattice:
@@ -96,8 +102,9 @@ class Lattice:
         return {"start": start, "end": end, "piece": piece, "word": word, "begin": begin, "lengths": lengths, "extra": extra}
 
     def log_weights(self, arcs: dict, weights: np.ndarray) -> np.ndarray:
-        spelt = [weights[self.count + np.frombuffer(c.encode("utf-8", "replace"), np.uint8)].sum() for c in arcs["extra"]]
-        return np.append(weights, spelt)[arcs["piece"]]
+        """Log weights (arcs by classes) out of the pieces' (pieces by classes)."""
+        spelt = [weights[self.count + np.frombuffer(c.encode("utf-8", "replace"), np.uint8)].sum(axis=0) for c in arcs["extra"]]
+        return (np.concatenate([weights, spelt]) if spelt else weights)[arcs["piece"]]
 
     @staticmethod
     def _sweep(level: np.ndarray, to: np.ndarray, frm: np.ndarray, gain: np.ndarray, values: np.ndarray) -> None:
@@ -107,31 +114,32 @@ class Lattice:
         steps = np.flatnonzero(np.diff(level, prepend=-1))
         for a, b in zip(steps, np.append(steps[1:], len(level)), strict=True):
             heads = np.flatnonzero(np.diff(to[a:b], prepend=-1))
-            values[to[a:b][heads]] = np.logaddexp.reduceat(values[frm[a:b]] + gain[a:b], heads)
+            values[to[a:b][heads]] = np.logaddexp.reduceat(values[frm[a:b]] + gain[a:b], heads, axis=0)
 
     def forward(self, arcs: dict, gain: np.ndarray) -> np.ndarray:
-        values = np.full(int(arcs["begin"][-1] + arcs["lengths"][-1] + 1), -np.inf)
+        values = np.full((int(arcs["begin"][-1] + arcs["lengths"][-1] + 1), gain.shape[1]), -np.inf)
         values[arcs["begin"]] = 0.0
         self._sweep(arcs["end"] - arcs["begin"][arcs["word"]], arcs["end"], arcs["start"], gain, values)
         return values
 
     def log_probabilities(self, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
+        """Each word's log probability under every class's weights."""
         if not len(words):
-            return np.zeros(0)
+            return np.zeros((0, weights.shape[1]))
         arcs = self.arcs(words)
         values = self.forward(arcs, self.log_weights(arcs, weights))
         return values[arcs["begin"] + arcs["lengths"]]
 
-    def expected(self, words: Sequence[str], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """How often each piece is used in the words, over all segmentations."""
+    def expected(self, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
+        """How often each piece is used, over all segmentations of words that occur once each."""
         arcs = self.arcs(words)
-        gain = self.log_weights(arcs, weights)
+        gain = self.log_weights(arcs, weights[:, None])
         ahead = self.forward(arcs, gain)
-        behind = np.full(len(ahead), -np.inf)
+        behind = np.full(ahead.shape, -np.inf)
         last = arcs["begin"] + arcs["lengths"]
         behind[last] = 0.0
         self._sweep(last[arcs["word"]] - arcs["start"], arcs["start"], arcs["end"], gain, behind)
-        share = np.exp(ahead[arcs["start"]] + gain + behind[arcs["end"]] - ahead[last][arcs["word"]]) * counts[arcs["word"]]
+        share = np.exp((ahead[arcs["start"]] + gain + behind[arcs["end"]] - ahead[last][arcs["word"]])[:, 0])
         uses = np.bincount(arcs["piece"], share, self.count + 256 + len(arcs["extra"]))
         for k, c in enumerate(arcs["extra"]):
             np.add.at(uses, self.count + np.frombuffer(c.encode("utf-8", "replace"), np.uint8), uses[self.count + 256 + k])
@@ -142,127 +150,172 @@ def _strings(batch: pa.RecordBatch) -> list[str]:
     return [word.decode("utf-8", "replace") for word in batch.column(0).to_pylist()]
 
 
-def fit(counted: DataFrame, vocabulary: Vocabulary, texts_: int, rounds: int = ROUNDS) -> Vocabulary:
-    """Fit the pieces' weights to counted words (word binary, uses long). All words count.
+def fit(counted: DataFrame, classes: int, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Log weights (pieces by classes) fitted to the distinct words of each class.
 
-    A round's sums are one row a piece, bounded by the vocabulary.
+    `counted` has one row a word: word (binary) and its uses u0, u1 ... in the classes. All words
+    count. A round's sums are one row a piece and class, bounded by the vocabulary.
     """
-    pieces, weights = vocabulary.pieces, vocabulary.weights
-    if not texts_:
-        return Vocabulary(pieces, weights + math.log(0.5), math.log(0.5))
+    pieces, size = vocabulary.pieces, len(vocabulary.pieces) + 256
+    weights = np.repeat(vocabulary.weights[:, None], classes, axis=1)
     for _ in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], weights: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
-            lattice, total = Lattice(pieces), np.zeros(len(pieces) + 256)
+            lattice, total = Lattice(pieces), np.zeros((size, classes))
             for batch in batches:
                 for part in slices(batch, GROUP_WORDS):
-                    total += lattice.expected(_strings(part), part.column(1).to_numpy(zero_copy_only=False).astype(float), weights)
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["piece", "uses"])
-
-        sums = counted.mapInArrow(run, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses"))
-        uses = np.full(len(pieces) + 256, SMOOTHING)
-        for row in sums.collect():
-            uses[row.piece] += row.uses
-        weights = np.log(uses / (uses.sum() + texts_))
-        end = math.log(texts_ / (uses.sum() + texts_))
+                    words = _strings(part)
+                    for k in range(classes):
+                        own = np.flatnonzero(part.column(k + 1).to_numpy(zero_copy_only=False) > 0)
+                        if len(own):
+                            total[:, k] += lattice.expected([words[i] for i in own], weights[:, k])
+            piece, kind = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(piece, pa.int32()), pa.array(kind, pa.int32()), pa.array(total[piece, kind])],
+                names=["piece", "class", "uses"],
+            )
+
+        each = counted.select("word", *[f"u{k}" for k in range(classes)]).mapInArrow(run, "piece int, class int, uses double")
+        uses = np.full((size, classes), SMOOTHING)
+        for row in each.groupBy("piece", "class").agg(F.sum("uses").alias("uses")).collect():
+            uses[row["piece"], row["class"]] += row["uses"]
+        weights = np.log(uses / uses.sum(axis=0))
     # Sums of doubles depend on their order in the last digits; rounding them off makes reruns agree.
-    return Vocabulary(pieces, np.round(weights, 9), round(end, 9))
+    return np.round(weights, 8)
 
 
-def _block_words(docs: DataFrame) -> DataFrame:
-    """Distinct words of every block with their uses in training texts: (block, word, uses)."""
+def _block_words(docs: DataFrame, classes: int) -> DataFrame:
+    """Distinct words of every block with their uses in the training texts of each class."""
+    names = ["block", "word", *[f"u{k}" for k in range(classes)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        training: dict[int, Counter] = defaultdict(Counter)
+        training: dict[int, list[Counter]] = defaultdict(lambda: [Counter() for _ in range(classes)])
         other: dict[int, set] = defaultdict(set)
         for batch in batches:
-            blocks, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for block, out, data in zip(blocks, held, texts(batch), strict=True):
+            for block, kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch), strict=True):
                 words = data.lower().split()
-                if out:
+                if kind is None:
                     other[block].update(words)
                 else:
-                    training[block].update(words)
-        for block in training.keys() | other.keys():
-            uses = training.pop(block, Counter())
-            for word in other.pop(block, ()):
-                uses.setdefault(word, 0)
-            names, counts = list(uses.keys()), list(uses.values())
-            for a in range(0, len(names), 1 << 16):
-                part = names[a : a + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), pa.array(part, pa.binary()), pa.array(counts[a : a + (1 << 16)], pa.int64())],
-                    names=["block", "word", "uses"],
-                )
-
-    return docs.select("block", "held_out", "text").mapInArrow(run, "block long, word binary, uses long")
-
-
-def scores(docs: DataFrame, held_out: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> DataFrame:
+                    training[block][kind].update(words)
+        for block in sorted(training.keys() | other.keys()):
+            counts = training.pop(block, None) or [Counter() for _ in range(classes)]
+            words = list(other.pop(block, set()).union(*counts))
+            for a in range(0, len(words), 1 << 16):
+                part = words[a : a + (1 << 16)]
+                uses = [pa.array([c[w] for w in part], pa.int32()) for c in counts]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.binary()), *uses], names=names)
+
+    return docs.select("block", "class", "text").mapInArrow(
+        run, ", ".join(["block long", "word binary", *[f"u{k} int" for k in range(classes)]])
+    )
+
+
+def _classes(rows: DataFrame) -> tuple[list, DataFrame]:
+    """The classes with their numbers of training texts, and `class`: its number, null for held-out texts."""
+    found = rows.where(~F.col("held_out")).groupBy("kind").count().orderBy(F.col("count").desc(), "kind")
+    known = [(row.kind, row["count"]) for row in found.limit(CLASSES + 1).collect()]
+    named = known[: CLASSES - 1] if len(known) > CLASSES else known
+    number = F.lit(len(named))
+    for k, (kind, _) in enumerate(named):
+        number = F.when(F.col("kind").eqNullSafe(F.lit(kind)), k).otherwise(number)
+    rows = rows.withColumn("class", F.when(~F.col("held_out"), number).cast("int")).drop("kind")
+    counts = [count for _, count in named]
+    if len(known) > CLASSES:
+        counts.append(rows.where(F.col("class") == len(named)).count())
+    return counts or [0], rows
+
+
+def scores(docs: DataFrame, held_out: str, vocabulary: Vocabulary, kind: str | None = "lang", rounds: int = ROUNDS) -> DataFrame:
     """Model and word-count scores of every document, learnt from those whose `held_out` is false.
 
-    Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10). Null
-    texts are empty: one end token. Without training texts the vocabulary's own weights score.
-    Equal rows score alike, an empty table gives no rows, further columns are not read.
+    Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10). `kind` names
+    the column that classes the training texts (null is a class; none: one class). Null texts are
+    empty: one end token. Without training texts the vocabulary's own weights score. Equal rows
+    score alike, an empty table gives no rows, further columns are not read.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    rows = docs.select("doc_id", F.col(held_out).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    totals = rows.agg(
-        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(F.when(~F.col("held_out"), 1)), F.lit(0)).alias("texts"),
-    ).first()
-    blocks = pieces_of(totals.bytes, BLOCK_BYTES)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    group = F.col(kind).cast("string") if kind else F.lit(None).cast("string")
+    rows = docs.select("doc_id", F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"), group.alias("kind"), text.alias("text"))
+    training, rows = _classes(rows)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
+    blocks, count = pieces_of(size, BLOCK_BYTES), len(training)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    by_block = materialize(_block_words(rows.repartition(blocks, "block")), "lattice-blocks")
-    words = materialize(by_block.groupBy("word").agg(F.sum("uses").alias("uses")), "lattice-words")
-    known = words.agg(
-        F.coalesce(F.sum("uses"), F.lit(0)).alias("uses"), F.coalesce(F.sum(F.when(F.col("uses") > 0, 1)), F.lit(0)).alias("kinds")
-    ).first()
+    names = [f"u{k}" for k in range(count)]
+    # A word has one row a block here, so that no word is more rows than there are blocks.
+    same = Window.partitionBy("word")
+    words = _block_words(rows.repartition(blocks, "block"), count).withColumn(
+        "first", F.row_number().over(same.orderBy("block")) == 1
+    )
+    words = materialize(words.withColumns({n: F.sum(n).over(same) for n in names}), "lattice-words")
+    once = words.where("first")
+    uses = sum((F.col(n) for n in names[1:]), F.col(names[0]))
+    sums = [F.coalesce(F.sum(uses), F.lit(0)).alias("uses"), F.coalesce(F.sum((uses > 0).cast("int")), F.lit(0)).alias("kinds")]
+    for n in names:
+        sums += [F.coalesce(F.sum(n), F.lit(0)).alias(f"n_{n}")]
+        sums += [F.count(F.when(F.col(n) == times, 1)).alias(f"n{times}_{n}") for times in (1, 2)]
+        sums += [F.count(F.when(F.col(n) > 0, 1)).alias(f"v_{n}")]
+    known = once.agg(*sums).first()
     # The end is a token like any other, once a training text.
-    tokens, kinds = known.uses + totals.texts, known.kinds + (totals.texts > 0)
-    fitted = fit(words.where("uses > 0"), vocabulary, totals.texts, rounds)
-    pieces, weights = fitted.pieces, fitted.weights
+    ends = sum(training)
+    tokens, below = known.uses + ends, known.uses + ends + 0.5 * (known.kinds + (ends > 0) + 1)
+    base_end = math.log10((ends + 0.5) / below)
+    pieces, weights = vocabulary.pieces, fit(once, count, vocabulary, rounds)
+    total = np.array([known[f"n_{n}"] + t for n, t in zip(names, training, strict=True)], float)
+    discount = np.array([known[f"n1_{n}"] / max(1, known[f"n1_{n}"] + 2 * known[f"n2_{n}"]) for n in names]).clip(0.1, 0.95)
+    freed = np.array([known[f"v_{n}"] for n in names]) * discount
+    # A class without words leaves its words to the pieces.
+    bare = total - np.array(training) <= 0
+    total = np.where(total > 0, total, 2.0)
+    freed = np.where(bare, 1.0, freed)
+    end_weights = np.log(np.where(bare, np.maximum(training, 1) / (np.maximum(training, 1) + 1.0), np.array(training) / total))
+    total = np.where(bare, np.maximum(training, 1) + 1.0, total)
+    prior = np.log(np.maximum(np.array(training, float), 1e-300) / max(ends, 1)) if ends else np.zeros(count)
+    log_freed = np.log(freed / total)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces)
         for batch in batches:
-            for part in slices(batch, GROUP_WORDS):
-                values = lattice.log_probabilities(_strings(part), weights) / math.log(10)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values)], names=["word", "uses", "score"])
+            for part in slices(batch, GROUP_WORDS * 4):
+                words, seen = part.column(1).to_pylist(), {}
+                at = [seen.setdefault(w, len(seen)) for w in words]
+                distinct = [w.decode("utf-8", "replace") for w in seen]
+                cut = [lattice.log_probabilities(distinct[a : a + GROUP_WORDS], weights) for a in range(0, len(distinct), GROUP_WORDS)]
+                own = np.stack([part.column(k + 2).to_numpy(zero_copy_only=False) for k in range(count)], axis=1)
+                with np.errstate(divide="ignore"):
+                    whole = np.log(np.maximum(own - discount, 0) / total)
+                values = np.logaddexp(whole, np.concatenate(cut)[at] + log_freed).astype(np.float32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(own.sum(axis=1), pa.int64()), *(pa.array(v) for v in values.T)],
+                    names=["block", "word", "uses", *names],
+                )
 
-    weighed = words.mapInArrow(weigh, "word binary, uses long, score double")
-    figures = by_block.select("block", "word").join(weighed, "word").select("block", "word", "uses", "score")
-    below = tokens + 0.5 * (kinds + 1)
-    end_uses, end_score = totals.texts, fitted.end / math.log(10)
+    figures = words.select("block", "word", *names).mapInArrow(
+        weigh, ", ".join(["block long", "word binary", "uses long", *[f"{n} float" for n in names]])
+    )
 
     def score(block: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         place = {word: k for k, word in enumerate(right.column("word").to_pylist())}
         uses = right.column("uses").to_numpy()
-        model = right.column("score").to_numpy()
         base = np.log10((uses + 0.5) / below)
+        model = np.stack([right.column(n).to_numpy() for n in names], axis=1).astype(float)
         out: dict[str, list] = {name: [] for name in ("n_tokens", "n_known", "base_score", "score")}
         for data in left.column("text").cast(pa.binary()).to_pylist():
             found = data.lower().split()
             at = np.fromiter(map(place.__getitem__, found), np.int64, len(found))
             out["n_tokens"].append(len(at) + 1)
-            out["n_known"].append(int((uses[at] > 0).sum()) + (end_uses > 0))
-            out["base_score"].append(float(base[at].sum() + math.log10((end_uses + 0.5) / below)))
-            out["score"].append(float(model[at].sum() + end_score))
-        return pa.table(
-            {
-                "doc_id": left.column("doc_id"),
-                "held_out": left.column("held_out"),
-                "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-                "n_known": pa.array(out["n_known"], pa.int64()),
-                "train_tokens": pa.array([tokens] * left.num_rows, pa.int64()),
-                "base_score": pa.array(out["base_score"], pa.float64()),
-                "score": pa.array(out["score"], pa.float64()),
-            }
-        )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    sides = rows.repartition(blocks, "block").groupBy("block").cogroup(figures.groupBy("block"))
+            out["n_known"].append(int((uses[at] > 0).sum()) + (ends > 0))
+            out["base_score"].append(float(base[at].sum() + base_end))
+            by_class = model[at].sum(axis=0) + end_weights + prior
+            out["score"].append(float(np.logaddexp.reduce(by_class) / math.log(10)))
+        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
+        made = {name: pa.array(out[name], kinds[name]) for name in kinds}
+        train = {"train_tokens": pa.array([tokens] * left.num_rows, pa.int64())}
+        return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), **made, **train})
+
+    id_kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long"
+    sides = rows.drop("class").repartition(blocks, "block").groupBy("block").cogroup(figures.groupBy("block"))
     return sides.applyInArrow(score, schema)

@@ -8,13 +8,16 @@ on bytes and decode only where code points count.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 BLANKS = r"[\x20\x09-\x0D]"
 
 #: Most rows, and most bytes, that one Arrow batch carries into a Python task.
@@ -26,7 +29,14 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, so that long texts do not fill a task's memory."""
+    """Keep Arrow batches small, so that long texts do not fill a task's memory.
+
+    Also lets tasks import this package where it lies beside the driver's, as on a local master.
+    """
+    known = spark.sparkContext.environment
+    paths = [path for path in known.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if PACKAGE_ROOT not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
