@@ -182,7 +182,7 @@ def _inputs(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def _sample(docs: DataFrame, marks: DataFrame) -> list:
-    """Both views of the documents with the ids of `marks` (doc_id, quality), in order of their ids."""
+    """Both views of the documents with the ids of `marks` (doc_id, quality), in the order of a hash of their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,7 +193,7 @@ def _sample(docs: DataFrame, marks: DataFrame) -> list:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = _inputs(docs.join(marks, "doc_id"), "quality")
+    rows = _inputs(docs.join(F.broadcast(marks), "doc_id"), "quality")  # the marks are bounded
     found = rows.mapInArrow(run, f"doc_id {kind}, quality int, content array<double>, page array<double>")
     one = found.groupBy("doc_id").agg(F.min(F.struct("quality", "content", "page")).alias("row"))
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").select("row.*").collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchlens.llm import bpe, mixing, rules, shards, toxicity
+from watchlens.llm import bpe, cotrain, decontaminate, lattice, mixing, rules, secret_crf, shards, simhash, toxicity
 from watchlens.llm.text import documents, remainder
 
 SHARDS = 24
@@ -21,6 +21,17 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder))
 
 
+def op2_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op3_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = documents(spark, folder).withColumn("held_out", remainder(F.col("doc_id"), 5) == 1)
+    return lattice.scores(docs, "held_out", lattice.load_vocabulary(public_tokenizers.path(TOKENIZER)))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(documents(spark, folder)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -45,6 +56,23 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained without the labels of every fifth id, which show how it does."""
+    docs = documents(spark, folder)
+    model = cotrain.learn(docs, labels(spark, folder).where(remainder(F.col("doc_id"), 5) != 0))
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    return cotrain.scores(docs, model).withColumns({"held_out": held_out, "kept": F.col("score") >= 0.5})
+
+
+def op8_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_copies(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
+
+
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return secret_crf.scan(docs, secret_crf.learn(docs))
+
+
 def op9_shard_records(spark: SparkSession, folder: str) -> DataFrame:
     rows = shards.shard_rows(documents(spark, folder), shards.equal_weights(SHARDS), shards.equal_weights(SHARDS + 1))
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -52,9 +80,14 @@ def op9_shard_records(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_benchmark_leaks": op2_benchmark_leaks,
+    "op3_lattice_scores": op3_lattice_scores,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op8_near_copies": op8_near_copies,
     "op9_shard_records": op9_shard_records,
+    "op10_secrets": op10_secrets,
 }
 ORACLE: dict[str, str] = {}

@@ -11,7 +11,9 @@ recursion runs over all texts of a batch at once, one token of each a step.
 
 from __future__ import annotations
 
+import base64
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from hashlib import sha256
@@ -34,7 +36,7 @@ _SIGNS = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 
 BEGIN, INSIDE, OUTSIDE = range(3)
 #: Documents with and without pattern matches in the training sample; tokens kept round a match; steps.
-SAMPLE, AROUND, STEPS = 1500, 25, 160
+SAMPLE, AROUND, STEPS = 800, 20, 160
 #: Words whose class a task remembers.
 REMEMBERED = 400_000
 
@@ -54,12 +56,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _length(n: int) -> int:
-    return sum(n >= step for step in (3, 6, 9, 14, 20, 28, 40, 64))
+    return bisect_right((3, 6, 9, 14, 20, 28, 40, 64), n)
+
+
+def _keyword(token: str) -> bool:
+    return len(token) < 60 and _KEYWORDS.search(token) is not None
 
 
 def token_class(token: str) -> tuple:
     """What the field sees of a token: kinds of characters, their mixing, length, key words, edges."""
     core = token.strip("\"'`,;:()[]{}<>*#$%&!|.")
+    if core.isalpha() and token[0].isalpha() and core[1:].islower():  # nearly all tokens: the same, in short
+        return (_length(len(core)), 0, 0, 0, 0, False, _keyword(token), False, False, core.isascii())
     digits = sum(c.isdigit() for c in core)
     upper = sum(c.isupper() for c in core[1:])
     other = sum(not c.isalnum() for c in core)
@@ -72,16 +80,13 @@ def token_class(token: str) -> tuple:
         min(other, 3),
         min(changes, 6) // 2,
         hexes and digits > 0,
-        _KEYWORDS.search(token) is not None if len(token) < 60 else False,
+        _keyword(token),
         token[-1] in "=:" or "=" in token[:-1],
         token[0] in "\"'`",
         core.isascii(),
     )
 
 
-PLAIN_WORD = ("plain",)
-
-
 def _own(kind: tuple) -> list[str]:
     if kind == ("edge",):
         return ["edge"]
@@ -126,33 +131,54 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _TOKEN.finditer(text)]
 
 
-def _tags(spans: Sequence[tuple[int, int]], marked: Sequence[tuple[int, int, int]]) -> list[int]:
-    """The tags that pattern matches give to tokens: those that a match reaches."""
-    tags, k = [], 0
-    marked = [m for m in marked]
-    last = -1
+def values(text: str) -> list[tuple[int, int]]:
+    """Where the matches of the patterns hold the secret itself."""
+    found = {m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]} if _SIGNS.search(text) else set()
+    found |= {(a, b) for a, b, kind in base_spans(text) if kind}
+    return sorted(found)
+
+
+def _tags(spans: Sequence[tuple[int, int]], marked: Sequence[tuple[int, int]]) -> list[int]:
+    """Tags of tokens by the secrets that reach them; both lists are in order."""
+    tags, last, k = [], None, 0
     for start, end in spans:
         while k < len(marked) and marked[k][1] <= start:
             k += 1
-        hit = next((j for j in range(k, len(marked)) if marked[j][0] < end and marked[j][1] > start), None)
-        tags.append(OUTSIDE if hit is None else INSIDE if last >= 0 and marked[hit][0] < marked[last][1] else BEGIN)
-        last = -1 if hit is None else hit
+        hit = marked[k] if k < len(marked) and marked[k][0] < end else None
+        tags.append(OUTSIDE if hit is None else INSIDE if hit == last else BEGIN)
+        last = hit
     return tags
 
 
+def _variants(words: list[str], tags: list[int]) -> Iterator[tuple[list[str], list[int]]]:
+    """The words as they are; without separators between name and secret; with another spelling of the secret."""
+    yield words, tags
+    if all(tag == OUTSIDE for tag in tags):
+        return
+    kept = [k for k, w in enumerate(words) if tags[k] != OUTSIDE or w not in ("=", ":", ":=", "=>")]
+    yield [words[k] for k in kept], [tags[k] for k in kept]
+    other = list(words)
+    for k, tag in enumerate(tags):
+        if tag != OUTSIDE:
+            spelt = base64.b64encode(sha256(words[k].encode()).digest()).decode()
+            other[k] = spelt[: max(12, min(40, len(words[k])))]
+    yield other, tags
+    yield [other[k] for k in kept], [tags[k] for k in kept]
+
+
 def sequences(text: str, lang: str | None) -> list[tuple[list[tuple], list[int], list[str]]]:
-    """Training sequences of a document: the stretches round its matches, or one from its middle."""
-    spans, marked = tokens(text), base_spans(text)
-    tags = _tags(spans, marked)
+    """Training sequences of a document: the stretches round its secrets, or one from its middle."""
+    spans = tokens(text)
+    tags = _tags(spans, values(text))
     file = _file(sum(c.isdigit() for c in text) / max(1, len(text)), lang)
-    hits = [k for k, tag in enumerate(tags) if tag != OUTSIDE]
-    middles = hits or [len(spans) // 2]
+    middles = [k for k, tag in enumerate(tags) if tag != OUTSIDE] or [len(spans) // 2]
     out, until = [], 0
     for k in middles:
         a, b = max(until, k - AROUND), min(len(spans), k + AROUND)
         if k < until or a >= b:
             continue
-        out.append(([token_class(text[s:e]) for s, e in spans[a:b]], tags[a:b], file))
+        for words, own in _variants([text[s:e] for s, e in spans[a:b]], tags[a:b]):
+            out.append(([token_class(w) for w in words], own, file))
         until = b
     return out
 
@@ -273,10 +299,9 @@ class Tagger:
     def spans(self, many: Sequence[str], langs: Sequence[str | None]) -> list[list[tuple[int, int, int]]]:
         find, rows = self.known.get, []
         for text in many:
-            row = []
-            for token in _TOKEN.findall(text):
-                place = find(token)
-                row.append(self.number(token) if place is None else place)
+            row = list(map(find, parts := _TOKEN.findall(text)))
+            if None in row:
+                row = [self.number(token) if place is None else place for token, place in zip(parts, row, strict=True)]
             rows.append(np.array(row, np.int64))
         own, before, after = np.array(self.own), np.array(self.before), np.array(self.after)
         emits = []
@@ -310,6 +335,7 @@ _NO_DIGITS = str.maketrans("", "", "0123456789")
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Field:
     """Train a field on `sample` documents with pattern matches and as many without, by a hash of the id."""
+    bound_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     hint = r"(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{24}"
@@ -318,7 +344,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Field:
     hints = rows.groupBy("doc_id").agg(F.max(F.col("text").rlike(hint)).alias("hint"))
     order = (F.xxhash64("doc_id", F.lit(11)), "doc_id")
     ids = [hints.where(F.col("hint") == on).orderBy(*order).limit(sample).select("doc_id") for on in (True, False)]
-    taken = rows.join(ids[0].unionByName(ids[1]), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row"))
+    taken = rows.join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchlens.llm.text import bound_batches, texts
+from watchlens.session import materialize
 
-#: Most terms of the lexicon, most exception phrases, most labelled documents in the fit of the weights.
-TERMS, PHRASES, FIT_ROWS = 400, 400, 60_000
+#: Most terms of the lexicon, most exception phrases, most labelled documents that it is learnt from.
+TERMS, PHRASES, FIT_ROWS = 400, 400, 40_000
 #: Lengths of shared beginnings, and the most that one term counts in a text.
 STEMS, MOST_HITS = range(4, 9), 6
 #: A candidate term occurs in so many toxic documents at least.
@@ -226,13 +227,15 @@ def _fit(rows: Sequence, terms: Sequence[str]) -> tuple[np.ndarray, float]:
 def learn(docs: DataFrame, labels: DataFrame, harmless: Sequence[str] = HARMLESS) -> Lexicon:
     """Learn a lexicon from `labels` (doc_id, toxic 0 or 1; other values are no label).
 
-    Counts run over all labelled documents. The weights are fitted on at most FIT_ROWS of them,
-    taken by a hash of the id. Without toxic or without clean documents the lexicon is empty.
+    At most FIT_ROWS labelled ids are taken, by a hash of the id; with that bound they are sent to
+    where the texts are. Without toxic or without clean documents the lexicon is empty.
     """
     bound_batches(docs.sparkSession)
     marks = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    labelled = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(marks, "doc_id")
+    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    labelled = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(marks), "doc_id")
+    labelled = materialize(labelled, "toxicity")
     totals = {row.toxic: row["count"] for row in labelled.groupBy("toxic").count().collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not clean or not toxic:
@@ -246,8 +249,8 @@ def learn(docs: DataFrame, labels: DataFrame, harmless: Sequence[str] = HARMLESS
     ).where((F.col("clean") >= 3) & (F.col("toxic") == 0))
     learnt = [row.phrase for row in mild.orderBy(F.col("clean").desc(), "phrase").limit(PHRASES).collect()]
     phrases = tuple(dict.fromkeys([fold(p.encode()).strip() for p in harmless] + learnt))
-    sample = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    weights, bias = _fit(sample.select("toxic", "words", "terms", "counts").collect(), terms)
+    one = found.groupBy("doc_id").agg(F.min(F.struct("toxic", "words", "terms", "counts")).alias("row"))
+    weights, bias = _fit(one.orderBy("doc_id").select("row.*").collect(), terms)
     own = {t: round(float(w), 6) for t, w in zip(terms, weights, strict=True) if w > 0.05}
     return Lexicon(own, phrases, round(bias, 6))
 
