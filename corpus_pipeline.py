@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchlens.llm import cotrain, decontaminate, mixing, shards, simhash
+from watchlens.llm import cotrain, decontaminate, mixing, shards, similar
 from watchlens.llm.text import documents
 from watchlens.session import materialize
 
 SHARDS = 24
-#: Near copies: shingles of five words, and the bits in which copies' fingerprints may differ.
-SHINGLE_WORDS, RADIUS = 5, 4
+#: Near copies: words of a shingle, and the similarity from which texts are copies.
+SHINGLE_WORDS, LEAST_SIMILARITY = 5, 0.8
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies."""
-    return simhash.one_of_each(docs, SHINGLE_WORDS, RADIUS)
+    return similar.one_of_each(docs, SHINGLE_WORDS, LEAST_SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ is sent the fingerprints of the shard's later trees.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 from math import comb
 
@@ -32,11 +32,11 @@ BITS, SEED = 64, 42
 TREE_ROWS = 4000
 
 
-def fingerprint(data: bytes, width: int) -> int:
-    """The SimHash of a text's `width`-word shingles, A-Z lower-cased; 0 without words."""
+def shingle_hashes(data: bytes, width: int) -> np.ndarray:
+    """Hashes of a text's `width`-word shingles, A-Z lower-cased, repeats included; none without words."""
     words = data.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = list(accumulate([len(w) + 1 for w in words]))  # a word's end, with the blank
     if len(words) <= width:
@@ -44,7 +44,12 @@ def fingerprint(data: bytes, width: int) -> int:
     else:
         digest = xxhash.xxh64_intdigest
         hashes = [digest(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[width - 1 :], strict=False)]
-    rows = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)
+    return np.array(hashes, np.uint64)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash of shingle hashes: the bits set in over half of them; 0 of none."""
+    rows = hashes.view(np.uint8).reshape(-1, 8)
     ones = np.zeros(BITS, np.int64)
     for start in range(0, len(rows), 1 << 15):
         ones += np.unpackbits(rows[start : start + (1 << 15)], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -61,7 +66,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [signed(fingerprint(data, width)) for data in texts(batch)]
+            prints = [signed(fingerprint(shingle_hashes(data, width))) for data in texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(prints, pa.int64())], names=["doc_id", "text_hash", "fingerprint"]
             )
@@ -93,8 +98,8 @@ class BKTree:
             node = parent[node]
         return node
 
-    def near(self, value: int) -> list[int]:
-        """One node within the radius, at least, of every component that has any."""
+    def near(self, value: int, check: Callable[[int], bool] | None = None) -> list[int]:
+        """One node within the radius of every component that has any; `check` may refuse a node."""
         if not self.values:
             return []
         radius, values, found = self.radius, self.values, {}
@@ -102,17 +107,18 @@ class BKTree:
         while stack:
             node = stack.pop()
             distance = (values[node] ^ value).bit_count()
-            if distance <= radius:
-                found.setdefault(self.root(node), node)
-            if found and self.uniform[node] and self.root(node) in found:
+            root = self.root(node)
+            if distance <= radius and root not in found and (check is None or check(node)):
+                found[root] = node
+            if self.uniform[node] and root in found:
                 continue
             low, high = distance - radius, distance + radius
             stack.extend(child for edge, child in self.children[node].items() if low <= edge <= high)
         return list(found.values())
 
-    def add(self, value: int) -> list[int]:
-        """Insert a value that is not there yet; gives the values it is joined to."""
-        linked = self.near(value)
+    def add(self, value: int, check: Callable[[int], bool] | None = None) -> list[int]:
+        """Insert a value; gives the nodes it is joined to. Equal values are nodes of their own."""
+        linked = self.near(value, check)
         new = len(self.values)
         self.values.append(value)
         self.children.append({})
@@ -125,7 +131,7 @@ class BKTree:
             self.uniform[node] = self.uniform[node] and self.root(node) == self.root(new)
             edge = (self.values[node] ^ value).bit_count()
             node = self.children[node].setdefault(edge, new)
-        return [self.values[k] for k in linked]
+        return linked
 
 
 def _masks(count: int, radius: int) -> list[int]:
@@ -159,10 +165,9 @@ def links(prints: DataFrame, radius: int, count: int) -> DataFrame:
                 if (choice, block, at) != now:
                     now, tree, last = (choice, block, at), BKTree(radius), None
                 unsigned = value & ((1 << 64) - 1)
-                found = tree.add(unsigned) if own_tree == at else [tree.values[k] for k in tree.near(unsigned)]
-                for other in found:
+                for node in tree.add(unsigned) if own_tree == at else tree.near(unsigned):
                     left.append(value)
-                    right.append(signed(other))
+                    right.append(signed(tree.values[node]))
             if left:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
@@ -196,27 +201,3 @@ def near_copies(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
         "component",
         "component_id",
     )
-
-
-def one_of_each(docs: DataFrame, width: int = 5, radius: int = 4) -> DataFrame:
-    """The documents without near copies: of every component the one with the smallest doc_id.
-
-    Equal rows count as copies too. Documents with a null id stay only if no copy has an id.
-    Columns are those of `docs`, which are read but for names that start with two underscores.
-    """
-    rows = materialize(near_copies(docs, width, radius), "simhash-kept")
-    keeper = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    keepers = rows.where(keeper).groupBy("component", "doc_id").agg(F.min("text_hash").alias("__hash"))
-    keepers = keepers.select(F.col("doc_id").alias("__id"), "__hash")
-    marked = docs.withColumn("__own", F.xxhash64(F.col("text").cast("string")))
-    same = marked["doc_id"].eqNullSafe(F.col("__id")) & (marked["__own"] == F.col("__hash"))
-    kept = marked.join(keepers, same, "left_semi")
-    # Rows that are equal all through were kept together; they are rare, so only they are sorted out.
-    again = rows.where(keeper).groupBy("doc_id", "text_hash").count().where("count > 1")
-    again = again.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    same = kept["doc_id"].eqNullSafe(F.col("__id")) & (kept["__own"] == F.col("__hash"))
-    if again.isEmpty():
-        return kept.select(*docs.columns)
-    single = kept.join(again, same, "left_anti")
-    folded = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "__own"])
-    return single.unionByName(folded).select(*docs.columns)
