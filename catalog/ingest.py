@@ -49,18 +49,18 @@ def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
 
 def dedupe_events(spark: SparkSession, folder: str) -> DataFrame:
     good = ops.accepted(_parsed(spark, folder))
-    return ops.first_per_event(good, ["timestamp_ts", "offset"]).select("event_id", "user_id", "offset")
+    return ops.first_per_event(good, ["timestamp_ts", "partition", "offset"]).select("event_id", "user_id", "offset")
 
 
 def new_events_only(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted events that are no stored watch event yet."""
     stored = testbed.user_events(spark, folder).where(F.col("event_type") == "watch")
-    good = ops.first_per_event(ops.accepted(_parsed(spark, folder)), ["timestamp_ts", "offset"])
+    good = ops.first_per_event(ops.accepted(_parsed(spark, folder)), ["timestamp_ts", "partition", "offset"])
     return ops.not_yet_stored(good, stored).select("event_id", "event_type")
 
 
 def ingest_projection(spark: SparkSession, folder: str) -> DataFrame:
-    good = ops.first_per_event(ops.accepted(_parsed(spark, folder)), ["timestamp_ts", "offset"])
+    good = ops.first_per_event(ops.accepted(_parsed(spark, folder)), ["timestamp_ts", "partition", "offset"])
     return ops.stored_event(good)
 
 
@@ -152,7 +152,7 @@ QUERIES = {
 }
 
 _MESSAGES = with_(EV, MSG, PARSED)
-_FIRST = """first_good AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts, off) AS rn
+_FIRST = """first_good AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts, part, off) AS rn
   FROM judged WHERE reject_reason IS NULL) WHERE rn = 1)"""
 _FIRST_GOOD = with_(EV, MSG, PARSED, _FIRST)
 _RECORDS = """records AS (SELECT
@@ -173,7 +173,7 @@ ORACLE = {
 FROM judged GROUP BY 1""",
     "dead_letters": _MESSAGES + """SELECT ts AS timestamp, 'MessageProcessingError' AS error_type,
   reject_reason AS error_message, 'user-events' AS topic, part AS partition, off AS "offset", key,
-  substr(value, 1, 500) AS raw_value FROM judged WHERE reject_reason IS NOT NULL""",
+  value AS raw_value FROM judged WHERE reject_reason IS NOT NULL""",
     "dedupe_events": _FIRST_GOOD + 'SELECT event_id, user_id, off AS "offset" FROM first_good',
     "new_events_only": _FIRST_GOOD + """SELECT event_id, event_type FROM first_good
 WHERE event_id NOT IN (SELECT event_id FROM ev WHERE event_type = 'watch')""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog.sqltext import CONTENTS, EV, RECS, USERS, ab, with_
@@ -11,6 +11,7 @@ from watchlens.operators.tables import fill_defaults
 from watchlens.schemas import TABLES
 from watchlens.session import materialize
 from watchlens.sources import testbed
+from watchlens.sources.testbed import without_some
 
 NOW = "2024-01-20 00:05:00"
 HORIZON_DAYS = 7
@@ -58,6 +59,23 @@ def als_topk(spark: SparkSession, folder: str) -> DataFrame:
     return ops.als_recommendations(_matrix(spark, folder))
 
 
+def als_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of every user's model-based list, whatever the model found."""
+    matrix = _matrix(spark, folder)
+    lists = materialize(ops.als_recommendations(matrix), "als")
+    known = matrix.select("user_id", "content_id", F.lit(1).alias("known"))
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
+    judged = lists.withColumn("falling", F.coalesce(F.col("score") <= before, F.lit(True)))
+    judged = judged.join(known, ["user_id", "content_id"], "left")
+    return judged.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("list_size"),
+        (F.count_distinct("content_id") == F.count(F.lit(1))).alias("all_different"),
+        ((F.min("rank") == 1) & (F.max("rank") == F.count(F.lit(1)))).alias("ranks_whole"),
+        F.sum(F.coalesce("known", F.lit(0))).alias("known"),
+        F.min("falling").alias("falling"),
+    )
+
+
 def session_recs(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(ops.session_based(_visits(spark, folder)), "score")
 
@@ -78,8 +96,8 @@ def blended_recs(spark: SparkSession, folder: str) -> DataFrame:
     matrix = _matrix(spark, folder)
     scores = materialize(ops.popularity(matrix), "popularity")
     sources = {
-        ops.COLLABORATIVE: ops.user_cf(matrix, 4),
-        ops.SESSION: ops.session_based(_visits(spark, folder), 4),
+        ops.COLLABORATIVE: ops.user_cf(matrix),
+        ops.SESSION: ops.session_based(_visits(spark, folder)),
         ops.PREFERENCE: _preference(spark, folder, scores),
         ops.POPULAR: ops.popular_for_all(testbed.user_profiles(spark, folder), scores),
     }
@@ -135,7 +153,7 @@ def precision_at_10(spark: SparkSession, folder: str) -> DataFrame:
 
 def rec_diversity(spark: SparkSession, folder: str) -> DataFrame:
     lists = ops.latest_recommendations(testbed.recommendations(spark, folder))
-    return _rounded(experiment.diversity(lists, testbed.contents(spark, folder)), "diversity")
+    return _rounded(experiment.diversity(lists, without_some(testbed.contents(spark, folder))), "diversity")
 
 
 QUERIES = {
@@ -144,6 +162,7 @@ QUERIES = {
     "recommendation_rows": recommendation_rows,
     "similar_users": similar_users,
     "als_topk": als_topk,
+    "als_check": als_check,
     "session_cooccurrence": lambda spark, folder: ops.cooccurrence(_visits(spark, folder)),
     "session_recs": session_recs,
     "popular_contents": lambda spark, folder: ops.popular(ops.popularity(ops.interactions(_events(spark, folder)))),
@@ -202,7 +221,9 @@ ATTR = f"""attr AS (SELECT recs.*,
           AND event_type IN ('watch', 'watch_complete')
           AND ev.ts BETWEEN recs.created_at AND recs.created_at + INTERVAL '{HORIZON_DAYS} days') AS is_watched
   FROM recs),
-best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY recommendation_score DESC, created_at DESC, content_id) AS rank FROM attr),
+one AS (SELECT user_id, ab_test_group, content_id, max(is_watched) AS is_watched, max(recommendation_score) AS recommendation_score,
+  arg_max(created_at, (recommendation_score, created_at)) AS created_at FROM attr GROUP BY ALL),
+best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY recommendation_score DESC, created_at DESC, content_id) AS rank FROM one),
 prec AS (SELECT user_id, ab_test_group, count(*) FILTER (is_watched) / 10 AS precision FROM best WHERE rank <= 10 GROUP BY ALL)"""
 METRICS = f"""metrics AS (
   SELECT ab_test_group AS test_group, 'click_rate' AS metric_name, avg(CAST(is_clicked AS INTEGER)) AS metric_value, count(*) AS sample_size FROM attr GROUP BY 1
@@ -222,6 +243,9 @@ FROM cf WHERE rank <= 10""",
     (SELECT sum(weight * weight)::DOUBLE FROM matrix n WHERE n.user_id = b.user_id)), 6) AS similarity
 FROM matrix a JOIN matrix b ON a.content_id = b.content_id AND a.user_id = 'user-00007' AND b.user_id <> 'user-00007'
 GROUP BY b.user_id ORDER BY similarity DESC, b.user_id LIMIT 10""",
+    "als_check": with_(EV) + """SELECT user_id, CAST(least(10, (SELECT count(DISTINCT content_id) FROM ev) - count(DISTINCT content_id)) AS BIGINT) AS list_size,
+  true AS all_different, true AS ranks_whole, CAST(0 AS BIGINT) AS known, true AS falling
+FROM ev GROUP BY 1 HAVING count(DISTINCT content_id) < (SELECT count(DISTINCT content_id) FROM ev)""",
     "session_cooccurrence": with_(EV, COOC) + "SELECT * FROM cooc",
     "session_recs": with_(EV, COOC, SB) + """SELECT user_id, content_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
 FROM sb WHERE rank <= 10""",
@@ -234,8 +258,8 @@ FROM sb WHERE rank <= 10""",
   CAST(rank AS INTEGER) AS rank FROM pref""",
     "blended_recs": with_(EV, USERS, CONTENTS, MATRIX, CF, COOC, SB, POP, PREF, """offers AS (
   SELECT user_id, content_id, score::DOUBLE AS score, 0 AS place, rank, 'collaborative_filtering' AS algorithm,
-    'people with a similar history watched this' AS reason FROM cf WHERE rank <= 4
-  UNION ALL SELECT user_id, content_id, score, 1, rank, 'session_based', 'goes with what you watched last' FROM sb WHERE rank <= 4
+    'people with a similar history watched this' AS reason FROM cf WHERE rank <= 10
+  UNION ALL SELECT user_id, content_id, score, 1, rank, 'session_based', 'goes with what you watched last' FROM sb WHERE rank <= 10
   UNION ALL SELECT user_id, content_id, score, 2, rank, 'preference', 'in a genre you like' FROM pref
   UNION ALL SELECT user_id, content_id, score, 3, rank, 'popularity', 'popular now' FROM users, (
     SELECT *, row_number() OVER (ORDER BY score DESC, content_id) AS rank FROM pop) WHERE rank <= 10),
@@ -244,7 +268,8 @@ one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, conten
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY place, rank, content_id) AS r FROM one) WHERE r <= 10""",
     "latest_recs": with_(RECS) + """SELECT user_id, content_id, created_at, recommendation_score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, recommendation_score DESC, content_id) AS rank
-  FROM recs) WHERE rank <= 10""",
+  FROM (SELECT * FROM recs QUALIFY row_number() OVER (PARTITION BY user_id, content_id ORDER BY created_at DESC, recommendation_score DESC) = 1))
+WHERE rank <= 10""",
     "recs_ttl_fallback": with_(RECS, f"""fresh AS (SELECT * FROM recs WHERE algorithm = 'collaborative_filtering'
   AND created_at > {_TTL} AND created_at <= TIMESTAMP '{NOW}')""") + """SELECT user_id, content_id, created_at, 'cache' AS served_from FROM fresh
 UNION ALL SELECT user_id, content_id, created_at, 'store' FROM recs WHERE user_id NOT IN (SELECT user_id FROM fresh)""",
@@ -267,8 +292,11 @@ cdf AS (SELECT *, 1.0::DOUBLE / (1.0 + 0.2316419::DOUBLE * abs(z)) AS t FROM sco
     - 1.821255978::DOUBLE * t ** 4 + 1.330274429::DOUBLE * t ** 5), 6) AS p_value,
   least(sample_a, sample_b) >= 100 AS enough FROM cdf""",
     "rec_diversity": with_(CONTENTS, RECS, """l AS (SELECT * FROM (SELECT *, row_number() OVER (
-    PARTITION BY user_id ORDER BY created_at DESC, recommendation_score DESC, content_id) AS rank FROM recs) WHERE rank <= 10),
-c AS (SELECT user_id, genre, count(*) AS n FROM l JOIN contents USING (content_id) GROUP BY ALL)""") + """SELECT user_id,
+    PARTITION BY user_id ORDER BY created_at DESC, recommendation_score DESC, content_id) AS rank FROM (
+    SELECT * FROM recs QUALIFY row_number() OVER (PARTITION BY user_id, content_id ORDER BY created_at DESC, recommendation_score DESC) = 1))
+  WHERE rank <= 10),
+c AS (SELECT user_id, coalesce(genre, 'Unknown') AS genre, count(*) AS n FROM l
+  LEFT JOIN (SELECT * FROM contents WHERE CAST(split_part(content_id, '-', 2) AS INTEGER) % 7 <> 0) USING (content_id) GROUP BY ALL)""") + """SELECT user_id,
   CAST(sum(n) AS BIGINT) AS list_size,
   round(1 - CASE WHEN sum(n) > 1 THEN sum(n * (n - 1)) / (sum(n) * (sum(n) - 1)) END, 6) AS diversity FROM c GROUP BY 1""",
     "precision_at_10": with_(EV, RECS, ATTR) + "SELECT * FROM prec",

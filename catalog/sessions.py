@@ -172,7 +172,7 @@ ORACLE = {
     "session_rollup": _SUMMARY_SQL,
     "session_summary": _SUMMARY_SQL,
     "analyze_session": _SUMMARY_SQL.replace("GROUP BY", "WHERE session_id = 'user-00007-sess-20240105' GROUP BY"),
-    "array_to_json": with_(EV) + f"""SELECT session_id, user_id, start_time, end_time, event_count, total_watched_minutes,
+    "array_to_json": with_(EV) + f"""SELECT session_id, user_id, w AS window_start, w + INTERVAL '3 hours' AS window_end, start_time, end_time, event_count, total_watched_minutes,
   browsed_contents, watched_contents, completed_contents FROM (
   SELECT session_id, user_id, time_bucket(INTERVAL '3 hours', ts) AS w, {MEASURES},
     {', '.join(_json_list(kind, name) for name, kind in ops.LISTS.items())}

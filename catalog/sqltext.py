@@ -69,7 +69,7 @@ bodies AS (
   SELECT *, '{{"event_id":"' || event_id || '","timestamp":"' || stamp || '"'
     || CASE WHEN damage = 1 THEN '' ELSE ',"user_id":"' || user_id || '"' END
     || ',"session_id":"' || session_id || '","event_type":"'
-    || CASE WHEN damage = 2 THEN 'invalid_type' ELSE event_type END
+    || CASE WHEN damage = 2 THEN 'paused' ELSE event_type END
     || '","content_id":"' || CASE WHEN damage = 3 THEN '' ELSE content_id END
     || '","watched_minutes":' || watched_minutes || ',"metadata":' || meta || '}}' AS body
   FROM parts),

@@ -61,6 +61,11 @@ def _on_events(operator):
     return lambda spark, folder: operator(_events(spark, folder))
 
 
+def _on_some(operator):
+    """On a catalogue in which contents are missing."""
+    return lambda spark, folder: operator(_events(spark, folder), testbed.without_some(testbed.contents(spark, folder)))
+
+
 def _on_both(operator):
     return lambda spark, folder: operator(_events(spark, folder), testbed.contents(spark, folder))
 
@@ -81,8 +86,8 @@ QUERIES = {
     "genre_hour_cube": _on_both(ops.genre_hour_cube),
     "watch_heatmap": _on_events(ops.heat_map),
     "moving_average": moving_average,
-    "genre_preference": _on_both(ops.genre_preference),
-    "completion_dropoff": _on_both(ops.drop_off),
+    "genre_preference": _on_some(ops.genre_preference),
+    "completion_dropoff": _on_some(ops.drop_off),
     "rating_summary": _on_events(ops.rating_summary),
     "rewatches": rewatches,
     "current_watchlist": _on_events(ops.current_watchlist),
@@ -92,6 +97,7 @@ QUERIES = {
 }
 
 _JOINED = with_(EV, CONTENTS)
+_SOME = with_(EV, CONTENTS, "catalogue AS (SELECT * FROM contents WHERE CAST(split_part(content_id, '-', 2) AS INTEGER) % 7 <> 0)")
 
 ORACLE = {
     "user_stats": with_(USERS) + """SELECT count(*) AS total_users, round(avg(total_purchases), 2) AS avg_purchases,
@@ -132,13 +138,13 @@ FROM ev WHERE event_type IN ('watch', 'watch_complete') GROUP BY ALL""",
     "moving_average": with_(EV) + """SELECT *, round(avg(events) OVER (PARTITION BY event_type ORDER BY bucket_start
   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS moving_average
 FROM (SELECT event_type, date_trunc('hour', ts) AS bucket_start, count(*) AS events FROM ev GROUP BY ALL)""",
-    "genre_preference": _JOINED + """SELECT *, round(events / sum(events) OVER (PARTITION BY user_id), 6) AS share FROM (
-  SELECT user_id, genre, count(*) AS events, CAST(sum(watched_minutes) AS BIGINT) AS minutes
-  FROM ev JOIN contents USING (content_id) GROUP BY ALL)""",
-    "completion_dropoff": _JOINED + """SELECT content_id,
-  CAST(least(floor(watched_minutes * 10 / duration_minutes), 10) AS INTEGER) AS tenth, count(*) AS watches,
-  round(avg(least(watched_minutes / duration_minutes, 1.0::DOUBLE)), 6) AS mean_ratio
-FROM ev JOIN contents USING (content_id) WHERE event_type = 'watch' AND duration_minutes > 0 GROUP BY 1, 2""",
+    "genre_preference": _SOME + """SELECT *, round(events / sum(events) OVER (PARTITION BY user_id), 6) AS share FROM (
+  SELECT user_id, coalesce(genre, 'Unknown') AS genre, count(*) AS events, CAST(sum(watched_minutes) AS BIGINT) AS minutes
+  FROM ev LEFT JOIN catalogue USING (content_id) GROUP BY ALL)""",
+    "completion_dropoff": _SOME + """SELECT content_id,
+  CASE WHEN duration_minutes IS NOT NULL THEN CAST(least(floor(watched_minutes * 10 / duration_minutes), 10) AS INTEGER) END AS tenth, count(*) AS watches,
+  round(avg(CASE WHEN duration_minutes IS NOT NULL THEN least(watched_minutes / duration_minutes, 1.0::DOUBLE) END), 6) AS mean_ratio
+FROM ev LEFT JOIN (SELECT * FROM catalogue WHERE duration_minutes > 0) USING (content_id) WHERE event_type = 'watch' GROUP BY 1, 2""",
     "rating_summary": with_(EV) + """SELECT content_id, count(*) AS ratings, round(avg(r), 6) AS mean_rating,
   count(*) FILTER (r = 1) AS rated_1, count(*) FILTER (r = 2) AS rated_2, count(*) FILTER (r = 3) AS rated_3,
   count(*) FILTER (r = 4) AS rated_4, count(*) FILTER (r = 5) AS rated_5

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalog.ingest import ORACLE as INGEST_SQL
 from catalog.recommend import HORIZON_DAYS
 from catalog.sessions import _GAP_AGG, _gap_sql, _readable, _windows_sql
 from catalog.sqltext import EV, RECS, with_
+from watchlens.operators.sessions import session_windows
+from watchlens.operators.tables import fill_defaults
+from watchlens.schemas import TABLES
 from watchlens.session import shared_folder
 from watchlens.sources import messages, testbed
 from watchlens.streaming import queries, sinks
 
-STAGED_FILES = 2
+STAGED_FILES = 4
 # Longer than the data: files of a staged table come in any order, none is late.
 LONG_WATERMARK = "60 days"
 
@@ -28,12 +32,17 @@ def _run_to_log(spark: SparkSession, stream: DataFrame, name: str, mode: str) ->
     return spark.read.parquet(f"{folder}/log")
 
 
+def _staged(spark: SparkSession, folder: str, work: str) -> str:
+    """The events as several files, in ranges of their time."""
+    events = testbed.table(spark, folder, "events")
+    events.repartitionByRange(STAGED_FILES, "ts").write.parquet(f"{work}/staged")
+    return f"{work}/staged"
+
+
 def stream_sessions_update(spark: SparkSession, folder: str) -> DataFrame:
     """Events come in several batches; every change of a window replaces its row."""
     work = shared_folder(spark, "sessions-update")
-    events = testbed.table(spark, folder, "events")
-    events.repartitionByRange(STAGED_FILES, "ts").write.parquet(f"{work}/events")
-    raw = messages.file_stream(spark, f"{work}/events", testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+    raw = messages.file_stream(spark, _staged(spark, folder, work), testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
     stream = queries.with_instants(testbed.as_user_events(raw), "timestamp_ts")
     windows = queries.session_stream(stream, "3 hours", LONG_WATERMARK)
     queries.run(windows, "sessions-update", f"{work}/checkpoint", sinks.batch_log(f"{work}/log"), "update")
@@ -59,14 +68,33 @@ def stream_sliding_activity(spark: SparkSession, folder: str) -> DataFrame:
 def _ingest(spark: SparkSession, folder: str, name: str) -> str:
     work = shared_folder(spark, name)
     raw = messages.file_stream(spark, f"{folder}/events.parquet", testbed.EVENTS_SCHEMA)
-    parsed = queries.counted(queries.ingest_stream(testbed.as_messages(raw)))
-    queries.run(parsed, name, f"{work}/checkpoint", sinks.ingest_writer(f"{work}/events", f"{work}/letters"), "append")
+    _store(testbed.as_messages(raw), name, work)
     return work
 
 
+def _store(received: DataFrame, name: str, work: str) -> None:
+    writer = sinks.ingest_writer(f"{work}/events", f"{work}/letters", counts_path=f"{work}/counts")
+    queries.run(queries.counted(queries.ingest_stream(received)), name, f"{work}/checkpoint", writer, "append")
+
+
 def stream_dedupe_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    work = _ingest(spark, folder, "ingest")
-    return spark.read.parquet(f"{work}/events").drop("batch_id")
+    return sinks.current_events(spark, f"{_ingest(spark, folder, 'ingest')}/events")
+
+
+def stream_ingest_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that come the latest first, a part of the time a batch: nothing may be lost."""
+    work = shared_folder(spark, "out-of-order")
+    events = testbed.table(spark, folder, "events")
+    span = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    edges = [span.first + (span.last - span.first) * k / STAGED_FILES for k in range(STAGED_FILES)]
+    for k in reversed(range(STAGED_FILES)):
+        part = events.where(F.col("ts") >= F.lit(edges[k]).cast("timestamp_ntz"))
+        if k + 1 < STAGED_FILES:
+            part = part.where(F.col("ts") < F.lit(edges[k + 1]).cast("timestamp_ntz"))
+        part.write.mode("append").parquet(f"{work}/staged")
+    raw = messages.file_stream(spark, f"{work}/staged", testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+    _store(testbed.as_messages(raw), "out-of-order", work)
+    return sinks.current_events(spark, f"{work}/events")
 
 
 def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,14 +103,37 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """What the ingest query counted on its way, out of its progress."""
-    work = shared_folder(spark, "metrics")
-    raw = messages.file_stream(spark, f"{folder}/events.parquet", testbed.EVENTS_SCHEMA)
-    parsed = queries.counted(queries.ingest_stream(testbed.as_messages(raw)))
-    query = queries.run(parsed, "metrics", f"{work}/checkpoint", sinks.ingest_writer(f"{work}/events", f"{work}/letters"), "append")
-    seen = [p.observedMetrics["ingest"] for p in query.recentProgress if "ingest" in p.observedMetrics]
-    rows = [(name, sum(int(counts[name]) for counts in seen)) for name in ("consumed", "saved", "errors")]
-    return spark.createDataFrame(rows, "metric_name string, metric_value bigint")
+    """What the ingest query counted in all its batches, and the copies among the stored events."""
+    work = _ingest(spark, folder, "metrics")
+    names = ["consumed", "saved", "errors"]
+    totals = spark.read.parquet(f"{work}/counts").agg(*[F.sum(name).alias(name) for name in names])
+    copies = spark.read.parquet(f"{work}/events").groupBy("event_id").count()
+    copies = copies.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("metric_value"))
+    rows = totals.unpivot([], names, "metric_name", "metric_value")
+    return rows.unionByName(copies.select(F.lit("duplicates").alias("metric_name"), "metric_value"))
+
+
+def stream_sessions_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions out of a snapshot made in two steps; the log of the first is gone by the second."""
+    work = shared_folder(spark, "snapshot")
+    raw = messages.file_stream(spark, f"{_staged(spark, folder, work)}", testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+    stream = queries.with_instants(testbed.as_user_events(raw), "timestamp_ts")
+    windows = queries.session_stream(stream, "3 hours", LONG_WATERMARK)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        sinks.write_batch(df, f"{work}/{'early' if batch_id < STAGED_FILES // 2 else 'late'}", batch_id)
+
+    queries.run(windows, "snapshot", f"{work}/checkpoint", write, "update")
+    for log in ("early", "late"):
+        sinks.write_snapshot(spark, f"{work}/{log}", sinks.SESSION_KEY, f"{work}/snapshot")
+    return _readable(sinks.current_sessions(spark, f"{work}/none", f"{work}/snapshot"))
+
+
+def user_sessions_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Session windows as the engine's own table stores them, at its key."""
+    windows = session_windows(testbed.user_events(spark, folder), "3 hours")
+    stamp = F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'")
+    return _readable(fill_defaults(windows, TABLES["user_sessions"], stamp))
 
 
 def stream_attribution(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,7 +153,10 @@ QUERIES = {
     "stream_gap_sessions": stream_gap_sessions,
     "stream_sliding_activity": stream_sliding_activity,
     "stream_dedupe_ingest": stream_dedupe_ingest,
+    "stream_ingest_out_of_order": stream_ingest_out_of_order,
     "stream_dead_letters": stream_dead_letters,
+    "stream_sessions_snapshot": stream_sessions_snapshot,
+    "user_sessions_rows": user_sessions_rows,
     "stream_metrics": stream_metrics,
     "stream_attribution": stream_attribution,
 }
@@ -122,10 +176,14 @@ FROM ({_gap_sql(6 * 3600, _GAP_AGG)}) WHERE end_time + INTERVAL '6 hours' <= {_P
 WHERE bucket_start + INTERVAL '3 hours' <= {_PASSED} GROUP BY ALL""",
     "stream_dedupe_ingest": INGEST_SQL["ingest_projection"],
     "stream_dead_letters": _LETTERS,
-    "stream_metrics": _FIRST + """SELECT 'consumed' AS metric_name,
-  (SELECT count(*) FROM first_good) + (SELECT count(*) FROM judged WHERE reject_reason IS NOT NULL) AS metric_value
-UNION ALL SELECT 'saved', count(*) FROM first_good
-UNION ALL SELECT 'errors', count(*) FROM judged WHERE reject_reason IS NOT NULL""",
+    "stream_ingest_out_of_order": INGEST_SQL["ingest_projection"],
+    "stream_sessions_snapshot": _windows_sql("3 hours"),
+    "user_sessions_rows": f"""SELECT * EXCLUDE (watch_minutes), TIMESTAMP '2024-02-01' AS created_at, TIMESTAMP '2024-02-01' AS updated_at
+FROM ({_windows_sql("3 hours")})""",
+    "stream_metrics": _FIRST + """SELECT 'consumed' AS metric_name, count(*) AS metric_value FROM judged
+UNION ALL SELECT 'saved', count(*) FROM judged WHERE reject_reason IS NULL
+UNION ALL SELECT 'errors', count(*) FROM judged WHERE reject_reason IS NOT NULL
+UNION ALL SELECT 'duplicates', (SELECT count(*) FROM judged WHERE reject_reason IS NULL) - (SELECT count(*) FROM first_good)""",
     "stream_attribution": with_(EV, RECS) + f"""SELECT recs.user_id, recs.content_id, created_at, event_id, event_type FROM recs JOIN ev
 ON ev.user_id = recs.user_id AND ev.content_id = recs.content_id AND ts BETWEEN created_at AND created_at + INTERVAL '{HORIZON_DAYS} days'
 WHERE event_type IN ('click', 'watch', 'watch_complete')""",

@@ -1,6 +1,7 @@
 import datetime
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,7 +142,17 @@ def test_snapshot_of_the_log_gives_the_same_sessions(spark, tmp_path, late_folde
         sinks.write_batch(df, early, batch_id)
     sinks.write_snapshot(spark, early, sinks.SESSION_KEY, snapshot)
     columns = sinks.current_sessions(spark, log).columns
-    assert sorted(map(str, sinks.current_sessions(spark, log, snapshot).select(columns).collect())) == whole
+    read = lambda path: sorted(map(str, sinks.current_sessions(spark, path, snapshot).select(columns).collect()))
+    assert read(log) == whole
+    # The folded batches are gone now; folding the rest must not lose them.
+    late = str(tmp_path / "late")
+    for batch_id in range(2, 6):
+        df = spark.read.parquet(log).where(F.col("batch_id") == batch_id).drop("batch_id")
+        sinks.write_batch(df, late, batch_id)
+    sinks.write_snapshot(spark, late, sinks.SESSION_KEY, snapshot)
+    assert read(late) == whole and read(str(tmp_path / "no log at all")) == whole
+    sinks.write_snapshot(spark, late, sinks.SESSION_KEY, snapshot)
+    assert read(late) == whole
 
 
 def test_stream_of_many_batches_equals_batch(spark, tmp_path):
@@ -166,7 +177,7 @@ def test_stream_of_many_batches_equals_batch(spark, tmp_path):
     assert shape(sinks.current_sessions(spark, log)) == shape(batch)
 
 
-def test_ingest_stream_stores_once_and_keeps_every_reject(spark, tmp_path):
+def test_ingest_stream_keeps_every_event_and_every_reject(spark, tmp_path):
     folder = Folder(spark, tmp_path / "messages")
     values = [value for value, _ in CASES]
     distinct = [json.dumps({**json.loads(v), "event_id": f"e{i}"}) if r is None else v for i, (v, r) in enumerate(CASES)]
@@ -174,37 +185,103 @@ def test_ingest_stream_stores_once_and_keeps_every_reject(spark, tmp_path):
     # The same events again, as new messages.
     folder.add(as_messages(spark, distinct).withColumn("offset", F.col("offset") + 1000))
     raw = messages.file_stream(spark, str(folder.path), max_files_per_trigger=1)
+    paths = {name: str(tmp_path / name) for name in ("ck", "ev", "dl", "counts", "metrics")}
+    query = queries.start_ingest(
+        raw, paths["ck"], paths["ev"], paths["dl"], every=None, name="twice",
+        counts_path=paths["counts"], metrics_path=paths["metrics"],
+    )
+    query.awaitTermination()
+    good, bad = sum(reason is None for _, reason in CASES), sum(reason is not None for _, reason in CASES)
+    stored = spark.read.parquet(paths["ev"])
+    assert stored.count() == 2 * good
+    once = sinks.current_events(spark, paths["ev"])
+    assert once.count() == once.select("event_id").distinct().count() == good
+    assert "offset" not in once.columns
+    assert spark.read.parquet(paths["dl"]).count() == 2 * bad
+    totals = spark.read.parquet(paths["counts"]).agg(F.sum("consumed"), F.sum("saved"), F.sum("errors")).first()
+    assert tuple(totals) == (2 * len(values), 2 * good, 2 * bad)
+    rows = spark.read.parquet(paths["metrics"])
+    assert [f.name for f in rows.schema] == TABLES["system_metrics"].columns.fieldNames()
+    assert metrics.RUNNING in {r.metric_name for r in rows.collect()}
+
+
+def test_recorder_adds_up_what_queries_observe(spark, tmp_path):
+    folder = Folder(spark, tmp_path / "messages")
+    folder.add(as_messages(spark, [value for value, _ in CASES]))
+    raw = messages.file_stream(spark, str(folder.path))
     recorder = metrics.ProgressRecorder()
     spark.streams.addListener(recorder)
     try:
-        queries.run(
-            queries.counted(queries.ingest_stream(raw)), "ingest", str(tmp_path / "ck"),
-            sinks.ingest_writer(str(tmp_path / "ev"), str(tmp_path / "dl")), "append",
-        )
+        writer = sinks.ingest_writer(str(tmp_path / "ev"), str(tmp_path / "dl"))
+        queries.run(queries.counted(queries.ingest_stream(raw)), "observed", str(tmp_path / "ck"), writer, "append")
+        last = {}
+        for _ in range(50):  # progress comes on a thread of its own
+            last |= {r.metric_name: r.metric_value for r in recorder.take(spark).orderBy("timestamp").collect()}
+            if metrics.SAVED in last:
+                break
+            time.sleep(0.2)
     finally:
         spark.streams.removeListener(recorder)
     good = sum(reason is None for _, reason in CASES)
-    stored = spark.read.parquet(str(tmp_path / "ev"))
-    assert stored.count() == stored.select("event_id").distinct().count() == good
-    assert spark.read.parquet(str(tmp_path / "dl")).count() == 2 * (len(values) - good)
-    rows = recorder.take(spark)
-    assert [f.name for f in rows.schema] == TABLES["system_metrics"].columns.fieldNames()
-    last = {r.metric_name: r.metric_value for r in rows.orderBy("timestamp").collect()}
-    assert last[metrics.SAVED] == good and last[metrics.PARSE_ERRORS] == 2 * (len(values) - good)
-    assert last[metrics.CONSUMED] >= 2 * len(values)
+    assert last[metrics.SAVED] == good and last[metrics.PARSE_ERRORS] == len(CASES) - good
+    assert last[metrics.CONSUMED] >= len(CASES)
 
 
-def test_events_arriving_long_after_they_happened_are_stored(spark, tmp_path):
+def test_messages_out_of_order_of_their_times_are_all_stored(spark, tmp_path):
     folder = Folder(spark, tmp_path / "messages")
-    for i, ts in enumerate(["2026-01-03T10:00:00Z", "2020-01-01T00:00:00Z"]):
-        message = as_messages(spark, [json.dumps({**SAMPLE, "event_id": f"e{i}", "timestamp": ts})])
-        folder.add(message)
+    batches = [("12:00", ["e1"]), ("12:01", ["e2"]), ("09:00", ["e3", None])]
+    for at, ids in batches:
+        values = [json.dumps({**SAMPLE, "event_id": i}) if i else "broken" for i in ids]
+        folder.add(as_messages(spark, values).withColumn("timestamp", F.lit(f"2026-02-14 {at}:00").cast("timestamp")))
     raw = messages.file_stream(spark, str(folder.path), max_files_per_trigger=1)
-    queries.run(
-        queries.ingest_stream(raw), "late-arrival", str(tmp_path / "ck"),
-        sinks.ingest_writer(str(tmp_path / "ev"), str(tmp_path / "dl")), "append",
+    queries.start_ingest(raw, str(tmp_path / "ck"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None).awaitTermination()
+    assert {r.event_id for r in sinks.current_events(spark, str(tmp_path / "ev")).collect()} == {"e1", "e2", "e3"}
+    assert spark.read.parquet(str(tmp_path / "dl")).count() == 1
+
+
+def test_first_arrival_of_an_event_wins_whatever_the_batch(spark, tmp_path):
+    folder = Folder(spark, tmp_path / "messages")
+    for at, content in (("12:00", "later"), ("09:00", "first")):
+        message = as_messages(spark, [json.dumps({**SAMPLE, "content_id": content})])
+        folder.add(message.withColumn("timestamp", F.lit(f"2026-02-14 {at}:00").cast("timestamp")))
+    raw = messages.file_stream(spark, str(folder.path), max_files_per_trigger=1)
+    queries.start_ingest(raw, str(tmp_path / "ck"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None).awaitTermination()
+    (row,) = sinks.current_events(spark, str(tmp_path / "ev")).collect()
+    assert row.content_id == "first"
+
+
+def test_events_of_a_failed_batch_become_letters_before_the_query_fails(spark, tmp_path, monkeypatch):
+    folder = Folder(spark, tmp_path / "messages")
+    folder.add(as_messages(spark, [json.dumps(SAMPLE)]))
+    raw = messages.file_stream(spark, str(folder.path))
+    real, failures = sinks.write_batch, []
+
+    def broken(df, path, batch_id, partition_by=()):
+        if path.endswith("ev"):
+            raise OSError("store down")
+        real(df, path, batch_id, partition_by)
+
+    monkeypatch.setattr(sinks, "write_batch", broken)
+    monkeypatch.setattr(sinks.time, "sleep", lambda seconds: None)
+    query = queries.start_ingest(
+        raw, str(tmp_path / "ck"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None, name="failing",
+        on_failure=failures.append, failed_path=str(tmp_path / "failed"),
     )
-    assert spark.read.parquet(str(tmp_path / "ev")).count() == 2
+    with pytest.raises(Exception, match="store down"):
+        query.awaitTermination()
+    (letter,) = spark.read.parquet(str(tmp_path / "failed")).collect()
+    assert letter.error_type == "MySQLSaveError" and json.loads(letter.event)["event_id"] == SAMPLE["event_id"]
+    assert len(failures) == 3
+
+
+def test_lenient_time_is_selectable(spark, tmp_path):
+    folder = Folder(spark, tmp_path / "messages")
+    folder.add(as_messages(spark, [json.dumps({**SAMPLE, "timestamp": "yesterday"})]))
+    raw = messages.file_stream(spark, str(folder.path))
+    queries.start_ingest(
+        raw, str(tmp_path / "ck"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None, name="lenient", lenient_time=True
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "ev")).count() == 1
 
 
 def test_started_queries_go_from_messages_to_tables(spark, tmp_path):
@@ -215,9 +292,9 @@ def test_started_queries_go_from_messages_to_tables(spark, tmp_path):
     queries.start_sessions(raw, str(tmp_path / "ck1"), log, every=None).awaitTermination()
     # One accepted case has a blank user and so a session row of its own.
     got = {r.user_id: r.event_count for r in sinks.current_sessions(spark, log).collect()}
-    assert got == {"user-001": sum(r is None for _, r in CASES) - 1, "   ": 1}
+    assert got == {"user-00042": sum(r is None for _, r in CASES) - 1, "   ": 1}
     queries.start_ingest(raw, str(tmp_path / "ck2"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "ev")).count() == 1
+    assert sinks.current_events(spark, str(tmp_path / "ev")).count() == 1
 
 
 def test_json_line_files_stream_with_all_their_rejects(spark, tmp_path):
@@ -226,7 +303,8 @@ def test_json_line_files_stream_with_all_their_rejects(spark, tmp_path):
     raw = messages.json_lines_stream(spark, str(tmp_path / "in"))
     query = queries.start_ingest(raw, str(tmp_path / "ck"), str(tmp_path / "ev"), str(tmp_path / "dl"), every=None)
     query.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "ev")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "ev")).count() == 2
+    assert sinks.current_events(spark, str(tmp_path / "ev")).count() == 1
     assert spark.read.parquet(str(tmp_path / "dl")).count() == 3
 
 
@@ -253,13 +331,14 @@ def test_heat_map_of_a_stream_counts_viewers_approximately(spark, tmp_path, late
     assert len(rows) == 8 and all((r.views, r.viewers, r.minutes) == (1, 1, 5) for r in rows)
 
 
-def test_jdbc_sink_appends_table_rows_with_retries(spark, monkeypatch):
+def test_jdbc_sink_replaces_windows_at_their_key(spark, monkeypatch):
     calls = []
-    monkeypatch.setattr(sinks, "append_jdbc", lambda df, url, table, *rest: calls.append((df.columns, url, table)))
-    sessions = session_windows(spark.createDataFrame(event_rows(LATE[0], 0), EVENT))
+    monkeypatch.setattr(sinks, "replace_jdbc", lambda df, url, table, key, staging, *rest: calls.append((df, url, table, key, staging)))
+    sessions = session_windows(spark.createDataFrame(event_rows([row for batch in LATE for row in batch], 0), EVENT))
     sinks.session_jdbc_writer("jdbc:x")(sessions, 0)
-    ((columns, url, table),) = calls
-    assert (url, table) == ("jdbc:x", "user_sessions") and "browsed_contents" in columns and "window_start" not in columns
+    ((df, url, table, key, staging),) = calls
+    assert (url, table, staging) == ("jdbc:x", "user_sessions", "user_sessions_staging")
+    assert df.count() == df.select(*key).distinct().count() == 3
 
 
 def test_strict_and_lax_event_streams(spark):
@@ -287,9 +366,3 @@ def test_retries_pause_and_then_raise():
 
     sinks.with_retries(works_second_time, sleep=pauses.append)
     assert len(calls) == 5
-
-
-def test_sample_of_a_batch(spark):
-    df = spark.range(10).persist()
-    assert len(sinks.sample_rows(df, 3)) == 3
-    df.unpersist()

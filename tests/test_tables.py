@@ -55,8 +55,8 @@ def test_events_are_appended_once(spark, created):
     # All accepted cases carry the same event id.
     assert tables.append_events(spark, parsed) == 1
     assert tables.append_events(spark, parsed) == 0
-    (row,) = tables.read_table(spark, "user_events", event_id="evt-test-001").collect()
-    assert row.watched_minutes == 45 and str(row.event_date) == "2025-01-03" and row.created_at is not None
+    (row,) = tables.read_table(spark, "user_events", event_id="view-77").collect()
+    assert row.watched_minutes == 31 and str(row.event_date) == "2026-02-14" and row.created_at is not None
 
 
 def test_upsert_keeps_last_source_row(spark):

@@ -53,11 +53,10 @@ def attribute(recommendations: DataFrame, events: DataFrame, horizon_seconds: in
     keys = ["user_id", "content_id", "__stretch"]
     own, ahead = ("__last_click", "__last_watch"), ("__first_click", "__first_watch")
     none = F.lit(None).cast(summary.schema["__first_click"].dataType)
-    here = summary.select(*keys, *own, *[none.alias(name) for name in ahead])
-    nearby = summary.select(
-        "user_id", "content_id", (F.col("__stretch") - 1).alias("__stretch"), *[none.alias(name) for name in own], *ahead
-    )
-    merged = here.unionByName(nearby).groupBy(*keys).agg(*[F.max(name).alias(name) for name in (*own, *ahead)])
+    here = F.struct("__stretch", *own, *[none.alias(name) for name in ahead])
+    nearby = F.struct((F.col("__stretch") - 1).alias("__stretch"), *[none.alias(name) for name in own], *ahead)
+    offered = summary.select("user_id", "content_id", F.inline(F.array(here, nearby)))
+    merged = offered.groupBy(*keys).agg(*[F.max(name).alias(name) for name in (*own, *ahead)])
     created = F.col("created_at")
     until = created + F.make_dt_interval(secs=F.lit(horizon_seconds))
 
@@ -75,9 +74,18 @@ def attribute(recommendations: DataFrame, events: DataFrame, horizon_seconds: in
 
 
 def precision_at(attributed: DataFrame, k: int = 10) -> DataFrame:
-    """Per user: watched contents among the `k` best recommendations, divided by `k`."""
-    order = Window.partitionBy("user_id").orderBy(F.desc("recommendation_score"), F.desc("created_at"), "content_id")
-    best = attributed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    """Per user: watched contents among the `k` best recommended contents, divided by `k`.
+
+    A content recommended several times is one content: its best recommendation ranks it, and it
+    is watched if any of them was followed.
+    """
+    contents = attributed.groupBy("user_id", "ab_test_group", "content_id").agg(
+        F.max(F.struct("recommendation_score", "created_at")).alias("best"), F.max("is_watched").alias("is_watched")
+    )
+    order = Window.partitionBy("user_id").orderBy(
+        F.desc("best.recommendation_score"), F.desc("best.created_at"), "content_id"
+    )
+    best = contents.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     hits = F.count_if(F.col("is_watched"))
     return best.groupBy("user_id", "ab_test_group").agg((hits / k).alias("precision"))
 
@@ -125,8 +133,13 @@ def compare(metrics: DataFrame, minimum_sample: int = 100) -> DataFrame:
 
 
 def diversity(lists: DataFrame, contents: DataFrame) -> DataFrame:
-    """Per user: one minus the share of pairs in the list that are of one genre; NULL for lists of one."""
-    genres = lists.join(contents.select("content_id", "genre"), "content_id")
+    """Per user: one minus the share of pairs in the list that are of one genre; NULL for lists of one.
+
+    Contents that the catalogue does not have count as of genre `Unknown`; a content counts once.
+    """
+    listed = lists.select("user_id", "content_id").distinct()
+    genres = listed.join(contents.select("content_id", "genre"), "content_id", "left")
+    genres = genres.withColumn("genre", F.coalesce("genre", F.lit("Unknown")))
     counts = genres.groupBy("user_id", "genre").agg(F.count(F.lit(1)).alias("n"))
     size = F.sum("n")
     same = F.sum(F.col("n") * (F.col("n") - 1))

@@ -9,14 +9,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watchlens.functions.identity import ab_group
 from watchlens.functions.jsontext import metadata_json, metadata_value
 from watchlens.functions.times import parse_iso, utc_wall_clock
-from watchlens.schemas import DEAD_LETTER_RAW_CHARS, EVENT_TYPES, REQUIRED_FIELDS, USER_EVENT, WIRE_EVENT
+from watchlens.schemas import EVENT_TYPES, REQUIRED_FIELDS, USER_EVENT, WIRE_EVENT
 
 _ENVELOPE = ("key", "topic", "partition", "offset")
 _CORRUPT = "__corrupt"
@@ -110,7 +110,7 @@ def use_now_for_bad_time(parsed: DataFrame) -> DataFrame:
 
 
 def dead_letters(parsed: DataFrame, at: Column | None = None) -> DataFrame:
-    """Rejected messages as dead-letter entries."""
+    """Rejected messages as dead-letter entries, with the whole payload, so that they can be sent again."""
     return rejected(parsed).select(
         (F.current_timestamp() if at is None else at).alias("timestamp"),
         F.lit("MessageProcessingError").alias("error_type"),
@@ -119,7 +119,7 @@ def dead_letters(parsed: DataFrame, at: Column | None = None) -> DataFrame:
         "partition",
         "offset",
         F.col("key").cast("string").alias("key"),
-        F.substring("raw_value", 1, DEAD_LETTER_RAW_CHARS).alias("raw_value"),
+        "raw_value",
     )
 
 
@@ -133,6 +133,15 @@ def failed_saves(events: DataFrame, error: str, at: Column | None = None) -> Dat
     )
 
 
+def ingest_counts(parsed: DataFrame) -> DataFrame:
+    """One row: messages consumed, events saved, rejects."""
+    return parsed.agg(
+        F.count(F.lit(1)).alias("consumed"),
+        F.count_if(F.col("reject_reason").isNull()).alias("saved"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
+    )
+
+
 def reason_counts(parsed: DataFrame) -> DataFrame:
     """Messages per outcome."""
     return parsed.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")).agg(
@@ -155,8 +164,8 @@ def not_yet_stored(events: DataFrame, stored: DataFrame) -> DataFrame:
     return events.join(stored.select("event_id"), "event_id", "left_anti")
 
 
-def stored_event(events: DataFrame) -> DataFrame:
-    """Project events to the stored columns, with their defaults.
+def stored_event(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Project events to the stored columns, with their defaults, and to the columns of `keep` that are there.
 
     Events without an id are skipped; missing texts become empty, missing minutes 0.
     """
@@ -171,6 +180,7 @@ def stored_event(events: DataFrame) -> DataFrame:
         wall.alias("timestamp"),
         metadata_json(F.col("metadata")).alias("metadata"),
         F.to_date(wall).alias("event_date"),
+        *[name for name in keep if name in events.columns],
     )
 
 
@@ -193,14 +203,3 @@ def semantic_violations(events: DataFrame) -> DataFrame:
     counts = events.agg(*[F.count_if(F.coalesce(broken, F.lit(False))).alias(name) for name, broken in rules.items()])
     return counts.unpivot([], list(rules), "rule", "violations")
 
-
-def observe_ingest(parsed: DataFrame, name: str = "ingest") -> tuple[DataFrame, Observation]:
-    """Count consumed, accepted and rejected messages while they pass, without a job of their own."""
-    observation = Observation(name)
-    observed = parsed.observe(
-        observation,
-        F.count(F.lit(1)).alias("consumed"),
-        F.count_if(F.col("reject_reason").isNull()).alias("saved"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
-    )
-    return observed, observation

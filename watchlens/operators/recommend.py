@@ -17,7 +17,6 @@ from watchlens.functions.identity import ab_group
 from watchlens.functions.weights import interaction_weight
 from watchlens.plans.skew import group_pairs, sharded_join
 from watchlens.schemas import RECOMMENDATION_TTL_SECONDS, RECOMMENDATIONS_PER_USER
-from watchlens.session import materialize
 
 COLLABORATIVE, SESSION, PREFERENCE, POPULAR = (
     "collaborative_filtering", "session_based", "preference", "popularity",
@@ -128,7 +127,8 @@ def als_recommendations(
 ) -> DataFrame:
     """Model-based collaborative filtering for user counts where exact scoring costs too much.
 
-    Runs the model at once. Known contents may be recommended again.
+    Runs the model at once. Contents that the user knows are left out: as many more are asked for as
+    any user knows, and the best `k` of the others stay.
     """
     from pyspark.ml.recommendation import ALS
 
@@ -139,12 +139,17 @@ def als_recommendations(
         userCol="user_id_no", itemCol="content_id_no", ratingCol="weight",
     )
     model = als.fit(numbered.select("user_id_no", "content_id_no", F.col("weight").cast("float").alias("weight")))
-    lists = model.recommendForAllUsers(k).select("user_id_no", F.posexplode("recommendations").alias("position", "item"))
+    known = matrix.groupBy("user_id").agg(F.count(F.lit(1)).alias("known")).agg(F.max("known")).first()[0] or 0
+    lists = model.recommendForAllUsers(k + known).select("user_id_no", F.posexplode("recommendations").alias("position", "item"))
     flat = lists.select(
         "user_id_no", F.col("item.content_id_no").alias("content_id_no"),
         F.col("item.rating").cast("double").alias("score"), (F.col("position") + 1).alias("rank"),
     )
-    return flat.join(users, "user_id_no").join(contents, "content_id_no").select("user_id", "content_id", "score", "rank")
+    named = flat.join(users, "user_id_no").join(contents, "content_id_no")
+    unknown = named.join(matrix.select("user_id", "content_id"), ["user_id", "content_id"], "left_anti")
+    order = Window.partitionBy("user_id").orderBy("rank", "content_id")
+    ranked = unknown.select("user_id", "content_id", "score", F.row_number().over(order).alias("rank"))
+    return ranked.where(F.col("rank") <= k)
 
 
 def session_visits(events: DataFrame) -> DataFrame:
@@ -163,7 +168,7 @@ def session_based(visits: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataF
 
     A content's score is the sum, over the contents of that session, of the
     sessions both share divided by the sessions the latter has. `visits` is read
-    several times; keep it as a table. Latest sessions are written out once.
+    several times; keep it as a table. 
     """
     support = visits.groupBy("content_id").agg(F.count(F.lit(1)).alias("support"))
     together = _both_ways(cooccurrence(visits), "sessions").join(support, "content_id").select(
@@ -172,8 +177,7 @@ def session_based(visits: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataF
     latest = visits.groupBy("user_id").agg(F.max(F.struct("last_ts", "session_id")).alias("last")).select(
         "user_id", F.col("last.session_id").alias("session_id")
     )
-    # At most one session per user, and needed on both sides and for the hot keys.
-    current = materialize(visits.join(latest, ["user_id", "session_id"]).select("user_id", "content_id"), "current-sessions")
+    current = visits.join(latest, ["user_id", "session_id"]).select("user_id", "content_id")
     parts = sharded_join(current, together, ["content_id"], F.col("user_id")).select(
         "user_id", F.col("candidate").alias("content_id"), F.col("part").alias("score")
     )
@@ -275,7 +279,9 @@ def blend(sources: dict[str, DataFrame], k: int = RECOMMENDATIONS_PER_USER) -> D
 
 
 def latest_recommendations(recommendations: DataFrame, n: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
-    """The latest `n` recommendations of every user, ranked from 1."""
+    """The latest `n` recommended contents of every user, ranked from 1, each by its latest recommendation."""
+    again = Window.partitionBy("user_id", "content_id").orderBy(F.desc("created_at"), F.desc("recommendation_score"))
+    recommendations = recommendations.withColumn("rank", F.row_number().over(again)).where(F.col("rank") == 1)
     order = Window.partitionBy("user_id").orderBy(
         F.desc("created_at"), F.desc("recommendation_score"), "content_id"
     )

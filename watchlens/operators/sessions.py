@@ -138,9 +138,10 @@ def analyze_session(events: DataFrame, session_id: str) -> DataFrame:
 
 
 def as_table_row(sessions: DataFrame) -> DataFrame:
-    """Sessions with their lists as JSON text, as a relational table stores them."""
+    """Sessions with their lists as JSON text, as a relational table stores them; windows keep their key."""
+    window = [name for name in ("window_start", "window_end") if name in sessions.columns]
     return sessions.select(
-        "session_id", "user_id", "start_time", "end_time", "event_count", "total_watched_minutes",
+        "session_id", "user_id", *window, "start_time", "end_time", "event_count", "total_watched_minutes",
         *[to_json_text(F.array_sort(name)).alias(name) for name in LISTS],
     )
 
@@ -163,7 +164,7 @@ def session_lengths(sessions: DataFrame) -> DataFrame:
 def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Events numbered into sessions per user: a new one starts when the pause reaches the gap.
 
-    Adds `session_no`, from 1; events without user or time are left out. Sessions
+    Adds `session_no`, from 1; NULL for events without user or time. Sessions
     are counted inside time chunks; a summary row per chunk says where counting
     goes on across chunk borders.
     """
@@ -171,7 +172,8 @@ def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) ->
     keys = ["user_id", "__chunk"]
     inside = Window.partitionBy(*keys).orderBy("timestamp_ts", "event_id")
     pause = micros_between(F.lag("timestamp_ts").over(inside), F.col("timestamp_ts"))
-    placed = events.where(F.col("user_id").isNotNull() & F.col("timestamp_ts").isNotNull())
+    known = F.col("user_id").isNotNull() & F.col("timestamp_ts").isNotNull()
+    placed, unplaced = events.where(known), events.where(~known)
     flagged = placed.withColumn("__chunk", time_chunk("timestamp_ts")).withColumn(
         "__start", F.when(pause >= gap, 1).otherwise(0)
     )
@@ -184,9 +186,10 @@ def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) ->
     before = F.coalesce(F.sum("inner").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offset = opened.select(*keys, (before + F.sum("opens").over(across)).alias("__offset"))
     numbered = flagged.withColumn("__inner", F.sum("__start").over(inside))
-    return numbered.join(offset, keys).select(
+    numbered = numbered.join(offset, keys).select(
         *events.columns, (F.col("__inner") + F.col("__offset")).alias("session_no")
     )
+    return numbered.unionByName(unplaced.withColumn("session_no", F.lit(None).cast("bigint")))
 
 
 def gap_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:

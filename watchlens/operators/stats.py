@@ -152,12 +152,16 @@ def moving_average(series: DataFrame, key: str, buckets: int = 3) -> DataFrame:
 
 
 def genre_preference(events: DataFrame, contents: DataFrame) -> DataFrame:
-    """Each user's events and minutes by genre, and each genre's share of the user's events."""
+    """Each user's events and minutes by genre, and each genre's share of the user's events.
+
+    Events of contents that the catalogue does not have are of genre `Unknown`.
+    """
     per_content = events.groupBy("user_id", "content_id").agg(
         F.count(F.lit(1)).alias("events"), F.sum("watched_minutes").alias("minutes")
     )
     genres = contents.select("content_id", "genre")
-    per_genre = per_content.join(genres, "content_id").groupBy("user_id", "genre").agg(
+    known = per_content.join(genres, "content_id", "left").withColumn("genre", F.coalesce("genre", F.lit("Unknown")))
+    per_genre = known.groupBy("user_id", "genre").agg(
         F.sum("events").alias("events"), F.sum("minutes").alias("minutes")
     )
     # At most one row per genre in a user's window.
@@ -169,14 +173,20 @@ def drop_off(events: DataFrame, contents: DataFrame) -> DataFrame:
     """Watch events per content and tenth of its length where watching stopped.
 
     Bucket 10 holds watches of the whole length or more. Contents without a
-    length are left out. Events shrink to distinct minutes before the join.
+    length, or unknown to the catalogue, have their watches under a NULL tenth. Events shrink to distinct minutes before the join.
     """
     watched = events.where(F.col("event_type") == "watch").groupBy("content_id", "watched_minutes").agg(
         F.count(F.lit(1)).alias("watches")
     )
-    joined = watched.join(contents.select("content_id", "duration_minutes"), "content_id").where("duration_minutes > 0")
-    tenth = F.least(F.floor(F.col("watched_minutes") * 10 / F.col("duration_minutes")), F.lit(10)).cast("int")
-    ratio = F.least(F.col("watched_minutes") / F.col("duration_minutes"), F.lit(1.0))
+    lengths = contents.where("duration_minutes > 0").select("content_id", "duration_minutes")
+    joined = watched.join(lengths, "content_id", "left")
+    tenth = F.when(
+        F.col("duration_minutes").isNotNull(),
+        F.least(F.floor(F.col("watched_minutes") * 10 / F.col("duration_minutes")), F.lit(10)),
+    ).cast("int")
+    ratio = F.when(
+        F.col("duration_minutes").isNotNull(), F.least(F.col("watched_minutes") / F.col("duration_minutes"), F.lit(1.0))
+    )
     return joined.groupBy("content_id", tenth.alias("tenth")).agg(
         F.sum("watches").alias("watches"),
         F.round(F.sum(ratio * F.col("watches")) / F.sum("watches"), 6).alias("mean_ratio"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -93,7 +96,7 @@ def append_events(spark: SparkSession, parsed: DataFrame, name: str = "user_even
 
     The number comes with the write itself, without a job of its own.
     """
-    fresh = not_yet_stored(stored_event(first_per_event(accepted(parsed), ["timestamp_ts", "offset"])), spark.table(name))
+    fresh = not_yet_stored(stored_event(first_per_event(accepted(parsed), ["timestamp_ts", "partition", "offset"])), spark.table(name))
     written = Observation("append_events")
     counted = fresh.observe(written, F.count(F.lit(1)).alias("rows"))
     fill_defaults(counted, TABLES[name]).write.insertInto(name)
@@ -112,17 +115,21 @@ def upsert(
     """Target rows with those of the source put in or put over them by key.
 
     With `order`, the last source row of a key wins; without, source keys must be
-    unique. Columns in `keep`, such as `created_at`, stay as they are in rows
+    unique. NULL in a key is a value like others, so that repeating an upsert adds nothing. Columns in `keep`, such as `created_at`, stay as they are in rows
     that exist already.
     """
     latest = last_per_key(source, key, order) if order else source
     latest = latest.select(*target.columns)
     if keep:
         held = target.select(*key, *[F.col(name).alias(f"__kept_{name}") for name in keep])
-        latest = latest.join(held, key, "left").select(
+        held = held.withColumnsRenamed({name: f"__held_{name}" for name in key})
+        same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"__held_{name}")) for name in key])
+        latest = latest.join(held, same, "left").select(
             *[F.coalesce(f"__kept_{name}", name).alias(name) if name in keep else F.col(name) for name in target.columns]
         )
-    return target.join(latest.select(*key), key, "left_anti").select(*target.columns).unionByName(latest)
+    there = latest.select(*[F.col(name).alias(f"__new_{name}") for name in key])
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"__new_{name}")) for name in key])
+    return target.join(there, same, "left_anti").select(*target.columns).unionByName(latest)
 
 
 def delete_keys(target: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:

@@ -39,7 +39,7 @@ def along_time(
     `previous` maps a new column to the expression whose value in the row before
     is wanted (NULL in the first row of a key); `running` maps a new column to
     the expression to add up, the current row included. Rows with a NULL key or
-    time have no place in an order and are left out. `unit` is the chunk width
+    time have no place in an order: they stay, with NULL in the new columns. `unit` is the chunk width
     as a `date_trunc` unit: a chunk of one key should fit a task.
     """
     previous = previous or {}
@@ -72,7 +72,7 @@ def along_time(
     if previous:
         row_before = F.coalesce(F.col(_PREVIOUS), F.col("__carried"))
         joined = joined.withColumn(_PREVIOUS, row_before)
-    return joined.select(
+    ordered = joined.select(
         *[F.col(name) for name in df.columns],
         *[F.col(f"{_PREVIOUS}.{name}").alias(name) for name in previous],
         *[
@@ -80,3 +80,6 @@ def along_time(
             for name in running
         ],
     )
+    added = {name: ordered.schema[name].dataType for name in (*previous, *running)}
+    unplaced = df.where(~placed).withColumns({name: F.lit(None).cast(kind) for name, kind in added.items()})
+    return ordered.unionByName(unplaced)

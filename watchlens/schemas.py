@@ -13,12 +13,10 @@ REQUIRED_FIELDS = ("event_id", "timestamp", "user_id", "session_id", "event_type
 SEGMENT_TARGETS = {"VIP": 20.0, "Regular": 50.0, "New": 30.0}
 CONTENT_TYPE_TARGETS = {"movie": 60.0, "series": 30.0, "documentary": 10.0}
 GROUP_ALGORITHMS = {"A": "algorithm_v1", "B": "algorithm_v2"}
-DEAD_LETTER_RAW_CHARS = 500
 SESSION_WINDOW = "3 minutes"
 SESSION_WATERMARK = "10 minutes"
 SESSION_TRIGGER = "3 seconds"
 INGEST_TRIGGER = "5 seconds"
-INGEST_MAX_RECORDS = 500
 SESSION_GAP_SECONDS = 180
 RECOMMENDATION_TTL_SECONDS = 600
 RECOMMENDATIONS_PER_USER = 10

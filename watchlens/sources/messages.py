@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchlens.schemas import INGEST_MAX_RECORDS, MESSAGE
+from watchlens.schemas import MESSAGE
 
 _COLUMNS = MESSAGE.fieldNames()
 
@@ -46,11 +46,6 @@ def kafka_batch(
     return reader.option("endingOffsets", ending_offsets).options(**(options or {})).load().select(*_COLUMNS)
 
 
-def bounded_ingest_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """A topic in micro-batches of at most the documented ingest size."""
-    return kafka_stream(spark, servers, topic, max_per_trigger=INGEST_MAX_RECORDS)
-
-
 def stream_path(path: str) -> str:
     """A path the file stream accepts whether it names one file or a folder of files."""
     return path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"

@@ -28,6 +28,38 @@ def append_jdbc(
     df.write.option("numPartitions", connections).jdbc(url, table, mode="append", properties=options)
 
 
+def replace_statements(table: str, staging: str, columns: list[str], key: list[str]) -> list[str]:
+    """Plain SQL that replaces the rows of `table` whose keys are in `staging` by the rows there."""
+    same = " AND ".join(f"{table}.{name} = {staging}.{name}" for name in key)
+    names = ", ".join(columns)
+    return [
+        f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} WHERE {same})",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}",
+    ]
+
+
+def replace_jdbc(
+    df: DataFrame, url: str, table: str, key: list[str], staging: str,
+    properties: dict[str, str] | None = None, connections: int = 16,
+) -> None:
+    """Put rows into a table at their key: through a staging table, in one transaction of the database."""
+    options = {"truncate": "true", "rewriteBatchedStatements": "true", **(properties or {})}
+    df.write.option("numPartitions", connections).jdbc(url, staging, mode="overwrite", properties=options)
+    jvm = df.sparkSession.sparkContext._jvm
+    login = jvm.java.util.Properties()
+    for name, value in (properties or {}).items():
+        login.setProperty(name, value)
+    connection = jvm.java.sql.DriverManager.getConnection(url, login)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for text in replace_statements(table, staging, df.columns, key):
+            statement.executeUpdate(text)
+        connection.commit()
+    finally:
+        connection.close()
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines in UTF-8; text of any script stays as it is."""
     df.write.mode(mode).option("encoding", "UTF-8").option("ignoreNullFields", "false").json(path)

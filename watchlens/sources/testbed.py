@@ -103,6 +103,11 @@ def contents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def without_some(contents: DataFrame) -> DataFrame:
+    """A catalogue that lacks every seventh content, so that events and lists hold unknown ones."""
+    return contents.where(F.substring_index("content_id", "-", -1).cast("int") % 7 != 0)
+
+
 def recommendations(spark: SparkSession, folder: str) -> DataFrame:
     """Stored recommendations, one per (user, content, hour of creation), out of the order lines."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
@@ -147,7 +152,7 @@ def as_messages(events: DataFrame) -> DataFrame:
             stamp.alias("timestamp"),
             F.when(case != 1, F.col("user_id")).alias("user_id"),
             "session_id",
-            F.when(case == 2, "invalid_type").otherwise(F.col("event_type")).alias("event_type"),
+            F.when(case == 2, "paused").otherwise(F.col("event_type")).alias("event_type"),
             F.when(case == 3, "").otherwise(F.col("content_id")).alias("content_id"),
             "watched_minutes",
             "metadata",

@@ -18,15 +18,14 @@ LATENCY = "kafka_processing_latency_seconds"
 PARSE_ERRORS = "kafka_parsing_errors_total"
 SAVE_ERRORS = "mysql_save_errors_total"
 RUNNING = "kafka_consumer_running"
-BUFFERED = "kafka_batch_buffer_size"
 LATE_ROWS = "rows_dropped_by_watermark_total"
 
 
 class ProgressRecorder(StreamingQueryListener):
     """Collects metric rows of running queries; `flush` appends them to a table folder.
 
-    A few numbers per micro-batch reach the driver, never rows. Totals run since
-    the recorder was made.
+    A few numbers per micro-batch reach the driver, never rows; flush after each batch
+    (`queries.start_ingest` does) to keep them few. Totals run since the recorder was made.
     """
 
     def __init__(self, observed: str = "ingest") -> None:
@@ -63,7 +62,6 @@ class ProgressRecorder(StreamingQueryListener):
             self._add(CONSUMED, progress.numInputRows, query)
             self._add(FLUSHES, 1, query)
             self._record(LATENCY, progress.batchDuration / 1000.0, query)
-            self._record(BUFFERED, progress.numInputRows, query)
             self._add(LATE_ROWS, sum(op.numRowsDroppedByWatermark for op in progress.stateOperators), query)
             if counts is not None:
                 self._add(SAVED, counts["saved"], query)
@@ -83,4 +81,7 @@ class ProgressRecorder(StreamingQueryListener):
         return spark.createDataFrame(rows, TABLES["system_metrics"].columns)
 
     def flush(self, spark: SparkSession, path: str) -> None:
+        with self._lock:
+            if not self._rows:
+                return
         self.take(spark).coalesce(1).write.mode("append").parquet(path)

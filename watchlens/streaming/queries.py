@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from watchlens.functions.times import utc_instant, utc_wall_clock
-from watchlens.operators.ingest import accepted, add_event_time, decode_events, parse_messages
+from watchlens.operators.ingest import accepted, add_event_time, decode_events, parse_messages, use_now_for_bad_time
 from watchlens.operators.sessions import session_windows
 from watchlens.schemas import (
     INGEST_TRIGGER, SESSION_GAP_SECONDS, SESSION_TRIGGER, SESSION_WATERMARK, SESSION_WINDOW,
 )
+from watchlens.streaming.metrics import ProgressRecorder
 from watchlens.streaming.sinks import batch_log, ingest_writer
 
 
@@ -73,20 +74,16 @@ def gap_session_stream(
     return _wall_clocks(flat, "start_time", "end_time")
 
 
-def ingest_stream(messages: DataFrame, dedupe_within: str = "1 hour") -> DataFrame:
-    """Parsed messages, accepted events once each.
+def ingest_stream(messages: DataFrame, lenient_time: bool = False) -> DataFrame:
+    """Every parsed message, with the reason where it is a reject.
 
-    The watermark runs on the time a message arrived, so that events are kept
-    however late they happened; copies of an event are recognised when they
-    arrive within `dedupe_within`. Rejects are told apart by their place in the
-    topic, or all pass where the source gives none.
+    There is no state and no watermark here, so nothing is late: messages may come in any order
+    of their times, be replayed or lag behind, and all are stored. Copies of an event are folded
+    where the stored events are read, see `sinks.current_events`. `lenient_time` accepts events
+    with an unreadable time as of now.
     """
     parsed = parse_messages(messages)
-    placed = F.col("partition").isNotNull() & F.col("offset").isNotNull()
-    place = F.when(placed, F.concat_ws("/", "topic", "partition", "offset")).otherwise(F.uuid())
-    key = F.when(F.col("reject_reason").isNull(), F.col("event_id")).otherwise(F.concat(F.lit("reject:"), place))
-    keyed = parsed.withColumn("__key", key).withWatermark("message_timestamp", dedupe_within)
-    return keyed.dropDuplicatesWithinWatermark(["__key"]).drop("__key")
+    return use_now_for_bad_time(parsed) if lenient_time else parsed
 
 
 def counted(parsed: DataFrame, name: str = "ingest") -> DataFrame:
@@ -169,16 +166,41 @@ def run(
 def start_sessions(
     messages: DataFrame, checkpoint: str, log: str, window: str = SESSION_WINDOW,
     watermark: str | None = SESSION_WATERMARK, strict: bool = True, every: str | None = SESSION_TRIGGER,
+    name: str = "sessions",
 ) -> StreamingQuery:
     """Track sessions of a message stream into a batch log, see `sinks.current_sessions`."""
     stream = session_stream(events_from_messages(messages, strict), window, watermark)
-    return start(stream, "sessions", checkpoint, batch_log(log), "update", every)
+    return start(stream, name, checkpoint, batch_log(log), "update", every)
 
 
 def start_ingest(
     messages: DataFrame, checkpoint: str, events_path: str, letters_path: str,
     every: str | None = INGEST_TRIGGER, on_failure: Callable[[Exception], None] | None = None,
+    name: str = "ingest", lenient_time: bool = False, counts_path: str | None = None,
+    failed_path: str | None = None, metrics_path: str | None = None,
 ) -> StreamingQuery:
-    """Store the raw events of a message stream and its rejects."""
-    writer = ingest_writer(events_path, letters_path, on_failure)
-    return start(counted(ingest_stream(messages)), "ingest", checkpoint, writer, "append", every)
+    """Store the raw events of a message stream and its rejects.
+
+    With `counts_path` every batch logs what it consumed, saved and rejected; with `failed_path`
+    the events of a batch that could not be stored are kept as dead letters before the query
+    fails; with `metrics_path` the query's progress is appended there after each batch.
+    """
+    spark = messages.sparkSession
+    recorder = ProgressRecorder(name) if metrics_path else None
+
+    def failed(error: Exception) -> None:
+        if recorder:
+            recorder.save_failed(error, name)
+        if on_failure:
+            on_failure(error)
+
+    write = ingest_writer(events_path, letters_path, failed, counts_path, failed_path)
+    if recorder is None:
+        return start(counted(ingest_stream(messages, lenient_time), name), name, checkpoint, write, "append", every)
+
+    def write_and_flush(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        recorder.flush(spark, metrics_path)
+
+    spark.streams.addListener(recorder)
+    return start(counted(ingest_stream(messages, lenient_time), name), name, checkpoint, write_and_flush, "append", every)

@@ -10,15 +10,18 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchlens.operators.ingest import accepted, dead_letters, stored_event
+from watchlens.operators.ingest import accepted, dead_letters, failed_saves, first_per_event, ingest_counts, stored_event
 from watchlens.operators.sessions import as_table_row
 from watchlens.operators.tables import last_per_key
-from watchlens.sources.relational import append_jdbc
+from watchlens.sources.relational import replace_jdbc
 
 SESSION_KEY = ["session_id", "user_id", "window_start"]
+#: Where and when a message arrived; the first arrival of an event counts.
+ARRIVAL = ("message_timestamp", "topic", "partition", "offset")
 
 
 def with_retries(
@@ -57,41 +60,78 @@ def batch_log(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def session_jdbc_writer(
-    url: str, table: str = "user_sessions", properties: dict[str, str] | None = None, connections: int = 16
+    url: str, table: str = "user_sessions", properties: dict[str, str] | None = None, connections: int = 16,
+    staging: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` function that appends session rows to a relational table.
+    """A `foreachBatch` function that puts session windows into a relational table at its key.
 
-    For queries in `append` mode, where a window comes out once. A batch that
-    failed half-way is appended again, so the table's own key must turn the
-    copies away or a view must fold them.
+    A batch replaces the staging table, then moves over in one transaction: rows of its keys are
+    deleted and put in again. Repeating a batch therefore changes nothing, and a window that comes
+    out again in `update` mode replaces its earlier row.
     """
     return lambda df, batch_id: with_retries(
-        lambda: append_jdbc(as_table_row(df), url, table, properties, connections)
+        lambda: replace_jdbc(as_table_row(df), url, table, SESSION_KEY, staging or f"{table}_staging", properties, connections)
     )
 
 
+def _read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet folder, or None where there is none or nothing in it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _folded(spark: SparkSession, snapshot: str | None) -> tuple[DataFrame | None, int]:
+    """The rows of the newest complete snapshot and the last batch in them."""
+    done = _read_if_any(spark, f"{snapshot}/done") if snapshot else None
+    if done is None:
+        return None, -1
+    upto = done.agg(F.max("upto")).first()[0]
+    return spark.read.parquet(f"{snapshot}/rows/upto={upto}"), upto
+
+
 def current_rows(spark: SparkSession, path: str, key: list[str], snapshot: str | None = None) -> DataFrame:
     """The latest row of each key out of a batch log.
 
     In update mode a key's later row replaces its earlier ones, so the last
-    batch wins. With a snapshot, only later batches are read from the log.
+    batch wins. With a snapshot, only later batches are read from the log, and
+    there need be none.
     """
-    log = spark.read.parquet(path)
-    if snapshot:
-        folded = spark.read.parquet(snapshot)
-        upto = folded.agg(F.max("__upto")).scalar()
-        log = log.where(F.col("batch_id") > upto).unionByName(folded.drop("__upto"))
-    return last_per_key(log, key, ["batch_id"]).drop("batch_id")
+    folded, upto = _folded(spark, snapshot)
+    log = spark.read.parquet(path) if folded is None else _read_if_any(spark, path)
+    if folded is None:
+        return last_per_key(log, key, ["batch_id"]).drop("batch_id")
+    if log is None:
+        return folded
+    newer = log.where(F.col("batch_id") > upto).unionByName(folded.withColumn("batch_id", F.lit(upto)))
+    return last_per_key(newer, key, ["batch_id"]).drop("batch_id")
 
 
 def write_snapshot(spark: SparkSession, path: str, key: list[str], out: str) -> None:
-    """Fold a batch log into one row per key at `out`, for `current_rows` to start from.
+    """Fold the snapshot at `out` and the newer batches of a log into the next snapshot there.
 
-    Log folders up to the last batch folded may be deleted afterwards.
+    Every snapshot has a folder of its own and counts from when its number is added to `done`, so
+    readers of the one before are not disturbed. Log folders up to the last batch folded, and
+    older snapshots, may be deleted afterwards. Without newer batches nothing is written.
     """
+    _, upto = _folded(spark, out)
+    log = _read_if_any(spark, path)
+    last = log.agg(F.max("batch_id")).first()[0] if log is not None else None
+    if last is None or last <= upto:
+        return
+    current_rows(spark, path, key, out).write.mode("overwrite").parquet(f"{out}/rows/upto={last}")
+    spark.range(1).select(F.lit(int(last)).cast("long").alias("upto")).write.mode("append").parquet(f"{out}/done")
+
+
+def current_events(spark: SparkSession, path: str) -> DataFrame:
+    """Stored raw events once each: of an event's copies the one that arrived first."""
     log = spark.read.parquet(path)
-    upto = log.agg(F.max("batch_id")).scalar()
-    last_per_key(log, key, ["batch_id"]).withColumn("__upto", upto).write.mode("overwrite").parquet(out)
+    order = [name for name in (*ARRIVAL, "batch_id") if name in log.columns]
+    rest = [name for name in log.columns if name not in order]
+    return first_per_event(log, [*order, *rest]).drop(*order)
 
 
 def current_sessions(spark: SparkSession, path: str, snapshot: str | None = None) -> DataFrame:
@@ -99,27 +139,30 @@ def current_sessions(spark: SparkSession, path: str, snapshot: str | None = None
 
 
 def ingest_writer(
-    events_path: str, letters_path: str, on_failure: Callable[[Exception], None] | None = None
+    events_path: str, letters_path: str, on_failure: Callable[[Exception], None] | None = None,
+    counts_path: str | None = None, failed_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that stores accepted events by date and rejects as dead letters.
 
-    The batch is kept while both are written, so its source is read once.
+    The batch is kept while both are written, so its source is read once. If the events cannot be
+    stored, they go to `failed_path` as dead letters and the batch fails.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            events = stored_event(accepted(kept))
-            with_retries(lambda: write_batch(events, events_path, batch_id, ("event_date",)), on_failure=on_failure)
+            events = stored_event(accepted(kept), ARRIVAL)
+            try:
+                with_retries(lambda: write_batch(events, events_path, batch_id, ("event_date",)), on_failure=on_failure)
+            except Exception as error:
+                if failed_path:
+                    write_batch(failed_saves(events, str(error)), failed_path, batch_id)
+                raise
             letters = dead_letters(kept)
             with_retries(lambda: write_batch(letters, letters_path, batch_id), on_failure=on_failure)
+            if counts_path:
+                counts = ingest_counts(kept)
+                with_retries(lambda: write_batch(counts, counts_path, batch_id), on_failure=on_failure)
         finally:
             kept.unpersist()
 
     return write
-
-
-def sample_rows(batch: DataFrame, n: int = 3) -> list:
-    """A few rows of a persisted batch for debugging. The batch is read in full first:
-    a stateful query fails when a sink leaves some of its partitions unread."""
-    batch.write.format("noop").mode("overwrite").save()
-    return batch.limit(n).collect()
