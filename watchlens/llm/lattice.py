@@ -22,7 +22,7 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -81,8 +81,8 @@ class Lattice:
         begin = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
         joined = "\n".join(marked)
         found, parts = self.finder.iter(joined), []
-        while chunk := list(islice(found, 1 << 18)):
-            parts.append(np.array(chunk, np.int64))
+        while len(part := np.fromiter(chain.from_iterable(islice(found, 1 << 18)), np.int64)):
+            parts.append(part.reshape(-1, 2))
         pairs = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
         piece, end = pairs[:, 1], pairs[:, 0] + 1
         start = end - self.sizes[piece]

@@ -46,7 +46,7 @@ DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
 SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i", "+": "t"}
 HARMLESS = ("trash can", "trash bin", "trash bag", "clown fish", "scum line", "pond scum")
 
-_SIGN_INSIDE = re.compile(rb"(?<=[a-z0-9])[@$!|+](?=[a-z0-9])")
+_SIGN_INSIDE = re.compile(rb"(?<=[a-z0-9])[@$!|+](?=[a-z0-9])|(?<![^ \t\r\n])[@$](?=[a-z])")
 _OTHER_SCRIPTS = re.compile(rb"[\xc4-\xef]")
 _GLYPHS = {ord(a): b for a, b in HOMOGLYPHS.items()}
 
@@ -65,7 +65,8 @@ _TABLE = _table()
 def fold(data: bytes) -> str:
     """A text's folded words, one blank between them and round them, a character a byte.
 
-    Signs count as letters only between letters or digits: a word's trailing signs are not its own.
+    Signs count as letters only between letters or digits, and `@` and `$` before a word's first
+    letter: a word's trailing signs are not its own.
     """
     low = data.lower()
     if _OTHER_SCRIPTS.search(low):
