@@ -217,7 +217,10 @@ def test_paraphrases_are_found_and_clean_documents_left(spark, make_docs):
 
 def test_an_answer_must_be_there(spark, make_docs):
     item = "which of these green stones is found on the long northern shore every dark winter"
-    docs = make_docs([(1, f"they asked {item} and it was amber said he"), (2, f"they asked {item} and nobody knew")])
+    rng = random.Random(2)
+    others = [(100 + k, " ".join(rng.choice(item.split() + ["amber", "it", "was", "he"]) for _ in range(30))) for k in range(60)]
+    others += [(300 + k, f"other {k} words {k * 7} that say nothing") for k in range(300)]
+    docs = make_docs([(1, f"they asked {item} and it was amber said he"), (2, f"they asked {item} and nobody knew"), *others])
     benchmark = spark.createDataFrame([(0, item, "amber")], "item_id long, text string, answer string")
     assert [r.doc_id for r in decontaminate.leaks(docs, benchmark).collect()] == [1]
 

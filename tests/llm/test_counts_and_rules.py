@@ -110,9 +110,10 @@ def test_sketches_merge_to_the_sketch_of_all_and_give_near_quantiles(spark):
 
 
 def test_limits_follow_each_source(make_docs):
-    plain, signs = "word " * 5, "word | "
-    text = lambda unit, k: "\n".join(f"{unit * 6} line {k} {j} alpha{k * j} beta{k + j} gamma{j}" for j in range(6))
-    rows = [(k, text(plain[:5], k), "en", "prose") for k in range(300)] + [(1000 + k, text(signs, k), "en", "tables") for k in range(300)]
+    line = lambda k, j: [f"{chr(97 + i)}{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}word" for i in range(9)]
+    text = lambda between, k: "\n".join(between.join(line(k, j)) for j in range(6))
+    plain, signs = " ", " | "
+    rows = [(k, text(plain, k), "en", "prose") for k in range(300)] + [(1000 + k, text(signs, k), "en", "tables") for k in range(300)]
     rows.append((5000, text(signs, 5), "en", "prose"))
     kept = {r.doc_id: (r.base_failed, r.kept) for r in rules.judge(make_docs(rows)).collect()}
     # Tables are normal in the one source and odd in the other.

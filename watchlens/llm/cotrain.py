@@ -209,7 +209,7 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().join(labels.select("doc_id"), "doc_id", "left_anti")
     others = ids.orderBy(*order).limit(pool).withColumn("quality", F.lit(None).cast("int"))
     known, unknown = _sample(docs, some), _sample(docs, others)
-    side = lambda rows, name: np.array([row[name] for row in rows], float).reshape(len(rows), -1)
+    side = lambda rows, name: np.array([row[name] for row in rows], float).reshape(len(rows), -1 if rows else 0)
     return co_train(
         side(known, "content"), side(known, "page"), np.array([row.quality for row in known], float),
         side(unknown, "content"), side(unknown, "page"),

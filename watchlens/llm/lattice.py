@@ -101,9 +101,13 @@ class Lattice:
         word = np.searchsorted(begin, start, "right") - 1
         return {"start": start, "end": end, "piece": piece, "word": word, "begin": begin, "lengths": lengths, "extra": extra}
 
+    def _bytes(self, character: str) -> np.ndarray:
+        """The pieces that spell a character in UTF-8."""
+        return self.count + np.frombuffer(character.encode("utf-8", "replace"), np.uint8).astype(np.int64)
+
     def log_weights(self, arcs: dict, weights: np.ndarray) -> np.ndarray:
         """Log weights (arcs by classes) out of the pieces' (pieces by classes)."""
-        spelt = [weights[self.count + np.frombuffer(c.encode("utf-8", "replace"), np.uint8)].sum(axis=0) for c in arcs["extra"]]
+        spelt = [weights[self._bytes(c)].sum(axis=0) for c in arcs["extra"]]
         return (np.concatenate([weights, spelt]) if spelt else weights)[arcs["piece"]]
 
     @staticmethod
@@ -142,7 +146,7 @@ class Lattice:
         share = np.exp((ahead[arcs["start"]] + gain + behind[arcs["end"]] - ahead[last][arcs["word"]])[:, 0])
         uses = np.bincount(arcs["piece"], share, self.count + 256 + len(arcs["extra"]))
         for k, c in enumerate(arcs["extra"]):
-            np.add.at(uses, self.count + np.frombuffer(c.encode("utf-8", "replace"), np.uint8), uses[self.count + 256 + k])
+            np.add.at(uses, self._bytes(c), uses[self.count + 256 + k])
         return uses[: self.count + 256]
 
 
