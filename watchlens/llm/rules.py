@@ -192,15 +192,16 @@ def judge(docs: DataFrame) -> DataFrame:
             *[F.col(c).alias(f"{prefix}_{c}") for c in keys], *[F.col(n).alias(f"{prefix}_{n}") for n in names]
         )
 
-    s, g, a = level(by_source, ("lang", "source"), "s"), level(by_lang, ("lang",), "g"), level(overall, ("whole",), "a")
+    s, g = level(by_source, ("lang", "source"), "s"), level(by_lang, ("lang",), "g")
+    # One row at most, so it is a value of the query and no join.
+    whole = overall.select(F.struct(*names)).scalar()
     joined = (
         rows.join(s, rows["lang"].eqNullSafe(s["s_lang"]) & rows["source"].eqNullSafe(s["s_source"]), "left")
         .join(g, rows["lang"].eqNullSafe(g["g_lang"]), "left")
-        .withColumn("__whole", F.lit(0))
-        .join(a, F.col("__whole") == F.col("a_whole"), "left")
+        .withColumn("__whole", whole)
     )
     inside = F.lit(True)
     for name, value in measures().items():
-        low, high = (F.coalesce(f"s_{name}_{end}", f"g_{name}_{end}", f"a_{name}_{end}") for end in ("low", "high"))
+        low, high = (F.coalesce(f"s_{name}_{end}", f"g_{name}_{end}", f"__whole.{name}_{end}") for end in ("low", "high"))
         inside = inside & F.coalesce((value >= low) & (value <= high), F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & inside).select(*rows.columns, "kept")
