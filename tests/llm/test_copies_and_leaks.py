@@ -215,6 +215,38 @@ def test_paraphrases_are_found_and_clean_documents_left(spark, make_docs):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(range(200)) - set(leaked)
 
 
+@pytest.mark.parametrize("size", [100, 400, 1000])
+def test_long_items_are_found_wherever_they_stand(spark, make_docs, size):
+    rng = random.Random(size)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9))) for _ in range(4000)]
+    plain = lambda n: [rng.choice(vocabulary[:200] if rng.random() < 0.5 else vocabulary) for _ in range(n)]
+    items = {k: plain(size if k < 6 else 30) for k in range(12)}
+    rows, leaked = [], set()
+    for k in range(108):
+        words, item = plain(rng.randrange(20, 2500)), k % 12
+        if k < 72:
+            own = list(items[item])
+            if k % 2:
+                own = [w for w in own if rng.random() > 0.1]
+                for at in range(0, len(own), 11):
+                    own.insert(at, rng.choice(vocabulary))
+            place = (0, len(words) // 2, len(words))[k // 12 % 3]
+            words[place:place] = own
+            leaked.add((k, item))
+        rows.append((k, " ".join(words), "en", "s"))
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(rows), benchmark).collect()} == leaked
+
+
+def test_passages_reach_the_end_of_a_text():
+    items = decontaminate.Items([1], [[b"w%d" % k for k in range(90)]], [[b"w89"]], {b"w%d" % k: k for k in range(90)})
+    finder = decontaminate.Finder(items, np.eye(90), np.ones(90))
+    for before in range(0, 400, 7):
+        found = [b"x"] * before + items.words[0]
+        ends = [step + 8 for step, _ in finder.candidates(found)[0]]
+        assert max(ends) * decontaminate.STEP >= len(found)
+
+
 def test_an_answer_must_be_there(spark, make_docs):
     item = "which of these green stones is found on the long northern shore every dark winter"
     rng = random.Random(2)
