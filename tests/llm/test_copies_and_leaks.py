@@ -239,14 +239,38 @@ def test_long_items_are_found_wherever_they_stand(spark, make_docs, size):
 
 
 def test_passages_reach_the_end_of_a_text():
-    items = decontaminate.Items([1], [[b"w%d" % k for k in range(90)]], [[b"w89"]], {b"w%d" % k: k for k in range(90)})
+    items = decontaminate.Items([1], [[b"w%d" % k for k in range(90)]], [[b"w89"]], [False], {b"w%d" % k: k for k in range(90)})
     finder = decontaminate.Finder(items, np.eye(90), np.ones(90))
     for before in range(0, 400, 7):
         found = [b"x"] * before + items.words[0]
-        ends = [step + 8 for step, _ in finder.candidates(found)[0]]
+        ends = [step + size for step, size, _ in finder.candidates(found)[0]]
         assert max(ends) * decontaminate.STEP >= len(found)
 
 
+@pytest.mark.parametrize("cut", [0.2, 0.3])
+def test_items_without_their_end_are_found(spark, make_docs, cut):
+    rng = random.Random(40)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9))) for _ in range(4000)]
+    items = [[rng.choice(vocabulary) for _ in range(40)] for _ in range(12)]
+    rows = []
+    for k in range(72):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(20, 900))]
+        own = items[k % 12][: round(40 * (1 - cut))] if k < 36 else []
+        place = (0, len(words) // 2, len(words))[k // 12 % 3]
+        words[place:place] = own
+        rows.append((k, " ".join(words), "en", "s"))
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(rows), benchmark).collect()}
+    assert found == {(k, k % 12) for k in range(36)}
+
+
+def test_common_words_without_the_end_stand_close():
+    item = [b"w%d" % k for k in range(10)]
+    assert decontaminate.dense_words(item, [b"x"] * 30 + item[:8] + [b"x"] * 30) == 8
+    scattered = [w for word in item[:8] for w in (word, *[b"x"] * 6)]
+    assert decontaminate.common_words(item, scattered) == 8 and decontaminate.dense_words(item, scattered) <= 3
+
+
 def test_an_answer_must_be_there(spark, make_docs):
     item = "which of these green stones is found on the long northern shore every dark winter"
     rng = random.Random(2)
