@@ -163,6 +163,17 @@ def test_edited_copies_go_and_others_stay(make_docs):
     assert kept == set(range(40))
 
 
+def test_repeated_lines_do_not_part_copies(make_docs):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    rows = []
+    for k in range(30):
+        base, line = [word() for _ in range(200)], [word() for _ in range(20)]
+        rows += [(k, " ".join(base + line), "en", "s"), (100 + k, " ".join(base + line * 20), "en", "s")]
+    assert all(len(shingles(a[1]) & shingles(b[1])) >= 0.8 * len(shingles(b[1])) for a, b in zip(rows[::2], rows[1::2], strict=True))
+    assert {r.doc_id for r in similar.one_of_each(make_docs(rows)).collect()} == set(range(30))
+
+
 # Leaks
 
 

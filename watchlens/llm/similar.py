@@ -29,11 +29,11 @@ FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 
 def signature(data: bytes, width: int) -> tuple[int, list[int], bytes]:
     """Fingerprint, minima and sketch (sorted 32-bit hashes) of a text; zeros and nothing without words."""
-    hashes = shingle_hashes(data, width)
-    print_ = fingerprint(hashes)
-    if not len(hashes):
+    # Similarity is one of sets, so repeats count once in the fingerprint as well.
+    own = np.unique(shingle_hashes(data, width))
+    print_ = fingerprint(own)
+    if not len(own):
         return print_, [0] * CHOICES, b""
-    own = np.unique(hashes)
     mixed = [(own * factor) ^ ((own * factor) >> np.uint64(29)) for factor in FACTORS]
     # The sketch takes other bits than the fingerprint's order, so that it is a fair sample.
     low = np.unique((mixed[0] >> np.uint64(32)).astype(np.uint32))[:SKETCH]
