@@ -174,6 +174,19 @@ def test_repeated_lines_do_not_part_copies(make_docs):
     assert {r.doc_id for r in similar.one_of_each(make_docs(rows)).collect()} == set(range(30))
 
 
+def test_long_texts_are_judged_by_their_whole_sets(make_docs):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    rows, kept = [], set()
+    for k in range(120):
+        # Two texts of 1,000 shingles each that share just under, or just over, four fifths of all.
+        share, base = 880 if k % 2 else 898, [word() for _ in range(1004)]
+        other = base[: share + 4] + [word() for _ in range(1000 - share)]
+        rows += [(k, " ".join(base), "en", "s"), (1000 + k, " ".join(other), "en", "s")]
+        kept |= {k, 1000 + k} if k % 2 else {k}
+    assert {r.doc_id for r in similar.one_of_each(make_docs(rows)).collect()} == kept
+
+
 # Leaks
 
 

@@ -4,13 +4,14 @@ Texts that share four fifths of their shingles differ in some ten fingerprint bi
 shard the trees by equal bits as `simhash` does. Here a tree holds the texts that agree in a
 minimum of their hashed shingles; of CHOICES minima, texts of similarity s miss each other in all
 with probability (1 - s) ** CHOICES, 0.16 % at 0.8. The trees are searched within a wide radius,
-and what they find is held against the similarity of the shingle sets: exact for texts of up to
-SKETCH shingles, by their SKETCH smallest hashes beyond.
+and what they find is held against the similarity of the shingle sets: exact for texts of under
+SKETCH shingles. Beyond, their SKETCH smallest hashes are a filter with a margin only: components in
+which such a pair turns up are searched again, each by itself, on the whole shingle sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,10 @@ from watchlens.llm.text import bound_batches, texts
 from watchlens.session import materialize
 
 CHOICES, SKETCH, TREE_ROWS = 4, 512, 1000
+#: How far under the asked similarity sketches may lie: 4.5 standard deviations of one at 0.8.
+MARGIN = 0.08
+#: Shingles of whole sets in a tree.
+TREE_SHINGLES = 4_000_000
 #: Odd factors that order the hashes anew for each minimum.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -74,42 +79,102 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, fingerprint long, minima array<long>, sketch binary")
 
 
-def links(nodes: DataFrame, radius: int, least: float) -> DataFrame:
-    """Verified pairs (a, b) of text hashes that join the same components as all pairs of that similarity."""
-    keys = nodes.select("text_hash", F.posexplode("minima").alias("choice", "block"))
-    sizes = keys.groupBy("choice", "block").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    own = F.pmod(F.xxhash64("text_hash", "choice"), F.ceil(F.col("rows") / TREE_ROWS)).cast("int")
-    shared = keys.join(sizes, ["choice", "block"]).withColumn("own", own)
-    full = shared.join(nodes.select("text_hash", "fingerprint", "sketch"), "text_hash")
-    dealt = full.select(
-        "choice", "block", "own", "text_hash", "fingerprint", "sketch", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("tree")
-    )
-    shard = ["choice", "block", "tree"]
+def exact_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two whole sets of distinct hashes; of two empty ones 1."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared) if len(a) or len(b) else 1.0
+
+
+def _search(rows: DataFrame, shard: list[str], radius: int, kind: type, alike: Callable) -> DataFrame:
+    """Pairs (a, b, sure) that the trees of each shard join; `rows` have their own tree's number and hashes."""
+    dealt = rows.select(*shard, "own", "text_hash", "fingerprint", "hashes", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("tree"))
+    shard = [*shard, "tree"]
     dealt = dealt.repartition(*shard).sortWithinPartitions(*shard, "own", "text_hash")
+    dealt = dealt.select(*shard, "own", "text_hash", "fingerprint", "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tree, hashes, sketches = None, BKTree(radius), [], []
+        now, tree, nodes, sets = None, BKTree(radius), [], []
         for batch in batches:
-            left, right = [], []
-            for choice, block, own_tree, node, value, sketch, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (choice, block, at) != now:
-                    now, tree, hashes, sketches = (choice, block, at), BKTree(radius), [], []
-                mine = np.frombuffer(sketch, np.uint32)
+            left, right, sure = [], [], []
+            for *key, own_tree, node, value, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != now:
+                    now, tree, nodes, sets = key, BKTree(radius), [], []
+                mine = np.frombuffer(data, kind)
 
-                def alike(other: int, mine: np.ndarray = mine, sketches: list = sketches) -> bool:
-                    return similarity(mine, sketches[other]) >= least
+                def check(other: int, mine: np.ndarray = mine, sets: list = sets) -> bool:
+                    return alike(mine, sets[other])
 
                 unsigned = value & ((1 << 64) - 1)
-                found = tree.add(unsigned, alike) if own_tree == at else tree.near(unsigned, alike)
+                found = tree.add(unsigned, check) if own_tree == key[-1] else tree.near(unsigned, check)
                 left += [node] * len(found)
-                right += [hashes[k] for k in found]
-                if own_tree == at:
-                    hashes.append(node)
-                    sketches.append(mine)
+                right += [nodes[k] for k in found]
+                sure += [len(mine) < SKETCH and len(sets[k]) < SKETCH for k in found]
+                if own_tree == key[-1]:
+                    nodes.append(node)
+                    sets.append(mine)
             if left:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array(sure, pa.bool_())], names=["a", "b", "sure"]
+                )
+
+    return dealt.mapInArrow(run, "a long, b long, sure boolean")
+
+
+def links(nodes: DataFrame, radius: int, least: float) -> DataFrame:
+    """Pairs (a, b, sure) of text hashes that join the same components as all pairs of that similarity.
+
+    Pairs that are not sure rest on a sketch, and count from MARGIN under `least`.
+    """
+    keys = nodes.select("text_hash", F.posexplode("minima").alias("choice", "block"))
+    sizes = keys.groupBy("choice", "block").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    own = F.pmod(F.xxhash64("text_hash", "choice"), F.ceil(F.col("rows") / TREE_ROWS)).cast("int")
+    shared = keys.join(sizes, ["choice", "block"]).withColumn("own", own)
+    full = shared.join(nodes.select("text_hash", "fingerprint", F.col("sketch").alias("hashes")), "text_hash")
+
+    def alike(a: np.ndarray, b: np.ndarray) -> bool:
+        return similarity(a, b) >= (least if len(a) < SKETCH and len(b) < SKETCH else least - MARGIN)
+
+    return _search(full, ["choice", "block"], radius, np.uint32, alike)
 
-    return dealt.mapInArrow(run, "a long, b long")
+
+def _whole_links(docs: DataFrame, members: DataFrame, width: int, radius: int, least: float) -> DataFrame:
+    """Pairs (a, b) within the components of `members` (text_hash, first, root), verified on whole shingle sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.unique(shingle_hashes(data, width)) for data in texts(batch)]
+            prints = pa.array([signed(fingerprint(o)) for o in own], pa.int64())
+            sets = pa.array([o.tobytes() for o in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints, sets], names=["text_hash", "root", "fingerprint", "hashes"])
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").alias("__id"), F.xxhash64(text).alias("__own"), text.alias("text"))
+    # One row of each text, so that the copies of one text do not meet in one task.
+    one = rows.join(members, (F.col("__own") == F.col("text_hash")) & F.col("__id").eqNullSafe(F.col("first")))
+    sets = one.select("text_hash", "root", "text").mapInArrow(run, "text_hash long, root long, fingerprint long, hashes binary")
+    each = sets.groupBy("text_hash").agg(*[F.first(c).alias(c) for c in ("root", "fingerprint", "hashes")])
+    each = materialize(each, "similar-sets")
+    trees = F.ceil(F.greatest(F.count(F.lit(1)) / TREE_ROWS, F.sum(F.octet_length("hashes")) / (8 * TREE_SHINGLES)))
+    sizes = each.groupBy("root").agg(trees.alias("trees"))
+    dealt = each.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("text_hash"), F.greatest("trees", F.lit(1))).cast("int"))
+
+    def alike(a: np.ndarray, b: np.ndarray) -> bool:
+        return exact_similarity(a, b) >= least
+
+    return _search(dealt, ["root"], radius, np.uint64, alike).select("a", "b")
+
+
+def _components(docs: DataFrame, nodes: DataFrame, width: int, radius: int, least: float) -> DataFrame:
+    """(node, root) of all texts that are linked."""
+    pairs = materialize(links(nodes, radius, least), "similar-links")
+    found = materialize(components(pairs), "similar-components")
+    unsure = pairs.where(~F.col("sure"))
+    if unsure.isEmpty():
+        return found
+    again = unsure.select(F.col("a").alias("node")).join(found, "node").select("root").distinct()
+    members = found.join(again, "root", "left_semi").join(nodes.select("text_hash", "first"), F.col("node") == F.col("text_hash"))
+    whole = components(_whole_links(docs, members.select("text_hash", "first", "root"), width, radius, least))
+    return found.join(again, "root", "left_anti").select("node", "root").unionByName(whole)
 
 
 def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8, radius: int = 18) -> DataFrame:
@@ -131,7 +196,7 @@ def similar_documents(docs: DataFrame, width: int = 5, least: float = 0.8, radiu
         ),
         "similar",
     )
-    found = components(links(nodes, radius, least))
+    found = _components(docs, nodes, width, radius, least)
     owned = nodes.select("text_hash", "first").join(found, F.col("text_hash") == F.col("node"))
     firsts = owned.groupBy("root").agg(F.min("first").alias("component_id"))
     linked = owned.join(firsts, "root").select("text_hash", "root", "component_id")
