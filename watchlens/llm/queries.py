@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchlens.llm import bpe, cotrain, decontaminate, lattice, mixing, rules, rules_sql, secret_crf, shards, simhash, toxicity
+from watchlens.llm import (
+    bpe, cotrain, decontaminate, lattice, middles, mixing, packing, prefix_trie, rules, rules_sql, secret_crf, shards, simhash, toxicity, trie_sql,
+)
 from watchlens.llm.text import documents, remainder
+from watchlens.session import materialize
 
 SHARDS = 24
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+PACKED_TOKENIZER, END_ID, SEQUENCE_IDS = "word_bpe_49k.json", 1, 2048
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,6 +82,27 @@ def op9_shard_records(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = packing.load_tokenizer(public_tokenizers.path(PACKED_TOKENIZER))
+    return packing.pieces(packing.windows(documents(spark, folder), tokenizer, END_ID, SEQUENCE_IDS))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = middles.transform(documents(spark, folder))
+    restored = middles.restore(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    return prefix_trie.prefix_trie(prefix_trie.shared_heads(materialize(prefix_trie.conversations(turns), "conversation-paths")))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -89,6 +114,13 @@ QUERIES = {
     "op8_near_copies": op8_near_copies,
     "op9_shard_records": op9_shard_records,
     "op10_secrets": op10_secrets,
+    "op11_pack_sequences": op11_pack_sequences,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 #: The other operators hash, learn or search in ways that SQL does not have; their tests use brute force.
-ORACLE: dict[str, str] = {"op4_quality_rules": rules_sql.SQL}
+ORACLE: dict[str, str] = {
+    "op4_quality_rules": rules_sql.SQL,
+    "op12_fill_in_middle": trie_sql.MIDDLES,
+    "op13_conversation_trie": trie_sql.TRIE,
+}
