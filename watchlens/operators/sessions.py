@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchlens.functions.jsontext import to_json_text
-from watchlens.functions.times import micros_between, seconds_between
-from watchlens.plans.ordered import along_time, time_chunk
+from watchlens.functions.times import seconds_between
+from watchlens.plans.ordered import along_time
 from watchlens.schemas import SESSION_GAP_SECONDS, SESSION_WINDOW
 
 # Which event type fills which content list.
@@ -164,70 +164,23 @@ def session_lengths(sessions: DataFrame) -> DataFrame:
 def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Events numbered into sessions per user: a new one starts when the pause reaches the gap.
 
-    Adds `session_no`, from 1; NULL for events without user or time. Sessions
-    are counted inside time chunks; a summary row per chunk says where counting
-    goes on across chunk borders.
+    Adds `session_no`, from 1; NULL for events without user or time.
     """
-    gap = gap_seconds * 1000000
-    keys = ["user_id", "__chunk"]
-    inside = Window.partitionBy(*keys).orderBy("timestamp_ts", "event_id")
-    pause = micros_between(F.lag("timestamp_ts").over(inside), F.col("timestamp_ts"))
-    known = F.col("user_id").isNotNull() & F.col("timestamp_ts").isNotNull()
-    placed, unplaced = events.where(known), events.where(~known)
-    flagged = placed.withColumn("__chunk", time_chunk("timestamp_ts")).withColumn(
-        "__start", F.when(pause >= gap, 1).otherwise(0)
-    )
-    summary = flagged.groupBy(*keys).agg(
-        F.min("timestamp_ts").alias("first"), F.max("timestamp_ts").alias("last"), F.sum("__start").alias("inner")
-    )
-    across = Window.partitionBy("user_id").orderBy("__chunk")
-    border = micros_between(F.lag("last").over(across), F.col("first"))
-    opened = summary.withColumn("opens", F.when(F.coalesce(border >= gap, F.lit(True)), 1).otherwise(0))
-    before = F.coalesce(F.sum("inner").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offset = opened.select(*keys, (before + F.sum("opens").over(across)).alias("__offset"))
-    numbered = flagged.withColumn("__inner", F.sum("__start").over(inside))
-    numbered = numbered.join(offset, keys).select(
-        *events.columns, (F.col("__inner") + F.col("__offset")).alias("session_no")
-    )
-    return numbered.unionByName(unplaced.withColumn("session_no", F.lit(None).cast("bigint")))
+    return along_time(events, ["user_id"], ["timestamp_ts", "event_id"], gap=("session_no", gap_seconds * 1000000))
 
 
 def gap_sessions(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
-    """One row per gap session of a user; events without a time are left out.
+    """One row per gap session of a user; events without user or time are left out.
 
-    Events shrink to mini-sessions inside time chunks first; only those, at most
-    one per gap and chunk, are put in order per user and merged across chunk borders.
+    Numbered events of a user come out of few tasks, so nearly all of them combine before the second shuffle.
     """
-    gap = gap_seconds * 1000000
-    timed = events.where(F.col("timestamp_ts").isNotNull())
-    chunked = timed.select(
-        "user_id", "event_id", "timestamp_ts", "watched_minutes", time_chunk("timestamp_ts").alias("chunk")
-    )
-    inside = Window.partitionBy("user_id", "chunk").orderBy("timestamp_ts", "event_id")
-    pause = micros_between(F.lag("timestamp_ts").over(inside), F.col("timestamp_ts"))
-    starts = chunked.withColumn("starts", F.when(pause >= gap, 1).otherwise(0))
-    mini = (
-        starts.withColumn("mini_no", F.sum("starts").over(inside))
-        .groupBy("user_id", "chunk", "mini_no")
-        .agg(
-            F.min("timestamp_ts").alias("start_time"),
-            F.max("timestamp_ts").alias("end_time"),
-            F.count(F.lit(1)).alias("event_count"),
-            F.sum("watched_minutes").alias("minutes"),
-        )
-    )
-    across = Window.partitionBy("user_id").orderBy("start_time")
-    pause = micros_between(F.lag("end_time").over(across), F.col("start_time"))
-    merged = mini.withColumn("starts", F.when(F.coalesce(pause >= gap, F.lit(True)), 1).otherwise(0))
-    return (
-        merged.withColumn("session_no", F.sum("starts").over(across))
-        .groupBy("user_id", "session_no")
-        .agg(
-            F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time"),
-            F.sum("event_count").alias("event_count"),
-            F.coalesce(F.sum("minutes"), F.lit(0)).alias("total_watched_minutes"),
-        )
+    slim = events.select("user_id", "event_id", "timestamp_ts", "watched_minutes")
+    numbered = session_starts(slim.where(F.col("user_id").isNotNull() & F.col("timestamp_ts").isNotNull()), gap_seconds)
+    return numbered.groupBy("user_id", "session_no").agg(
+        F.min("timestamp_ts").alias("start_time"),
+        F.max("timestamp_ts").alias("end_time"),
+        F.count(F.lit(1)).alias("event_count"),
+        F.coalesce(F.sum("watched_minutes"), F.lit(0)).alias("total_watched_minutes"),
     )
 
 

@@ -60,8 +60,9 @@ def enrich(events: DataFrame, users: DataFrame, contents: DataFrame) -> DataFram
 
 def event_transitions(events: DataFrame) -> DataFrame:
     """How often each event type follows another within a user, and with which probability."""
+    slim = events.select("user_id", "event_id", "timestamp_ts", "event_type")
     follow = along_time(
-        events, ["user_id"], ["timestamp_ts", "event_id"], previous={"previous_type": F.col("event_type")}
+        slim, ["user_id"], ["timestamp_ts", "event_id"], previous={"previous_type": F.col("event_type")}
     ).where(F.col("previous_type").isNotNull())
     counts = follow.groupBy("previous_type", "event_type").agg(F.count(F.lit(1)).alias("transitions"))
     # Counts are one row per pair of types.
@@ -209,7 +210,7 @@ def rewatches(events: DataFrame) -> DataFrame:
     """Watch and watch-complete events, marked when the user had watched the content before."""
     watched = events.where(F.col("event_type").isin("watch", "watch_complete"))
     numbered = along_time(
-        watched, ["user_id", "content_id"], ["timestamp_ts", "event_id"], running={"viewing": F.lit(1)}, unit="day"
+        watched, ["user_id", "content_id"], ["timestamp_ts", "event_id"], running={"viewing": F.lit(1)}
     )
     return numbered.withColumn("is_rewatch", F.col("viewing") > 1)
 
