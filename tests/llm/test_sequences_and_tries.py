@@ -26,7 +26,7 @@ def library_ids(texts):
 
 def test_encoder_equals_the_library():
     rng = random.Random(5)
-    parts = ["Word", "a", "’s", "'s", "naïve", "ẖ", "H̱", "̈", "ΣΑΣ", "12", "漢字", "🙂", "<|endoftext|>", "<|ENDOFTEXT|>", "!!", " ", "\x1c", "\x85", "﻿", "x" * 200, " ", "\t", "\n\n", "\v", "\f", "\r\n"]
+    parts = ["Word", "a", "’s", "'s", "naïve", "ẖ", "H̱", "̈", "ΣΑΣ", "12", "漢字", "🙂", "<|endoftext|>", "<|ENDOFTEXT|>", "!!", " ", "\x1c", "\x85", "﻿", "x" * 200, "İX", "DŽ", "Ⅷ", "ªb", "क़", "É.", "é,", "e\u0301.", "Q.", "<|x,", "I'M", "9.", " ", "\t", "\n\n", "\v", "\f", "\r\n"]
     texts = ["", " ", *("".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(400))]
     encode = packing.Encoder(packing.load_tokenizer(PATH))
     for _ in range(2):

@@ -9,7 +9,9 @@ neighbours becomes boundary records, the only ones that `sequences` has to put t
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -24,8 +26,13 @@ from watchlens.session import materialize, shared_folder
 
 #: Most ids of a document in one row between the passes; longer documents take several rows.
 ROW_IDS = 1 << 16
-#: Words whose ids a Python worker remembers, and the longest such word; beyond it the table starts anew.
-REMEMBERED, LONGEST_WORD = 600_000, 64
+#: Words after which a Python worker starts a new table beside the one before, stems after which it
+#: starts anew, and the longest word that it remembers.
+REMEMBERED, REMEMBERED_STEMS, LONGEST_WORD = 400_000, 500_000, 64
+#: Stems that the tokenizer reads together, and what ends the last piece of a word.
+TOGETHER, WORD_END = 200, "</w>"
+#: Signs that are cut off before a word is looked up.
+SIGNS = b".,;:!?"
 #: Partitions whose totals are added up in one window task, and how many starts are broadcast at most.
 BLOCK, BROADCAST_STARTS = 1024, 1 << 20
 #: Bytes of an id in packed sequences (little-endian, unsigned).
@@ -35,7 +42,9 @@ ID_BYTES = 4
 class Encoder:
     """Ids of whole texts by a tokenizer that reads words between blanks one by one.
 
-    `load_tokenizer` refuses others. Words met before are looked up.
+    `load_tokenizer` refuses others. Words met before are looked up. Of a new word the tokenizer reads the
+    stem, in lower case and without a last sign, where that is sure to give the same ids; stems of small letters alone
+    need no normalising and are read many at a time, as each gives just one piece that ends a word.
     """
 
     def __init__(self, tokenizer: str):
@@ -43,25 +52,91 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        bare = json.loads(tokenizer)
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        bare |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
         self.kind = id_kind(self.tokenizer.get_vocab_size())
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends_word[number] = token.endswith(WORD_END)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
+    def _one_by_one(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([word.decode("utf-8", "replace") for word in words], add_special_tokens=False)
         return [np.array(one.ids, self.kind).tobytes() for one in found]
 
+    def _letters(self, stems: list[bytes]) -> dict[bytes, bytes]:
+        width, here = np.dtype(self.kind).itemsize, {}
+        groups = [stems[k : k + TOGETHER] for k in range(0, len(stems), TOGETHER)]
+        for group, one in zip(groups, self.bare.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(one.ids, self.kind)
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * width).tolist()
+            if len(ends) != len(group):
+                here.update(zip(group, self._one_by_one(group), strict=True))
+                continue
+            data = ids.tobytes()
+            here.update((stem, data[begin:end]) for stem, begin, end in zip(group, [0, *ends[:-1]], ends, strict=True))
+        return here
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        parts = [_stem(word) for word in words]
+        if len(self.stems) > REMEMBERED_STEMS:
+            self.stems.clear()
+        new = list({part for both in parts for part in both if part}.difference(self.stems))
+        plain = [stem for stem in new if _is_small_letters(stem)]
+        rest = list(set(new).difference(plain))
+        here = dict(zip(rest, self._one_by_one(rest), strict=True)) if rest else {}
+        here.update(self._letters(plain))
+        self.stems.update((stem, ids) for stem, ids in here.items() if len(stem) <= LONGEST_WORD)
+        find = lambda part: self.stems.get(part) or here.get(part, b"")
+        return {word: find(stem) + find(sign) for word, (stem, sign) in zip(words, parts, strict=True)}
+
     def ids(self, data: list[bytes]) -> Iterator[bytes]:
         """Each text's ids, as bytes."""
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
         words = [text.split() for text in data]
-        unknown = list(set().union(*words).difference(self.known))
-        if len(self.known) + len(unknown) > REMEMBERED:
-            self.known.clear()
-            unknown = list(set().union(*words))
-        here = dict(zip(unknown, self.encode(unknown), strict=True)) if unknown else {}
-        self.known.update((word, ids) for word, ids in here.items() if len(word) <= LONGEST_WORD)
-        known = self.known if len(here) == 0 or max(map(len, here)) <= LONGEST_WORD else self.known | here
-        for each in words:
-            yield b"".join(map(known.__getitem__, each))
+        find = self.known.get
+        found = [list(map(find, each)) for each in words]
+        missing = [k for k, ids in enumerate(found) if None in ids]
+        unknown = set().union(*[words[k] for k in missing]).difference(self.known)
+        here = {word: self.older[word] for word in unknown if word in self.older}
+        here |= self._learn(list(unknown.difference(here)))
+        self.known.update(here)
+        for k in missing:
+            found[k] = list(map(find, words[k]))
+        for word in here:
+            if len(word) > LONGEST_WORD:
+                del self.known[word]
+        return map(b"".join, found)
+
+
+def _is_small_letters(stem: bytes) -> bool:
+    text = stem.decode("utf-8", "replace")
+    return text.isalpha() and text.lower() == text and unicodedata.is_normalized("NFC", text)
+
+
+def _stem(word: bytes) -> tuple[bytes, bytes]:
+    """A word as stem and last sign, whose ids together are the word's; the whole word where that is not sure.
+
+    A sign after a letter is a piece of its own, and A-Z become small, as long as the characters stay as they are when they
+    are normalised.
+    """
+    stem, sign = (word[:-1], word[-1:]) if word[-1] in SIGNS and len(word) > 1 else (word, b"")
+    small = stem.lower()
+    if stem.isascii():
+        sure = b"<|" not in stem and (not sign or stem[-1:].isalpha())
+    else:
+        try:
+            text = stem.decode()
+        except UnicodeDecodeError:
+            return word, b""
+        sure = "<|" not in text and (not sign or text[-1].isalpha())
+        sure = sure and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", small.decode())
+    return (small, sign) if sure else (word, b"")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -81,15 +156,15 @@ def id_kind(vocabulary: int) -> str:
 
 def load_tokenizer(path: str) -> str:
     """A tokenizer file's text, if no token of it reaches across the blanks between words."""
-    import json
-
     text = Path(path).read_text()
     how = json.loads(text)
     steps = (how.get("pre_tokenizer") or {}).get("pretokenizers") or []
     blanks_cut = bool(steps) and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and r"[^\s" in steps[0]["pattern"].get("Regex", "")
-    byte_level = all(step["type"] != "ByteLevel" or not step["add_prefix_space"] for step in steps)
+    byte_level = all(step["type"] == "ByteLevel" and not step["add_prefix_space"] and not step["use_regex"] for step in steps[1:])
+    normal = {step["type"] for step in (how.get("normalizer") or {}).get("normalizers", [])} == {"NFC", "Replace", "Lowercase"}
     stretched = [t for t in how.get("added_tokens", []) if t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(" \t\n\v\f\r")]
-    if not blanks_cut or not byte_level or stretched or how.get("truncation") or how.get("padding"):
+    ends = (how.get("model") or {}).get("end_of_word_suffix") == WORD_END
+    if not ends or not normal or not blanks_cut or not byte_level or stretched or how.get("truncation") or how.get("padding"):
         raise ValueError(f"{path} does not read words between blanks one by one")
     return text
 
