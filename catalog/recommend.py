@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog.sqltext import CONTENTS, EV, RECS, USERS, ab, with_
-from watchlens.operators import experiment, recommend as ops
+from watchlens.operators import experiment, neighbours, recommend as ops
 from watchlens.operators.tables import fill_defaults
 from watchlens.schemas import TABLES
 from watchlens.session import materialize
@@ -151,9 +151,22 @@ def precision_at_10(spark: SparkSession, folder: str) -> DataFrame:
     return experiment.precision_at(_attributed(spark, folder))
 
 
-def rec_diversity(spark: SparkSession, folder: str) -> DataFrame:
+def nearest_users(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(neighbours.nearest_users(_matrix(spark, folder), 5), "similarity")
+
+
+def _diversity(spark: SparkSession, folder: str, contents: DataFrame) -> DataFrame:
     lists = ops.latest_recommendations(testbed.recommendations(spark, folder))
-    return _rounded(experiment.diversity(lists, without_some(testbed.contents(spark, folder))), "diversity")
+    return _rounded(experiment.diversity(lists, contents), "diversity")
+
+
+def rec_diversity(spark: SparkSession, folder: str) -> DataFrame:
+    return _diversity(spark, folder, testbed.contents(spark, folder))
+
+
+def rec_diversity_some(spark: SparkSession, folder: str) -> DataFrame:
+    """With a catalogue in which contents are missing."""
+    return _diversity(spark, folder, without_some(testbed.contents(spark, folder)))
 
 
 QUERIES = {
@@ -176,6 +189,8 @@ QUERIES = {
     "ab_metrics": ab_metrics,
     "ab_compare": ab_compare,
     "rec_diversity": rec_diversity,
+    "rec_diversity_some": rec_diversity_some,
+    "nearest_users": nearest_users,
     "precision_at_10": precision_at_10,
 }
 
@@ -295,9 +310,19 @@ cdf AS (SELECT *, 1.0::DOUBLE / (1.0 + 0.2316419::DOUBLE * abs(z)) AS t FROM sco
     PARTITION BY user_id ORDER BY created_at DESC, recommendation_score DESC, content_id) AS rank FROM (
     SELECT * FROM recs QUALIFY row_number() OVER (PARTITION BY user_id, content_id ORDER BY created_at DESC, recommendation_score DESC) = 1))
   WHERE rank <= 10),
+c AS (SELECT user_id, coalesce(genre, 'Unknown') AS genre, count(*) AS n FROM l
+  LEFT JOIN contents USING (content_id) GROUP BY ALL)""") + """SELECT user_id,
+  CAST(sum(n) AS BIGINT) AS list_size,
+  round(1 - CASE WHEN sum(n) > 1 THEN sum(n * (n - 1)) / (sum(n) * (sum(n) - 1)) END, 6) AS diversity FROM c GROUP BY 1""",
+    "rec_diversity_some": with_(CONTENTS, RECS, """l AS (SELECT * FROM (SELECT *, row_number() OVER (
+    PARTITION BY user_id ORDER BY created_at DESC, recommendation_score DESC, content_id) AS rank FROM (
+    SELECT * FROM recs QUALIFY row_number() OVER (PARTITION BY user_id, content_id ORDER BY created_at DESC, recommendation_score DESC) = 1))
+  WHERE rank <= 10),
 c AS (SELECT user_id, coalesce(genre, 'Unknown') AS genre, count(*) AS n FROM l
   LEFT JOIN (SELECT * FROM contents WHERE CAST(split_part(content_id, '-', 2) AS INTEGER) % 7 <> 0) USING (content_id) GROUP BY ALL)""") + """SELECT user_id,
   CAST(sum(n) AS BIGINT) AS list_size,
   round(1 - CASE WHEN sum(n) > 1 THEN sum(n * (n - 1)) / (sum(n) * (sum(n) - 1)) END, 6) AS diversity FROM c GROUP BY 1""",
+    "nearest_users": with_(EV, MATRIX, CF.split(",\ncf_raw")[0]) + """SELECT u AS user_id, v AS neighbour, round(sim, 6) AS similarity, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(sim, 9) DESC, v) AS rank FROM sims) WHERE rank <= 5""",
     "precision_at_10": with_(EV, RECS, ATTR) + "SELECT * FROM prec",
 }

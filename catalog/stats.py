@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalog.sqltext import CONTENTS, EV, USERS, with_
 from watchlens.functions.identity import pseudonym
 from watchlens.operators import stats as ops
+from watchlens.session import materialize
 from watchlens.sources import testbed
 
 
@@ -42,6 +43,18 @@ def moving_average(spark: SparkSession, folder: str) -> DataFrame:
     return averaged.withColumn("moving_average", F.round("moving_average", 6))
 
 
+def daily_viewers(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of contents whose viewers, merged from stored hourly sketches, are within 2 % of the exact number."""
+    events = _events(spark, folder)
+    hourly = materialize(ops.viewer_sketches(events), "viewer-sketches")
+    merged = ops.merged_viewers(hourly, "day")
+    exact = ops.heat_map(events, "1 day", approximate=False).withColumnsRenamed({"viewers": "exact", "views": "v", "minutes": "m"})
+    near = F.abs(F.col("viewers") - F.col("exact")) <= F.greatest(F.lit(0.02) * F.col("exact"), F.lit(0.5))
+    return merged.join(exact, ["content_id", "bucket_start"]).select(
+        "content_id", "bucket_start", "views", "minutes", near.alias("within_2_percent")
+    )
+
+
 def rewatches(spark: SparkSession, folder: str) -> DataFrame:
     return ops.rewatches(_events(spark, folder)).select("event_id", "viewing", "is_rewatch")
 
@@ -86,8 +99,12 @@ QUERIES = {
     "genre_hour_cube": _on_both(ops.genre_hour_cube),
     "watch_heatmap": _on_events(ops.heat_map),
     "moving_average": moving_average,
-    "genre_preference": _on_some(ops.genre_preference),
-    "completion_dropoff": _on_some(ops.drop_off),
+    "genre_preference": _on_both(ops.genre_preference),
+    "genre_preference_some": _on_some(ops.genre_preference),
+    "completion_dropoff": _on_both(ops.drop_off),
+    "completion_dropoff_some": _on_some(ops.drop_off),
+    "daily_viewers": daily_viewers,
+    "event_sample": _on_events(lambda events: ops.hash_sample(events, 5, "event_id", ["event_type"]).select("event_type", "event_id", "place")),
     "rating_summary": _on_events(ops.rating_summary),
     "rewatches": rewatches,
     "current_watchlist": _on_events(ops.current_watchlist),
@@ -99,7 +116,23 @@ QUERIES = {
 _JOINED = with_(EV, CONTENTS)
 _SOME = with_(EV, CONTENTS, "catalogue AS (SELECT * FROM contents WHERE CAST(split_part(content_id, '-', 2) AS INTEGER) % 7 <> 0)")
 
+_GENRES = """SELECT *, round(events / sum(events) OVER (PARTITION BY user_id), 6) AS share FROM (
+  SELECT user_id, coalesce(genre, 'Unknown') AS genre, count(*) AS events, CAST(sum(watched_minutes) AS BIGINT) AS minutes
+  FROM ev LEFT JOIN catalogue USING (content_id) GROUP BY ALL)"""
+_TENTHS = """SELECT content_id,
+  CASE WHEN duration_minutes IS NOT NULL THEN CAST(least(floor(watched_minutes * 10 / duration_minutes), 10) AS INTEGER) END AS tenth, count(*) AS watches,
+  round(avg(CASE WHEN duration_minutes IS NOT NULL THEN least(watched_minutes / duration_minutes, 1.0::DOUBLE) END), 6) AS mean_ratio
+FROM ev LEFT JOIN (SELECT * FROM catalogue WHERE duration_minutes > 0) USING (content_id) WHERE event_type = 'watch' GROUP BY 1, 2"""
+_ALL = with_(EV, CONTENTS, "catalogue AS (SELECT * FROM contents)")
+
 ORACLE = {
+    "genre_preference": _ALL + _GENRES,
+    "completion_dropoff": _ALL + _TENTHS,
+    "daily_viewers": with_(EV) + """SELECT content_id, date_trunc('day', ts)::TIMESTAMP AS bucket_start, count(*) AS views,
+  CAST(sum(watched_minutes) AS BIGINT) AS minutes, true AS within_2_percent
+FROM ev WHERE event_type IN ('watch', 'watch_complete') GROUP BY ALL""",
+    "event_sample": with_(EV) + """SELECT event_type, event_id, CAST(place AS INTEGER) AS place FROM (
+  SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY sha256(event_id)) AS place FROM ev) WHERE place <= 5""",
     "user_stats": with_(USERS) + """SELECT count(*) AS total_users, round(avg(total_purchases), 2) AS avg_purchases,
   round(CAST(sum(total_spent) AS DOUBLE) / count(*), 2) AS avg_spent,
   round(CAST(sum(total_spent) AS DOUBLE), 2) AS total_spent FROM users""",
@@ -138,13 +171,8 @@ FROM ev WHERE event_type IN ('watch', 'watch_complete') GROUP BY ALL""",
     "moving_average": with_(EV) + """SELECT *, round(avg(events) OVER (PARTITION BY event_type ORDER BY bucket_start
   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS moving_average
 FROM (SELECT event_type, date_trunc('hour', ts) AS bucket_start, count(*) AS events FROM ev GROUP BY ALL)""",
-    "genre_preference": _SOME + """SELECT *, round(events / sum(events) OVER (PARTITION BY user_id), 6) AS share FROM (
-  SELECT user_id, coalesce(genre, 'Unknown') AS genre, count(*) AS events, CAST(sum(watched_minutes) AS BIGINT) AS minutes
-  FROM ev LEFT JOIN catalogue USING (content_id) GROUP BY ALL)""",
-    "completion_dropoff": _SOME + """SELECT content_id,
-  CASE WHEN duration_minutes IS NOT NULL THEN CAST(least(floor(watched_minutes * 10 / duration_minutes), 10) AS INTEGER) END AS tenth, count(*) AS watches,
-  round(avg(CASE WHEN duration_minutes IS NOT NULL THEN least(watched_minutes / duration_minutes, 1.0::DOUBLE) END), 6) AS mean_ratio
-FROM ev LEFT JOIN (SELECT * FROM catalogue WHERE duration_minutes > 0) USING (content_id) WHERE event_type = 'watch' GROUP BY 1, 2""",
+    "genre_preference_some": _SOME + _GENRES,
+    "completion_dropoff_some": _SOME + _TENTHS,
     "rating_summary": with_(EV) + """SELECT content_id, count(*) AS ratings, round(avg(r), 6) AS mean_rating,
   count(*) FILTER (r = 1) AS rated_1, count(*) FILTER (r = 2) AS rated_2, count(*) FILTER (r = 3) AS rated_3,
   count(*) FILTER (r = 4) AS rated_4, count(*) FILTER (r = 5) AS rated_5

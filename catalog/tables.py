@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.sqltext import CONTENTS, EV, RECS, USERS, with_
-from watchlens.operators import quality, tables
+from watchlens.operators import quality, stored, tables
 from watchlens.schemas import CONTENT_TYPE_TARGETS, SEGMENT_TARGETS, TABLES
+from watchlens.session import shared_folder
 from watchlens.sources import testbed
 
 
@@ -47,6 +48,37 @@ def delete_by_key(spark: SparkSession, folder: str) -> DataFrame:
     return tables.delete_keys(sessions, gone, ["user_id"])
 
 
+def stored_upsert_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The updates of `upsert_users`, put into a stored table in two writes, read back after buckets were split."""
+    path, target, n = shared_folder(spark, "users"), _user_rows(spark, folder), _number("user_id")
+    stored.create(target, path, ["user_id"], 16)
+    changed = target.where(n % 2 == 1).withColumn("total_purchases", F.col("total_purchases") + 1000)
+    stored.upsert(spark, path, changed)
+    stored.split_buckets(spark, path)
+    stored.upsert(spark, path, target.where(n % 10 == 0).withColumn("user_id", F.concat("user_id", F.lit("-new"))))
+    return stored.read(spark, path).withColumn("total_spent", F.col("total_spent").cast("double"))
+
+
+def stored_delete_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of VIP users are deleted from a stored table."""
+    path = shared_folder(spark, "sessions")
+    events = testbed.user_events(spark, folder)
+    stored.create(events.groupBy("session_id", "user_id").agg(F.count(F.lit(1)).alias("event_count")), path, ["session_id", "user_id"])
+    gone = testbed.user_profiles(spark, folder).where(F.col("user_segment") == "VIP")
+    stored.delete(spark, path, stored.read(spark, path).join(gone, "user_id", "left_semi"))
+    return stored.read(spark, path)
+
+
+def stored_append_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events come in three overlapping writes, each stored once."""
+    path = shared_folder(spark, "events")
+    events = testbed.user_events(spark, folder).select("event_id", "event_type", "user_id")
+    stored.create(events.where(F.col("event_type") == "click"), path, ["event_id"], 16)
+    for kinds in (["click", "watch"], ["watch", "watch_complete", "rating", "watchlist"]):
+        stored.append_new(spark, path, events.where(F.col("event_type").isin(kinds)))
+    return stored.read(spark, path)
+
+
 def dq_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """(user, content, type) triples stored more than once."""
     return quality.duplicate_keys(testbed.user_events(spark, folder), ["user_id", "content_id", "event_type"])
@@ -125,6 +157,9 @@ QUERIES = {
     "upsert_users": upsert_users,
     "upsert_contents": upsert_contents,
     "delete_by_key": delete_by_key,
+    "stored_upsert_users": stored_upsert_users,
+    "stored_delete_sessions": stored_delete_sessions,
+    "stored_append_events": stored_append_events,
     "dq_duplicates": dq_duplicates,
     "dq_unique_event_ids": dq_unique_event_ids,
     "dq_rules": dq_rules,
@@ -247,3 +282,8 @@ WHERE user_id IN (SELECT user_id FROM users WHERE user_segment = 'VIP')""",
     "row_defaults": with_(USERS) + """SELECT user_id, CASE WHEN user_segment = 'New' THEN 0 ELSE total_purchases END AS total_purchases,
   CAST(total_spent AS DOUBLE) AS total_spent, TIMESTAMP '2024-02-01' AS created_at, TIMESTAMP '2024-02-01' AS updated_at FROM users""",
 }
+ORACLE |= {
+    "stored_upsert_users": ORACLE["upsert_users"],
+    "stored_delete_sessions": ORACLE["delete_by_key"],
+    "stored_append_events": with_(EV) + "SELECT event_id, event_type, user_id FROM ev",
+}

@@ -210,7 +210,17 @@ def test_jdbc_append_bounds_its_connections():
     assert calls["properties"]["user"] == "u" and calls["properties"]["batchsize"] == "1000"
 
 
-def test_replacing_rows_names_the_key_and_the_columns():
-    delete, insert = relational.replace_statements("t", "s", ["k", "w", "v"], ["k", "w"])
-    assert delete == "DELETE FROM t WHERE EXISTS (SELECT 1 FROM s WHERE t.k = s.k AND t.w = s.w)"
-    assert insert == "INSERT INTO t (k, w, v) SELECT k, w, v FROM s"
+def test_replacing_rows_matches_keys_and_nulls():
+    import duckdb
+
+    statements = relational.replace_statements("t", "s", ["k", "w", "v"], ["k", "w"])
+    with duckdb.connect() as connection:
+        for name in "ts":
+            connection.execute(f"CREATE TABLE {name} (k TEXT, w INTEGER, v INTEGER)")
+        connection.execute("INSERT INTO t VALUES ('a', 1, 1), (NULL, 1, 1), ('b', NULL, 1), (NULL, NULL, 1)")
+        connection.execute("INSERT INTO s VALUES (NULL, 1, 2), ('b', NULL, 2), ('c', NULL, 2)")
+        for _ in range(2):
+            for text in statements:
+                connection.execute(text)
+            rows = connection.execute("SELECT * FROM t ORDER BY k NULLS FIRST, w NULLS FIRST").fetchall()
+            assert rows == [(None, None, 1), (None, 1, 2), ("a", 1, 1), ("b", None, 2), ("c", None, 2)]

@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import json
 import os
 import time
@@ -7,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_ingest import CASES, SAMPLE, as_messages
+from watchlens.operators import stored
+from watchlens.operators.ingest import accepted, parse_messages, stored_event
 from watchlens.operators.sessions import active_sessions, session_windows
 from watchlens.operators.stats import heat_map
 from watchlens.schemas import TABLES
@@ -188,9 +191,9 @@ def test_ingest_stream_keeps_every_event_and_every_reject(spark, tmp_path):
     paths = {name: str(tmp_path / name) for name in ("ck", "ev", "dl", "counts", "metrics")}
     query = queries.start_ingest(
         raw, paths["ck"], paths["ev"], paths["dl"], every=None, name="twice",
-        counts_path=paths["counts"], metrics_path=paths["metrics"],
+        counts_path=paths["counts"], metrics_path=paths["metrics"], samples_path=str(tmp_path / "samples"),
     )
-    query.awaitTermination()
+    queries.finish(query)
     good, bad = sum(reason is None for _, reason in CASES), sum(reason is not None for _, reason in CASES)
     stored = spark.read.parquet(paths["ev"])
     assert stored.count() == 2 * good
@@ -202,7 +205,66 @@ def test_ingest_stream_keeps_every_event_and_every_reject(spark, tmp_path):
     assert tuple(totals) == (2 * len(values), 2 * good, 2 * bad)
     rows = spark.read.parquet(paths["metrics"])
     assert [f.name for f in rows.schema] == TABLES["system_metrics"].columns.fieldNames()
-    assert metrics.RUNNING in {r.metric_name for r in rows.collect()}
+    last = {r.metric_name: r.metric_value for r in rows.orderBy("timestamp", "metric_value").collect()}
+    top = {name: max(r.metric_value for r in rows.collect() if r.metric_name == name) for name in last}
+    assert (top[metrics.CONSUMED], top[metrics.SAVED], top[metrics.PARSE_ERRORS]) == (2 * len(values), 2 * good, 2 * bad)
+    assert last[metrics.RUNNING] == 0 and {r.labels["query"] for r in rows.collect()} == {"twice"}
+    samples = spark.read.parquet(str(tmp_path / "samples"))
+    ids = sorted((r.event_id for r in once.collect()), key=lambda i: hashlib.sha256(i.encode()).hexdigest())[: sinks.SAMPLE_ROWS]
+    assert sorted((r.batch_id, r.event_id) for r in samples.collect()) == sorted((b, i) for b in (0, 1) for i in ids)
+
+
+def test_metrics_of_one_query_leave_out_others(spark, tmp_path):
+    folder = Folder(spark, tmp_path / "messages")
+    for k in range(3):
+        folder.add(as_messages(spark, [json.dumps({**SAMPLE, "event_id": f"e{k}-{i}"}) for i in range(10)]))
+    raw = messages.file_stream(spark, str(folder.path), max_files_per_trigger=1)
+    args = lambda name: [str(tmp_path / f"{name}-{part}") for part in ("ck", "ev", "dl")]
+    other = queries.start_ingest(raw, *args("other"), every=None, name="other")
+    first = queries.start_ingest(raw, *args("first"), every=None, name="first", metrics_path=str(tmp_path / "first-m"))
+    second = queries.start_sessions(
+        raw, str(tmp_path / "s-ck"), str(tmp_path / "s-log"), every=None, name="second", metrics_path=str(tmp_path / "second-m")
+    )
+    for query in (other, first, second):
+        queries.finish(query)
+    for name in ("first", "second"):
+        rows = spark.read.parquet(str(tmp_path / f"{name}-m")).collect()
+        assert {r.labels["query"] for r in rows} == {name}
+        assert max(r.metric_value for r in rows if r.metric_name == metrics.CONSUMED) >= 30
+    assert max(r.metric_value for r in spark.read.parquet(str(tmp_path / "first-m")).collect() if r.metric_name == metrics.SAVED) == 30
+
+
+def test_new_events_are_added_once_to_a_stored_table(spark, tmp_path):
+    folder, path = Folder(spark, tmp_path / "messages"), str(tmp_path / "table")
+    for ids in (["a", "b", "a"], ["b", "c"], ["c", "a"]):
+        folder.add(as_messages(spark, [json.dumps({**SAMPLE, "event_id": i}) for i in ids]))
+    raw = messages.file_stream(spark, str(folder.path), max_files_per_trigger=1)
+    parsed = parse_messages(spark.read.schema(raw.schema).parquet(str(folder.path)).limit(0))
+    stored.create(stored_event(accepted(parsed), sinks.ARRIVAL), path, ["event_id"], 4)
+    queries.run(queries.ingest_stream(raw), "new-events", str(tmp_path / "ck"), sinks.new_events_writer(path), "append")
+    assert sorted(r.event_id for r in stored.read(spark, path).collect()) == ["a", "b", "c"]
+
+
+def test_unfollowed_recommendations_come_out_when_their_time_is_over(spark, tmp_path):
+    at = lambda text: datetime.datetime.fromisoformat(f"2026-01-{text}")
+    recs = spark.createDataFrame(
+        [("u", "c1", at("01 10:00")), ("u", "c2", at("01 10:00")), ("v", "c1", at("01 11:00")), ("u", "c9", at("20 10:00"))],
+        "user_id string, content_id string, created_at timestamp",
+    )
+    events = spark.createDataFrame(
+        [("e1", "u", "c1", "click", at("02 10:00")), ("e2", "u", "c1", "watch", at("02 11:00")), ("e3", "v", "c1", "click", at("12 10:00")),
+         ("e4", "w", "c1", "click", at("20 10:00"))],
+        "event_id string, user_id string, content_id string, event_type string, timestamp_ts timestamp",
+    )
+    streams = []
+    for name, df in (("recs", recs), ("events", events)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        streams.append(messages.file_stream(spark, str(tmp_path / name), df.schema))
+    joined = queries.attribution_stream(*streams, "7 days", unfollowed=True)
+    queries.run(joined, "unfollowed", str(tmp_path / "ck"), sinks.batch_log(str(tmp_path / "log")), "append")
+    got = sorted((r.user_id, r.content_id, r.event_id or "") for r in spark.read.parquet(str(tmp_path / "log")).collect())
+    # The last recommendation's time is not over yet.
+    assert got == [("u", "c1", "e1"), ("u", "c1", "e2"), ("u", "c2", ""), ("v", "c1", "")]
 
 
 def test_recorder_adds_up_what_queries_observe(spark, tmp_path):

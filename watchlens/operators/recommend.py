@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watchlens.functions.identity import ab_group
 from watchlens.functions.weights import interaction_weight
+from watchlens.plans.products import best_products, catalogue, gram, rows_of
 from watchlens.plans.skew import group_pairs, sharded_join
 from watchlens.schemas import RECOMMENDATION_TTL_SECONDS, RECOMMENDATIONS_PER_USER
+from watchlens.session import materialize
 
 COLLABORATIVE, SESSION, PREFERENCE, POPULAR = (
     "collaborative_filtering", "session_based", "preference", "popularity",
@@ -77,8 +80,21 @@ def user_cf(matrix: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
     is added up contents-first instead: user x content x content, bounded by the
     catalogue however many users there are. Contents the user knows are left
     out; scores are scaled to 0..1 per user. `matrix` is read several times;
-    keep it as a table.
+    keep it as a table. Users and contents are not null, weights above 0.
+
+    Where the pairs of the catalogue's contents fit every task (see `plans.products`), users are scored where they are
+    and only their lists leave a task. Larger catalogues are joined.
     """
+    items = catalogue(matrix, "content_id")
+    if items is not None:
+        users = materialize(rows_of(matrix, "user_id", "content_id", "weight"), "profiles")
+        best = best_products(users, "user_id", gram(users, items, by_norm=True), items, k, SCORE_DECIMALS, by_norm=True, spread=True)
+        return best.withColumnRenamed("item", "content_id")
+    return user_cf_joined(matrix, k)
+
+
+def user_cf_joined(matrix: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
+    """`user_cf` for catalogues of any size: every user meets every content that shares a user with theirs."""
     affinity = _both_ways(content_affinity(matrix), "affinity")
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("user_id")))
     unit = matrix.select("user_id", "content_id", (F.col("weight") / norm).alias("unit"))
@@ -127,8 +143,9 @@ def als_recommendations(
 ) -> DataFrame:
     """Model-based collaborative filtering for user counts where exact scoring costs too much.
 
-    Runs the model at once. Contents that the user knows are left out: as many more are asked for as
-    any user knows, and the best `k` of the others stay.
+    Runs the model at once. Contents that the user knows are left out: users are scored in groups by how many they
+    know, in powers of two, so that each is asked for `k` and at most twice as many more as it knows itself, and the best `k` of
+    the others stay.
     """
     from pyspark.ml.recommendation import ALS
 
@@ -138,9 +155,15 @@ def als_recommendations(
         rank=rank, maxIter=iterations, implicitPrefs=True, seed=seed, coldStartStrategy="drop",
         userCol="user_id_no", itemCol="content_id_no", ratingCol="weight",
     )
+    if matrix.isEmpty():
+        return matrix.select("user_id", "content_id", F.lit(0.0).alias("score"), F.lit(1).alias("rank")).where(F.lit(False))
     model = als.fit(numbered.select("user_id_no", "content_id_no", F.col("weight").cast("float").alias("weight")))
-    known = matrix.groupBy("user_id").agg(F.count(F.lit(1)).alias("known")).agg(F.max("known")).first()[0] or 0
-    lists = model.recommendForAllUsers(k + known).select("user_id_no", F.posexplode("recommendations").alias("position", "item"))
+    grouped = numbered.groupBy("user_id_no").agg(F.ceil(F.log2(F.count(F.lit(1)))).cast("int").alias("level"))
+    grouped = materialize(grouped, "als-users")
+    # As many levels as a count of contents has binary digits.
+    levels = [r.level for r in grouped.select("level").distinct().orderBy("level").collect()]
+    offers = [model.recommendForUserSubset(grouped.where(F.col("level") == level).select("user_id_no"), k + 2**level) for level in levels]
+    lists = reduce(DataFrame.unionByName, offers).select("user_id_no", F.posexplode("recommendations").alias("position", "item"))
     flat = lists.select(
         "user_id_no", F.col("item.content_id_no").alias("content_id_no"),
         F.col("item.rating").cast("double").alias("score"), (F.col("position") + 1).alias("rank"),
@@ -168,8 +191,27 @@ def session_based(visits: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataF
 
     A content's score is the sum, over the contents of that session, of the
     sessions both share divided by the sessions the latter has. `visits` is read
-    several times; keep it as a table. 
+    several times; keep it as a table. As in `user_cf`, users are scored where they are if the catalogue allows it.
     """
+    items = catalogue(visits, "content_id")
+    if items is None:
+        return session_based_joined(visits, k)
+    sessions = materialize(
+        rows_of(visits, ["session_id", "user_id"], "content_id").join(
+            visits.groupBy("session_id", "user_id").agg(F.max("last_ts").alias("last_ts")), ["session_id", "user_id"]
+        ),
+        "session-rows",
+    )
+    together = gram(sessions, items)
+    support = {r.content_id: r.support for r in visits.groupBy("content_id").agg(F.count(F.lit(1)).alias("support")).collect()}
+    part = together / np.array([support[item] for item in items])[:, None] if items else together
+    newest = sessions.groupBy("user_id").agg(F.max_by(F.struct("items", "weights"), F.struct("last_ts", "session_id")).alias("last"))
+    best = best_products(newest.select("user_id", "last.*"), "user_id", part, items, k, SCORE_DECIMALS)
+    return best.withColumnRenamed("item", "content_id")
+
+
+def session_based_joined(visits: DataFrame, k: int = RECOMMENDATIONS_PER_USER) -> DataFrame:
+    """`session_based` for catalogues of any size."""
     support = visits.groupBy("content_id").agg(F.count(F.lit(1)).alias("support"))
     together = _both_ways(cooccurrence(visits), "sessions").join(support, "content_id").select(
         "content_id", "candidate", (F.col("sessions") / F.col("support")).alias("part")

@@ -136,6 +136,41 @@ def heat_map(events: DataFrame, bucket: str = "1 hour", approximate: bool | None
     )
 
 
+def viewer_sketches(events: DataFrame, bucket: str = "1 hour", precision: int = 14) -> DataFrame:
+    """Views, minutes and a sketch of the viewers per content and time bucket, over watch events.
+
+    Sketches merge to those of longer times, of many contents, or of a batch and a stream, see `merged_viewers`. With 2^14
+    registers the standard error of a count is 0.8 %.
+    """
+    watched = events.where(F.col("event_type").isin("watch", "watch_complete"))
+    return (
+        watched.groupBy("content_id", F.window("timestamp_ts", bucket))
+        .agg(
+            F.count(F.lit(1)).alias("views"),
+            F.sum("watched_minutes").alias("minutes"),
+            F.hll_sketch_agg("user_id", precision).alias("viewers"),
+        )
+        .select("content_id", F.col("window.start").alias("bucket_start"), "views", "minutes", "viewers")
+    )
+
+
+def merged_viewers(sketches: DataFrame, unit: str = "day", keys: tuple[str, ...] = ("content_id",)) -> DataFrame:
+    """Views, minutes and viewers per `keys` and longer time (a `date_trunc` unit), from stored sketches alone."""
+    return sketches.groupBy(*keys, F.date_trunc(unit, "bucket_start").cast(sketches.schema["bucket_start"].dataType).alias("bucket_start")).agg(
+        F.sum("views").alias("views"), F.sum("minutes").alias("minutes"), F.hll_sketch_estimate(F.hll_union_agg("viewers")).alias("viewers")
+    )
+
+
+def hash_sample(rows: DataFrame, n: int, id_column: str, keys: list[str] | None = None) -> DataFrame:
+    """The `n` rows (of each key) whose ids have the smallest SHA-256: a fair sample of distinct ids, the same on every run.
+
+    The sample of several parts is the sample of their samples, so batches of a stream merge. It is a rank filter,
+    which Spark applies in every task before it shuffles. `place` counts from 1.
+    """
+    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.sha2(F.col(id_column).cast("string"), 256), id_column)
+    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+
+
 def activity(events: DataFrame, key: str, bucket: str = "1 hour") -> DataFrame:
     """Events per value of `key` and time bucket."""
     return (

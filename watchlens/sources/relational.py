@@ -29,8 +29,10 @@ def append_jdbc(
 
 
 def replace_statements(table: str, staging: str, columns: list[str], key: list[str]) -> list[str]:
-    """Plain SQL that replaces the rows of `table` whose keys are in `staging` by the rows there."""
-    same = " AND ".join(f"{table}.{name} = {staging}.{name}" for name in key)
+    """Plain SQL that replaces the rows of `table` whose keys are in `staging` by the rows there; NULL matches NULL."""
+    same = " AND ".join(
+        f"({table}.{name} = {staging}.{name} OR ({table}.{name} IS NULL AND {staging}.{name} IS NULL))" for name in key
+    )
     names = ", ".join(columns)
     return [
         f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} WHERE {same})",
@@ -56,6 +58,9 @@ def replace_jdbc(
         for text in replace_statements(table, staging, df.columns, key):
             statement.executeUpdate(text)
         connection.commit()
+    except BaseException:
+        connection.rollback()
+        raise
     finally:
         connection.close()
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from threading import Lock
+from threading import Event, Lock, Thread
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -26,10 +26,18 @@ class ProgressRecorder(StreamingQueryListener):
 
     A few numbers per micro-batch reach the driver, never rows; flush after each batch
     (`queries.start_ingest` does) to keep them few. Totals run since the recorder was made.
+
+    With a `query` name it hears that query alone. With a `path` it then also takes its leave when that query ends: the
+    rest, the last batch's numbers among them, is written there, the listener is removed, and `closed` is set.
     """
 
-    def __init__(self, observed: str = "ingest") -> None:
+    def __init__(
+        self, observed: str = "ingest", query: str | None = None, spark: SparkSession | None = None, path: str | None = None
+    ) -> None:
         self._observed = observed
+        self._query, self._spark, self._path = query, spark, path
+        self.closed = Event()
+        self.error: Exception | None = None
         self._rows: list[tuple] = []
         self._totals: dict[tuple[str, str], float] = {}
         self._names: dict[str, str] = {}
@@ -50,12 +58,16 @@ class ProgressRecorder(StreamingQueryListener):
             self._add(SAVE_ERRORS, 1, query)
 
     def onQueryStarted(self, event) -> None:
+        if self._query and event.name != self._query:
+            return
         with self._lock:
-            self._names[str(event.id)] = event.name or str(event.id)
+            self._names[str(event.runId)] = event.name or str(event.id)
             self._record(RUNNING, 1, event.name or str(event.id))
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
+        if self._query and str(progress.runId) not in self._names:
+            return
         query = progress.name or str(progress.id)
         counts = (progress.observedMetrics or {}).get(self._observed)
         with self._lock:
@@ -71,8 +83,29 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
+        if self._query and str(event.runId) not in self._names:
+            return
         with self._lock:
-            self._record(RUNNING, 0, self._names.get(str(event.id), str(event.id)))
+            self._record(RUNNING, 0, self._names.pop(str(event.runId), str(event.id)))
+        if self._path:
+            # Not on the listener's own thread, which other queries wait for.
+            Thread(target=self._close, daemon=True).start()
+
+    def _close(self) -> None:
+        try:
+            self._spark.streams.removeListener(self)
+            self.flush(self._spark, self._path)
+        except Exception as error:
+            self.error = error
+        finally:
+            self.closed.set()
+
+    def wait(self, seconds: float = 60) -> None:
+        """After the query has ended: until all its numbers are written."""
+        if not self.closed.wait(seconds):
+            raise TimeoutError("the query's last metrics are not written yet")
+        if self.error:
+            raise self.error
 
     def take(self, spark: SparkSession) -> DataFrame:
         """The rows collected since the last call."""

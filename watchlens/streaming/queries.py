@@ -102,12 +102,13 @@ def counted(parsed: DataFrame, name: str = "ingest") -> DataFrame:
 
 def attribution_stream(
     recommendations: DataFrame, events: DataFrame, horizon: str = "7 days",
-    watermark: str = SESSION_WATERMARK,
+    watermark: str = SESSION_WATERMARK, unfollowed: bool = False,
 ) -> DataFrame:
     """Clicks and watches that follow a recommendation of the same content within the horizon.
 
     Both sides carry a watermark, so the state of either is dropped once no
-    partner can come.
+    partner can come. With `unfollowed`, a recommendation that nothing has followed by then comes out as
+    well, once, without event (an outer join).
     """
     recs = recommendations.select("user_id", "content_id", "created_at").withWatermark("created_at", watermark)
     acts = events.where(F.col("event_type").isin("click", "watch", "watch_complete")).select(
@@ -119,7 +120,7 @@ def attribution_stream(
         & (F.col("timestamp_ts") >= F.col("created_at"))
         & (F.col("timestamp_ts") <= F.col("created_at") + F.expr(f"INTERVAL {horizon}"))
     )
-    joined = recs.join(acts, within).select(
+    joined = recs.join(acts, within, "left" if unfollowed else "inner").select(
         "user_id", "content_id", "created_at", "event_id", "event_type", "timestamp_ts"
     )
     return _wall_clocks(joined, "created_at", "timestamp_ts")
@@ -163,30 +164,60 @@ def run(
     return query
 
 
+def finish(query: StreamingQuery) -> None:
+    """Wait until a query has ended and, where it writes metrics, until those of its last batch are there."""
+    query.awaitTermination()
+    recorder = getattr(query, "recorder", None)
+    if recorder:
+        recorder.wait()
+
+
+def _start_recorded(
+    recorder: ProgressRecorder | None, path: str | None, stream: DataFrame, name: str, checkpoint: str,
+    write: Callable[[DataFrame, int], None], output_mode: str, every: str | None,
+) -> StreamingQuery:
+    if recorder is None:
+        return start(stream, name, checkpoint, write, output_mode, every)
+    spark = stream.sparkSession
+
+    def write_and_flush(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        recorder.flush(spark, path)
+
+    spark.streams.addListener(recorder)
+    query = start(stream, name, checkpoint, write_and_flush, output_mode, every)
+    query.recorder = recorder
+    return query
+
+
 def start_sessions(
     messages: DataFrame, checkpoint: str, log: str, window: str = SESSION_WINDOW,
     watermark: str | None = SESSION_WATERMARK, strict: bool = True, every: str | None = SESSION_TRIGGER,
-    name: str = "sessions",
+    name: str = "sessions", metrics_path: str | None = None,
 ) -> StreamingQuery:
-    """Track sessions of a message stream into a batch log, see `sinks.current_sessions`."""
+    """Track sessions of a message stream into a batch log, see `sinks.current_sessions`.
+
+    With `metrics_path` the query's progress is appended there, the last batch's once `finish` returns.
+    """
     stream = session_stream(events_from_messages(messages, strict), window, watermark)
-    return start(stream, name, checkpoint, batch_log(log), "update", every)
+    recorder = ProgressRecorder(name, name, messages.sparkSession, metrics_path) if metrics_path else None
+    return _start_recorded(recorder, metrics_path, stream, name, checkpoint, batch_log(log), "update", every)
 
 
 def start_ingest(
     messages: DataFrame, checkpoint: str, events_path: str, letters_path: str,
     every: str | None = INGEST_TRIGGER, on_failure: Callable[[Exception], None] | None = None,
     name: str = "ingest", lenient_time: bool = False, counts_path: str | None = None,
-    failed_path: str | None = None, metrics_path: str | None = None,
+    failed_path: str | None = None, metrics_path: str | None = None, samples_path: str | None = None,
 ) -> StreamingQuery:
     """Store the raw events of a message stream and its rejects.
 
     With `counts_path` every batch logs what it consumed, saved and rejected; with `failed_path`
     the events of a batch that could not be stored are kept as dead letters before the query
-    fails; with `metrics_path` the query's progress is appended there after each batch.
+    fails; with `metrics_path` the query's progress is appended there after each batch, and the last batch's by the
+    time that `finish` returns; with `samples_path` a few accepted events of each batch are kept to look at.
     """
-    spark = messages.sparkSession
-    recorder = ProgressRecorder(name) if metrics_path else None
+    recorder = ProgressRecorder(name, name, messages.sparkSession, metrics_path) if metrics_path else None
 
     def failed(error: Exception) -> None:
         if recorder:
@@ -194,13 +225,6 @@ def start_ingest(
         if on_failure:
             on_failure(error)
 
-    write = ingest_writer(events_path, letters_path, failed, counts_path, failed_path)
-    if recorder is None:
-        return start(counted(ingest_stream(messages, lenient_time), name), name, checkpoint, write, "append", every)
-
-    def write_and_flush(batch: DataFrame, batch_id: int) -> None:
-        write(batch, batch_id)
-        recorder.flush(spark, metrics_path)
-
-    spark.streams.addListener(recorder)
-    return start(counted(ingest_stream(messages, lenient_time), name), name, checkpoint, write_and_flush, "append", every)
+    write = ingest_writer(events_path, letters_path, failed, counts_path, failed_path, samples_path)
+    stream = counted(ingest_stream(messages, lenient_time), name)
+    return _start_recorded(recorder, metrics_path, stream, name, checkpoint, write, "append", every)

@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 
 from watchlens.operators.ingest import accepted, dead_letters, failed_saves, first_per_event, ingest_counts, stored_event
 from watchlens.operators.sessions import as_table_row
+from watchlens.operators.stats import hash_sample
+from watchlens.operators.stored import append_new
 from watchlens.operators.tables import last_per_key
 from watchlens.sources.relational import replace_jdbc
 
+#: Events of a batch that are kept to look at.
+SAMPLE_ROWS = 5
 SESSION_KEY = ["session_id", "user_id", "window_start"]
 #: Where and when a message arrived; the first arrival of an event counts.
 ARRIVAL = ("message_timestamp", "topic", "partition", "offset")
@@ -65,7 +69,7 @@ def session_jdbc_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that puts session windows into a relational table at its key.
 
-    A batch replaces the staging table, then moves over in one transaction: rows of its keys are
+    A batch replaces the staging table (a query needs one of its own), then moves over in one transaction: rows of its keys are
     deleted and put in again. Repeating a batch therefore changes nothing, and a window that comes
     out again in `update` mode replaces its earlier row.
     """
@@ -138,14 +142,28 @@ def current_sessions(spark: SparkSession, path: str, snapshot: str | None = None
     return current_rows(spark, path, SESSION_KEY, snapshot)
 
 
+def new_events_writer(path: str, on_failure: Callable[[Exception], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function that adds a batch's accepted events to a stored table, each event id once.
+
+    Ids are looked up in the table by its filters, so stored events are hardly read. A repeated batch adds nothing.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        events = stored_event(accepted(batch), ARRIVAL)
+        order = [name for name in ARRIVAL if name in events.columns]
+        with_retries(lambda: append_new(batch.sparkSession, path, events, order or None), on_failure=on_failure)
+
+    return write
+
+
 def ingest_writer(
     events_path: str, letters_path: str, on_failure: Callable[[Exception], None] | None = None,
-    counts_path: str | None = None, failed_path: str | None = None,
+    counts_path: str | None = None, failed_path: str | None = None, samples_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that stores accepted events by date and rejects as dead letters.
 
     The batch is kept while both are written, so its source is read once. If the events cannot be
-    stored, they go to `failed_path` as dead letters and the batch fails.
+    stored, they go to `failed_path` as dead letters and the batch fails. `samples_path` gets `SAMPLE_ROWS` events of each
+    batch, see `stats.hash_sample`; a repeated batch gives the same ones.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
@@ -162,6 +180,9 @@ def ingest_writer(
             if counts_path:
                 counts = ingest_counts(kept)
                 with_retries(lambda: write_batch(counts, counts_path, batch_id), on_failure=on_failure)
+            if samples_path:
+                sample = hash_sample(stored_event(accepted(kept)), SAMPLE_ROWS, "event_id").drop("place")
+                with_retries(lambda: write_batch(sample, samples_path, batch_id), on_failure=on_failure)
         finally:
             kept.unpersist()
 
