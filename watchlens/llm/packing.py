@@ -13,6 +13,8 @@ import json
 import os
 import unicodedata
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 from pathlib import Path
 
 import numpy as np
@@ -101,16 +103,14 @@ class Encoder:
         words = [text.split() for text in data]
         find = self.known.get
         found = [list(map(find, each)) for each in words]
-        missing = [k for k, ids in enumerate(found) if None in ids]
-        unknown = set().union(*[words[k] for k in missing]).difference(self.known)
+        gaps = [list(compress(range(len(ids)), map(not_, ids))) if None in ids else [] for ids in found]
+        unknown = {each[k] for each, gap in zip(words, gaps, strict=True) for k in gap}
         here = {word: self.older[word] for word in unknown if word in self.older}
         here |= self._learn(list(unknown.difference(here)))
-        self.known.update(here)
-        for k in missing:
-            found[k] = list(map(find, words[k]))
-        for word in here:
-            if len(word) > LONGEST_WORD:
-                del self.known[word]
+        for ids, each, gap in zip(found, words, gaps, strict=True):
+            for k in gap:
+                ids[k] = here[each[k]]
+        self.known.update((word, ids) for word, ids in here.items() if len(word) <= LONGEST_WORD)
         return map(b"".join, found)
 
 
