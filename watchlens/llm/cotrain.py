@@ -193,14 +193,19 @@ def _sample(docs: DataFrame, marks: DataFrame) -> list:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = _inputs(docs.join(F.broadcast(marks), "doc_id"), "quality")  # the marks are bounded
+    rows = _inputs(docs).join(F.broadcast(marks), "doc_id")  # the marks are bounded
+    rows = rows.select("doc_id", "quality", "text", "lang", "source")
     found = rows.mapInArrow(run, f"doc_id {kind}, quality int, content array<double>, page array<double>")
     one = found.groupBy("doc_id").agg(F.min(F.struct("quality", "content", "page")).alias("row"))
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").select("row.*").collect()
 
 
 def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """Train on `labels` (doc_id, quality 0 or 1; other values are no label) and unlabelled documents."""
+    """Train on `labels` (doc_id, quality 0 or 1; other values are no label) and unlabelled documents.
+
+    An id with two labels counts as 0, an id of several documents as one of them; null ids and labels are left out.
+    Further columns of either table are not read. Without labels every document scores alike.
+    """
     bound_batches(docs.sparkSession)
     marks = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))

@@ -177,7 +177,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), seed:
     # The n-th of equal rows takes the n-th stretch of the running sum. One hash deals out both
     # sides, so that the texts are shuffled once; the columns themselves decide the match.
     key = ("doc_id", "source", "__words")
-    counted = docs.withColumn("__words", word_count(F.col("text"))).withColumn("__key", F.xxhash64(*key))
+    # The documents' columns travel as one, so that their names meet no others.
+    whole = F.struct(*[F.col(name) for name in docs.columns]).alias("__row")
+    counted = docs.select(whole, "doc_id", "source", word_count(F.col("text")).alias("__words")).withColumn("__key", F.xxhash64(*key))
     nth = Window.partitionBy("__key", *key).orderBy(F.lit(0))
     counted = counted.repartition("__key").withColumn("__nth", F.row_number().over(nth) - 1)
     lines = lines.withColumn("__line_key", F.xxhash64("__id", "__source", "__size"))
@@ -195,5 +197,5 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), seed:
         joined.withColumn("__times", whole)
         .where("__times > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(*[F.col(c) for c in docs.columns])
+        .select(*[F.col("__row").getField(name).alias(name) for name in docs.columns])
     )

@@ -212,13 +212,17 @@ def one_of_each(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     """The documents without near copies: of every component the one with the smallest doc_id.
 
     Equal rows count as copies too. Documents with a null id stay only if no copy has an id.
-    Columns are those of `docs`, which are read but for names that start with two underscores.
+    Columns are those of `docs`, whatever their names.
     """
     rows = materialize(similar_documents(docs, width, least), "similar-kept")
     keeper = F.col("doc_id").eqNullSafe(F.col("component_id"))
     keepers = rows.where(keeper).groupBy("component", "doc_id").agg(F.min("text_hash").alias("__hash"))
     keepers = keepers.select(F.col("doc_id").alias("__id"), "__hash")
-    marked = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    # The documents' columns travel as one, so that their names meet no others.
+    whole = F.struct(*[F.col(name) for name in docs.columns]).alias("__row")
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__own")
+    marked = docs.select(whole, "doc_id", own)
+    columns = [F.col("__row").getField(name).alias(name) for name in docs.columns]
     same = marked["doc_id"].eqNullSafe(F.col("__id")) & (marked["__own"] == F.col("__hash"))
     kept = marked.join(keepers, same, "left_semi")
     # Rows that are equal all through were kept together; they are rare, so only they are sorted out.
@@ -226,7 +230,7 @@ def one_of_each(docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFram
     again = again.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     same = kept["doc_id"].eqNullSafe(F.col("__id")) & (kept["__own"] == F.col("__hash"))
     if again.isEmpty():
-        return kept.select(*docs.columns)
+        return kept.select(*columns)
     single = kept.join(again, same, "left_anti")
     folded = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "__own"])
-    return single.unionByName(folded).select(*docs.columns)
+    return single.unionByName(folded).select(*columns)
