@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.sqltext import EV, with_
+from catalog.sqltext import EV, USERS, with_
 from watchlens.functions.jsontext import sorted_text
 from watchlens.operators import sessions as ops
+from watchlens.session import materialize
 from watchlens.sources import testbed
 
 LISTS = list(ops.LISTS)
@@ -50,6 +51,22 @@ def session_length(spark: SparkSession, folder: str) -> DataFrame:
     return lengths
 
 
+def segment_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of each segment, and whether the median out of daily sketches has a rank within 2 % of the middle."""
+    summary = materialize(ops.session_summary(testbed.user_events(spark, folder)), "session-summary")
+    users = testbed.user_profiles(spark, folder).select("user_id", "user_segment")
+    named = summary.join(users, "user_id", "left").withColumn("day", F.to_date("start_time"))
+    daily = materialize(ops.length_sketches(named, "user_segment", "day"), "length-sketches")
+    found = ops.merged_lengths(daily, "user_segment")
+    seconds = F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
+    ranks = named.join(found.withColumnRenamed("sessions", "n"), named["user_segment"].eqNullSafe(found["user_segment"]))
+    share = lambda part: F.count_if(part) / F.count(F.lit(1))
+    return ranks.groupBy(named["user_segment"]).agg(
+        F.max("n").alias("sessions"),
+        ((share(seconds < F.col("median_seconds")) <= 0.52) & (share(seconds <= F.col("median_seconds")) >= 0.48)).alias("near_middle"),
+    )
+
+
 def gap_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return ops.gap_sessions(testbed.user_events(spark, folder), 6 * 3600)
 
@@ -110,6 +127,7 @@ QUERIES = {
     "analyze_session": analyze_session,
     "array_to_json": session_table_rows,
     "session_length": session_length,
+    "segment_lengths": segment_lengths,
     "gap_sessions": gap_sessions,
     "gap_sessions_3m": gap_sessions_3m,
     "gap_session_events": gap_session_events,
@@ -177,6 +195,8 @@ ORACLE = {
   SELECT session_id, user_id, time_bucket(INTERVAL '3 hours', ts) AS w, {MEASURES},
     {', '.join(_json_list(kind, name) for name, kind in ops.LISTS.items())}
   FROM ev GROUP BY ALL)""",
+    "segment_lengths": with_(EV, USERS) + """SELECT user_segment, count(*) AS sessions, true AS near_middle
+FROM (SELECT DISTINCT session_id, user_id FROM ev) LEFT JOIN users USING (user_id) GROUP BY 1""",
     "session_length": with_(
         EV,
         """spans AS (SELECT session_id, user_id, count(*) AS n,

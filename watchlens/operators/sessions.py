@@ -161,6 +161,24 @@ def session_lengths(sessions: DataFrame) -> DataFrame:
     )
 
 
+def length_sketches(sessions: DataFrame, *keys: str) -> DataFrame:
+    """Number of sessions and a quantile sketch of their lengths in whole seconds, per `keys` or in all.
+
+    Sketches merge (`merged_lengths`): those of days to months, of users' segments to all. At their default size a quantile's rank is within 1.7 %
+    of the one asked for, in 99 of 100 sketches.
+    """
+    seconds = seconds_between(F.col("start_time"), F.col("end_time")).cast("bigint")
+    rows = sessions.select(*keys, seconds.alias("seconds"))
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("sessions"), F.kll_sketch_agg_bigint("seconds").alias("lengths"))
+
+
+def merged_lengths(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Sessions and median length of coarser groups, from sketches alone."""
+    return sketches.groupBy(*keys).agg(
+        F.sum("sessions").alias("sessions"), F.kll_merge_agg_bigint("lengths").alias("lengths")
+    ).select(*keys, "sessions", F.kll_sketch_get_quantile_bigint("lengths", F.lit(0.5)).alias("median_seconds"))
+
+
 def session_starts(events: DataFrame, gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
     """Events numbered into sessions per user: a new one starts when the pause reaches the gap.
 

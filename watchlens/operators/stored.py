@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watchlens.operators import tables
-from watchlens.session import materialize
+from watchlens.session import materialize, remove_folder, sub_folders
 
 #: A filter is cut into chunks of so many bits, each for so many keys of an entry; a key sets `HASHES` bits of one chunk.
 CHUNK_BITS, CHUNK_KEYS, HASHES = 32768, 2000, 6
@@ -121,20 +121,15 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
     numbers = [r.number for r in spark.read.parquet(f"{path}/versions").select("number").orderBy("number").collect()]
     stay, old = numbers[-keep:], numbers[:-keep]
     live = {(r[_ENTRY], r[_BUCKET]) for n in stay for r in spark.read.parquet(f"{path}/lists/{n}").select(_ENTRY, _BUCKET).collect()}
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    found = files.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     gone = 0
-    for number in range(numbers[-1] + 1):
-        if not found.exists(files.Path(f"{path}/rows/{_ENTRY}={number}")):
-            continue
-        for status in found.listStatus(files.Path(f"{path}/rows/{_ENTRY}={number}")):
-            name = status.getPath().getName()
-            if name.startswith(f"{_BUCKET}=") and (number, int(name.split("=")[1])) not in live:
+    for number in sub_folders(spark, f"{path}/rows", _ENTRY):
+        for bucket in sub_folders(spark, f"{path}/rows/{_ENTRY}={number}", _BUCKET):
+            if number <= numbers[-1] and (number, bucket) not in live:
                 for kind in ("rows", "filters"):
-                    found.delete(files.Path(f"{path}/{kind}/{_ENTRY}={number}/{name}"), True)
+                    remove_folder(spark, f"{path}/{kind}/{_ENTRY}={number}/{_BUCKET}={bucket}")
                 gone += 1
     for number in old:
-        found.delete(files.Path(f"{path}/lists/{number}"), True)
+        remove_folder(spark, f"{path}/lists/{number}")
     return gone
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,8 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+_WORKING: list[str] = []
+
 #: Settings every deployment wants; sizes and parallelism stay with the cluster.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,7 +47,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     Only a local master may fall back to a temporary folder: on a cluster the
     executors would each see their own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _WORKING[-1] if _WORKING else spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -51,6 +55,35 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def working_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is written along the way; it is removed at the end.
+
+    Results read from it on demand, so write or collect them before it closes.
+    """
+    folder = shared_folder(spark, "work")
+    _WORKING.append(folder)
+    try:
+        yield folder
+    finally:
+        _WORKING.remove(folder)
+        remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system that Spark writes to; tells whether it was there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def sub_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of the folders `name=n` in a folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{name}="))
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared folder once and read it from there.
 

@@ -19,6 +19,7 @@ from watchlens.operators.sessions import as_table_row
 from watchlens.operators.stats import hash_sample
 from watchlens.operators.stored import append_new
 from watchlens.operators.tables import last_per_key
+from watchlens.session import remove_folder, sub_folders
 from watchlens.sources.relational import replace_jdbc
 
 #: Events of a batch that are kept to look at.
@@ -130,6 +131,20 @@ def write_snapshot(spark: SparkSession, path: str, key: list[str], out: str) ->
     spark.range(1).select(F.lit(int(last)).cast("long").alias("upto")).write.mode("append").parquet(f"{out}/done")
 
 
+def retire_batches(spark: SparkSession, path: str, out: str) -> int:
+    """Delete the log folders that the newest snapshot at `out` holds, and older snapshots; gives the folders deleted.
+
+    Readers must go by the newest snapshot by then. What came after it stays, so this may run beside the query that writes the log.
+    """
+    _, upto = _folded(spark, out)
+    gone = 0
+    for folder, name, least in ((path, "batch_id", upto), (f"{out}/rows", "upto", upto - 1)):
+        for number in sub_folders(spark, folder, name):
+            if number <= least:
+                gone += remove_folder(spark, f"{folder}/{name}={number}")
+    return gone
+
+
 def current_events(spark: SparkSession, path: str) -> DataFrame:
     """Stored raw events once each: of an event's copies the one that arrived first."""
     log = spark.read.parquet(path)
