@@ -10,6 +10,7 @@ from catalog.recommend import HORIZON_DAYS
 from catalog.sessions import _GAP_AGG, _gap_sql, _readable, _windows_sql
 from catalog.sqltext import EV, RECS, with_
 from watchlens.operators.sessions import session_windows
+from watchlens.operators.stats import hash_sample
 from watchlens.operators.tables import fill_defaults
 from watchlens.schemas import TABLES
 from watchlens.session import shared_folder
@@ -136,17 +137,36 @@ def user_sessions_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _readable(fill_defaults(windows, TABLES["user_sessions"], stamp))
 
 
-def stream_attribution(spark: SparkSession, folder: str) -> DataFrame:
-    work = shared_folder(spark, "attribution")
+def _attributed(spark: SparkSession, folder: str, name: str, unfollowed: bool) -> DataFrame:
+    work = shared_folder(spark, name)
     testbed.recommendations(spark, folder).write.parquet(f"{work}/recs")
     recs = messages.file_stream(spark, f"{work}/recs", spark.read.parquet(f"{work}/recs").schema)
     joined = queries.attribution_stream(
-        queries.with_instants(recs, "created_at"), _event_stream(spark, folder), f"{HORIZON_DAYS} days"
+        queries.with_instants(recs, "created_at"), _event_stream(spark, folder), f"{HORIZON_DAYS} days", unfollowed=unfollowed
     )
-    queries.run(joined, "attribution", f"{work}/checkpoint", sinks.batch_log(f"{work}/log"), "append")
+    queries.run(joined, name, f"{work}/checkpoint", sinks.batch_log(f"{work}/log"), "append")
     return spark.read.parquet(f"{work}/log").select("user_id", "content_id", "created_at", "event_id", "event_type")
 
 
+def stream_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    return _attributed(spark, folder, "attribution", False)
+
+
+def stream_unfollowed(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommendations that nothing followed, of those whose time is over."""
+    rows = _attributed(spark, folder, "unfollowed", True)
+    return rows.where(F.col("event_id").isNull()).select("user_id", "content_id", "created_at")
+
+
+def stream_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The sample of a stream in several batches, out of the batches' own samples."""
+    work = shared_folder(spark, "samples")
+    raw = messages.file_stream(spark, _staged(spark, folder, work), testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+    writer = sinks.ingest_writer(f"{work}/events", f"{work}/letters", samples_path=f"{work}/samples")
+    queries.run(queries.ingest_stream(testbed.as_messages(raw)), "samples", f"{work}/checkpoint", writer, "append")
+    return hash_sample(spark.read.parquet(f"{work}/samples").select("event_id").distinct(), sinks.SAMPLE_ROWS, "event_id")
+
+
 QUERIES = {
     "stream_sessions_update": stream_sessions_update,
     "stream_sessions_append": stream_sessions_append,
@@ -159,6 +179,8 @@ QUERIES = {
     "user_sessions_rows": user_sessions_rows,
     "stream_metrics": stream_metrics,
     "stream_attribution": stream_attribution,
+    "stream_unfollowed": stream_unfollowed,
+    "stream_samples": stream_samples,
 }
 
 _PASSED = "(SELECT max(ts) - INTERVAL '10 minutes' FROM events)"
@@ -184,6 +206,12 @@ FROM ({_windows_sql("3 hours")})""",
 UNION ALL SELECT 'saved', count(*) FROM judged WHERE reject_reason IS NULL
 UNION ALL SELECT 'errors', count(*) FROM judged WHERE reject_reason IS NOT NULL
 UNION ALL SELECT 'duplicates', (SELECT count(*) FROM judged WHERE reject_reason IS NULL) - (SELECT count(*) FROM first_good)""",
+    "stream_unfollowed": with_(EV, RECS) + f"""SELECT user_id, content_id, created_at FROM recs
+WHERE created_at + INTERVAL '{HORIZON_DAYS} days' < least((SELECT max(created_at) FROM recs), (SELECT max(ts) FROM ev)) - INTERVAL '10 minutes'
+AND NOT EXISTS (SELECT 1 FROM ev WHERE ev.user_id = recs.user_id AND ev.content_id = recs.content_id
+  AND event_type IN ('click', 'watch', 'watch_complete') AND ts BETWEEN created_at AND created_at + INTERVAL '{HORIZON_DAYS} days')""",
+    "stream_samples": _FIRST + """SELECT event_id, CAST(place AS INTEGER) AS place FROM (
+  SELECT event_id, row_number() OVER (ORDER BY sha256(event_id)) AS place FROM (SELECT DISTINCT event_id FROM first_good)) WHERE place <= 5""",
     "stream_attribution": with_(EV, RECS) + f"""SELECT recs.user_id, recs.content_id, created_at, event_id, event_type FROM recs JOIN ev
 ON ev.user_id = recs.user_id AND ev.content_id = recs.content_id AND ts BETWEEN created_at AND created_at + INTERVAL '{HORIZON_DAYS} days'
 WHERE event_type IN ('click', 'watch', 'watch_complete')""",
