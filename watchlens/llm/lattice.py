@@ -38,6 +38,8 @@ BLANK = "▁"
 BLOCK_BYTES, GROUP_WORDS, ROUNDS = 24 << 20, 6000, 3
 #: Most classes of texts; the rarer ones share the last.
 CLASSES = 8
+#: Columns of a word's arcs.
+ARCS = ("chars", "starts", "sizes", "pieces")
 #: What every piece counts besides its expected uses.
 SMOOTHING = 0.02
 
@@ -101,6 +103,39 @@ class Lattice:
         word = np.searchsorted(begin, start, "right") - 1
         return {"start": start, "end": end, "piece": piece, "word": word, "begin": begin, "lengths": lengths, "extra": extra}
 
+    def packed(self, words: Sequence[str]) -> list[pa.Array]:
+        """The words' arcs as columns, a row a word: number of characters, and lists of starts, sizes and pieces.
+
+        A character outside the vocabulary stands as a piece numbered by its code point, after all others.
+        """
+        arcs = self.arcs(words) if len(words) else {"word": np.zeros(0, np.int64), "lengths": np.zeros(0, np.int64), "begin": np.zeros(0, np.int64)}
+        if not len(words):
+            arcs |= {name: arcs["word"] for name in ("start", "end", "piece")} | {"extra": []}
+        order = np.argsort(arcs["word"], kind="stable")
+        word, piece = arcs["word"][order], arcs["piece"][order]
+        own = piece >= self.count + 256
+        points = np.array([ord(c) for c in arcs["extra"]], np.int64)
+        piece[own] = self.count + 256 + points[piece[own] - self.count - 256]
+        start = arcs["start"][order] - arcs["begin"][word]
+        size = (arcs["end"] - arcs["start"])[order]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(words)))]), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int32))) for v in (start, size, piece)]
+        return [pa.array(arcs["lengths"].astype(np.int32)), *lists]
+
+    def unpacked(self, lengths: pa.Array, starts: pa.Array, sizes: pa.Array, pieces: pa.Array) -> dict:
+        """`arcs` out of what `packed` made of the words."""
+        lengths = lengths.to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
+        word = np.repeat(np.arange(len(lengths)), starts.value_lengths().to_numpy(zero_copy_only=False))
+        start = starts.flatten().to_numpy().astype(np.int64) + begin[word]
+        end = start + sizes.flatten().to_numpy()
+        piece = pieces.flatten().to_numpy().astype(np.int64)
+        own = np.flatnonzero(piece >= self.count + 256)
+        points, number = np.unique(piece[own], return_inverse=True)
+        piece[own] = self.count + 256 + number
+        extra = [chr(p - self.count - 256) for p in points]
+        return {"start": start, "end": end, "piece": piece, "word": word, "begin": begin, "lengths": lengths, "extra": extra}
+
     def _bytes(self, character: str) -> np.ndarray:
         """The pieces that spell a character in UTF-8."""
         return self.count + np.frombuffer(character.encode("utf-8", "replace"), np.uint8).astype(np.int64)
@@ -128,15 +163,17 @@ class Lattice:
 
     def log_probabilities(self, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
         """Each word's log probability under every class's weights."""
-        if not len(words):
-            return np.zeros((0, weights.shape[1]))
-        arcs = self.arcs(words)
+        return self.log_sums(self.arcs(words), weights) if len(words) else np.zeros((0, weights.shape[1]))
+
+    def log_sums(self, arcs: dict, weights: np.ndarray) -> np.ndarray:
         values = self.forward(arcs, self.log_weights(arcs, weights))
         return values[arcs["begin"] + arcs["lengths"]]
 
     def expected(self, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
         """How often each piece is used, over all segmentations of words that occur once each."""
-        arcs = self.arcs(words)
+        return self.uses(self.arcs(words), weights)
+
+    def uses(self, arcs: dict, weights: np.ndarray) -> np.ndarray:
         gain = self.log_weights(arcs, weights[:, None])
         ahead = self.forward(arcs, gain)
         behind = np.full(ahead.shape, -np.inf)
@@ -154,10 +191,29 @@ def _strings(batch: pa.RecordBatch) -> list[str]:
     return [word.decode("utf-8", "replace") for word in batch.column(0).to_pylist()]
 
 
+def with_arcs(words: DataFrame, pieces: Sequence[str]) -> DataFrame:
+    """Adds the lattice's arcs to the rows marked `first`, so that they are searched for once a word; others have none."""
+    names = words.columns
+    at_word, at_first = names.index("word"), names.index("first")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(pieces)
+        for batch in batches:
+            for part in slices(batch, GROUP_WORDS):
+                first = part.column(at_first).to_numpy(zero_copy_only=False).astype(bool)
+                found = part.column(at_word).to_pylist()
+                own = [word.decode("utf-8", "replace") for word, f in zip(found, first, strict=True) if f]
+                row = pa.array(np.cumsum(first) - 1, mask=~first)
+                yield pa.RecordBatch.from_arrays([*part.columns, *[column.take(row) for column in lattice.packed(own)]], names=[*names, *ARCS])
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in words.schema]
+    return words.mapInArrow(run, ", ".join([*kinds, "chars int", *[f"{name} array<int>" for name in ARCS[1:]]]))
+
+
 def fit(counted: DataFrame, classes: int, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Log weights (pieces by classes) fitted to the distinct words of each class.
 
-    `counted` has one row a word: word (binary) and its uses u0, u1 ... in the classes. All words
+    `counted` has one row a word: its arcs (see `with_arcs`) and its uses u0, u1 ... in the classes. All words
     count. A round's sums are one row a piece and class, bounded by the vocabulary.
     """
     pieces, size = vocabulary.pieces, len(vocabulary.pieces) + 256
@@ -168,18 +224,18 @@ def fit(counted: DataFrame, classes: int, vocabulary: Vocabulary, rounds: int =
             lattice, total = Lattice(pieces), np.zeros((size, classes))
             for batch in batches:
                 for part in slices(batch, GROUP_WORDS):
-                    words = _strings(part)
                     for k in range(classes):
-                        own = np.flatnonzero(part.column(k + 1).to_numpy(zero_copy_only=False) > 0)
+                        own = np.flatnonzero(part.column(k + len(ARCS)).to_numpy(zero_copy_only=False) > 0)
                         if len(own):
-                            total[:, k] += lattice.expected([words[i] for i in own], weights[:, k])
+                            mine = part.take(pa.array(own))
+                            total[:, k] += lattice.uses(lattice.unpacked(*mine.columns[: len(ARCS)]), weights[:, k])
             piece, kind = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece, pa.int32()), pa.array(kind, pa.int32()), pa.array(total[piece, kind])],
                 names=["piece", "class", "uses"],
             )
 
-        each = counted.select("word", *[f"u{k}" for k in range(classes)]).mapInArrow(run, "piece int, class int, uses double")
+        each = counted.select(*ARCS, *[f"u{k}" for k in range(classes)]).mapInArrow(run, "piece int, class int, uses double")
         uses = np.full((size, classes), SMOOTHING)
         for row in each.groupBy("piece", "class").agg(F.sum("uses").alias("uses")).collect():
             uses[row["piece"], row["class"]] += row["uses"]
@@ -253,7 +309,8 @@ def scores(docs: DataFrame, held_out: str, vocabulary: Vocabulary, kind: str | N
     words = _block_words(rows.repartition(blocks, "block"), count).withColumn(
         "first", F.row_number().over(same.orderBy("block")) == 1
     )
-    words = materialize(words.withColumns({n: F.sum(n).over(same) for n in names}), "lattice-words")
+    words = with_arcs(words.withColumns({n: F.sum(n).over(same) for n in names}), vocabulary.pieces)
+    words = materialize(words, "lattice-words")
     once = words.where("first")
     uses = sum((F.col(n) for n in names[1:]), F.col(names[0]))
     sums = [F.coalesce(F.sum(uses), F.lit(0)).alias("uses"), F.coalesce(F.sum((uses > 0).cast("int")), F.lit(0)).alias("kinds")]
@@ -282,11 +339,18 @@ def scores(docs: DataFrame, held_out: str, vocabulary: Vocabulary, kind: str | N
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces)
         for batch in batches:
-            for part in slices(batch, GROUP_WORDS * 4):
-                words, seen = part.column(1).to_pylist(), {}
-                at = [seen.setdefault(w, len(seen)) for w in words]
-                distinct = [w.decode("utf-8", "replace") for w in seen]
-                cut = [lattice.log_probabilities(distinct[a : a + GROUP_WORDS], weights) for a in range(0, len(distinct), GROUP_WORDS)]
+            for part in slices(batch, GROUP_WORDS):
+                words = part.column(1).to_pylist()
+                first = part.column(count + 2).to_numpy(zero_copy_only=False).astype(bool)
+                with_own = part.filter(pa.array(first))
+                seen = {word: k for k, word in enumerate(with_own.column(1).to_pylist())}
+                # A word's rows follow each other, yet its first may lie in another part.
+                late = list({word for word in words if word not in seen})
+                seen |= {word: len(seen) + k for k, word in enumerate(late)}
+                cut = [lattice.log_probabilities([word.decode("utf-8", "replace") for word in late], weights)]
+                if with_own.num_rows:
+                    cut.insert(0, lattice.log_sums(lattice.unpacked(*with_own.columns[count + 3 :]), weights))
+                at = [seen[word] for word in words]
                 own = np.stack([part.column(k + 2).to_numpy(zero_copy_only=False) for k in range(count)], axis=1)
                 with np.errstate(divide="ignore"):
                     whole = np.log(np.maximum(own - discount, 0) / total)
@@ -296,7 +360,7 @@ def scores(docs: DataFrame, held_out: str, vocabulary: Vocabulary, kind: str | N
                     names=["block", "word", "uses", *names],
                 )
 
-    figures = words.select("block", "word", *names).mapInArrow(
+    figures = words.select("block", "word", *names, "first", *ARCS).mapInArrow(
         weigh, ", ".join(["block long", "word binary", "uses long", *[f"{n} float" for n in names]])
     )
 
