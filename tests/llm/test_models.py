@@ -5,6 +5,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from watchlens.llm import cotrain, lattice, queries, secret_crf, toxicity
 
@@ -105,11 +106,32 @@ def test_views_teach_each_other():
     content = marks[:, None] * 2.5 + rng.normal(size=(3000, 3))
     page = marks[:, None] * 2.5 + rng.normal(size=(3000, 2))
     few = slice(0, 24)
-    model = cotrain.co_train(content[few], page[few], marks[few], content[24:2000], page[24:2000])
+    model = cotrain.co_train(content[few], page[few], marks[few], cotrain.pool_of(content[24:2000], page[24:2000]))
     right = ((model.score(content[2000:], page[2000:])[:, 2] > 0.5) == marks[2000:]).mean()
     assert right > 0.97
 
 
+def test_every_unlabelled_document_takes_part(spark):
+    """The model from Spark's sums is that of all documents' views at hand, and unlabelled documents change it."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality IS NOT NULL")
+    marked = {r.doc_id: r.quality for r in labels.collect()}
+    rows = {r.doc_id: r for r in docs.collect()}
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect() if r.doc_id in rows]
+    views = lambda r: (cotrain.content_view((r.text or "").encode()), cotrain.page_view((r.text or "").encode(), r.lang, r.source))
+    content, page = (np.array([views(rows[k])[v] for k in order]) for v in (0, 1))
+    pool = {(r.text, r.lang, r.source): views(r) for r in rows.values() if r.doc_id not in marked}
+    sides = [np.array([v[k] for v in pool.values()], np.float32).astype(float) for k in (0, 1)]
+    marks = np.array([marked[k] for k in order], float)
+    plain = cotrain.co_train(content, page, marks, cotrain.pool_of(*sides))
+    model = cotrain.learn(docs, labels)
+    for own, other in zip(model.views, plain.views, strict=True):
+        assert np.abs(own.weights - other.weights).max() < 1e-4
+    assert np.abs(model.blend - plain.blend).max() < 1e-3
+    alone = cotrain.co_train(content, page, marks, cotrain.pool_of(sides[0][:0], sides[1][:0]))
+    assert any(np.abs(a.weights - b.weights).max() > 1e-2 for a, b in zip(plain.views, alone.views, strict=True))
+
+
 # Language model
 
 

@@ -6,15 +6,16 @@ round each view labels the unlabelled documents of which it is surest and hands
 other. At the end the views are calibrated on labelled documents that took no part in the fit,
 and combined into one score.
 
-The models are fitted on bounded samples (LABELLED, POOL) taken by a hash of the id; every
-document is scored.
+Of labelled documents a bounded sample (LABELLED) is fitted, taken by a hash of the id. All unlabelled documents take part in every round:
+how many are handed over is a share of them, found from counts of the views' scores, and what a fit needs of them are
+sums of gradients and curvatures, added up by Spark. Equal texts of one source count once.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq, itemgetter
 from zlib import crc32
@@ -25,9 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchlens.llm.text import bound_batches, texts
+from watchlens.session import materialize
 
-#: Labelled and unlabelled documents in the fit, rounds, documents handed over a round, how sure a view must be.
-LABELLED, POOL, ROUNDS, HANDED, SURE = 20_000, 20_000, 4, 400, 0.95
+#: Labelled documents in the fit, rounds, share of the unlabelled that is handed over a round more, how sure a view must be.
+LABELLED, ROUNDS, HANDED, SURE = 20_000, 4, 0.02, 0.95
+#: Most steps of a fit within a round, and buckets of scores: logits of -16 to 16, 8 buckets each.
+STEPS, REACH, FINE = 12, 16, 8
 #: Of the labelled documents, one in so many calibrates.
 CALIBRATING = 4
 LANG_SLOTS, SOURCE_SLOTS = 8, 16
@@ -96,18 +100,41 @@ class Logistic:
         return scaled @ self.weights[1:] + self.weights[0]
 
 
-def fit_logistic(rows: np.ndarray, marks: np.ndarray, penalty: float = 1.0) -> Logistic:
+def _design(rows: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(rows)), np.clip((rows - mean) / scale, -8, 8)])
+
+
+def _sums(x: np.ndarray, marks: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Loss (the negative log likelihood), gradient and curvature of rows, as one vector."""
+    logits = x @ weights
+    p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+    loss = (np.logaddexp(0, logits) - marks * logits).sum()
+    return np.concatenate([[loss], x.T @ (marks - p), (x.T @ (x * (p * (1 - p) + 1e-9)[:, None])).ravel()])
+
+
+def _ridge(size: int, penalty: float) -> np.ndarray:
+    ridge = penalty * np.eye(size)
+    ridge[0, 0] = 1e-6
+    return ridge
+
+
+def _step(sums: np.ndarray, weights: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+    """The penalised loss, and a Newton step from there."""
+    size, ridge = len(weights), _ridge(len(weights), penalty)
+    gradient, curve = sums[1 : 1 + size], sums[1 + size :].reshape(size, size)
+    loss = sums[0] + weights @ ridge @ weights / 2
+    return float(loss), np.clip(np.linalg.solve(curve + ridge, gradient - ridge @ weights), -4, 4)
+
+
+def fit_logistic(rows: np.ndarray, marks: np.ndarray, penalty: float = 1.0, scaling: tuple | None = None) -> Logistic:
     """A penalised logistic fit by Newton steps."""
-    mean, scale = rows.mean(axis=0), rows.std(axis=0)
+    mean, scale = scaling or (rows.mean(axis=0), rows.std(axis=0))
     scale = np.where(scale > 1e-9, scale, 1.0)
-    x = np.column_stack([np.ones(len(rows)), np.clip((rows - mean) / scale, -8, 8)])
-    weights, ridge = np.zeros(x.shape[1]), penalty * np.eye(x.shape[1])
-    ridge[0, 0] = 1e-6
+    x = _design(rows, mean, scale)
+    weights = np.zeros(x.shape[1])
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        curve = x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + ridge
-        step = np.linalg.solve(curve, x.T @ (marks - p) - ridge @ weights)
-        weights = weights + np.clip(step, -4, 4)
+        _, step = _step(_sums(x, marks, weights), weights, penalty)
+        weights = weights + step
         if np.abs(step).max() < 1e-6:
             break
     return Logistic(mean, scale, weights)
@@ -129,9 +156,28 @@ class Model:
         return 1 / (1 + np.exp(-np.column_stack([logits, both]).clip(-30, 30)))
 
 
-def co_train(content: np.ndarray, page: np.ndarray, marks: np.ndarray, pool_content: np.ndarray, pool_page: np.ndarray) -> Model:
+#: Sums over all unlabelled documents of a function of both their views (rows by columns each), as one vector.
+Pool = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray]], np.ndarray]
+
+
+def pool_of(content: np.ndarray, page: np.ndarray) -> Pool:
+    """Unlabelled documents that are at hand."""
+    return lambda function: function(content, page)
+
+
+def _limits(counts: np.ndarray, share: float) -> float:
+    """The logit from which on at most this share of the documents lies, and at least one bucket's, however few that is."""
+    above = np.cumsum(counts[::-1])[::-1]
+    fits = np.flatnonzero(above <= max(share * counts.sum(), 1))
+    at = fits[0] if len(fits) else len(counts) - 1
+    return max((at - REACH * FINE) / FINE, math.log(SURE / (1 - SURE)))
+
+
+def co_train(content: np.ndarray, page: np.ndarray, marks: np.ndarray, pool: Pool) -> Model:
     """Train both views on marked rows (0 or 1) and on what they hand each other of the pool.
 
+    In round n each view hands on the documents it is surest of: n times the share HANDED of all, split by the marks' rates, and none of which
+    it is less sure than SURE. Together they weigh no more than the marked rows.
     Without rows of both marks there is nothing to learn: all score 1, or 0 if all marks are 0.
     """
     if len(set(marks.tolist())) < 2:
@@ -139,28 +185,50 @@ def co_train(content: np.ndarray, page: np.ndarray, marks: np.ndarray, pool_cont
     held = np.arange(len(marks)) % CALIBRATING == CALIBRATING - 1
     if len(set(marks[~held].tolist())) < 2 or len(set(marks[held].tolist())) < 2:
         held = np.zeros(len(marks), bool)
-    sides, pools = (content, page), (pool_content, pool_page)
-    given = [(np.zeros(0, int), np.zeros(0)), (np.zeros(0, int), np.zeros(0))]
-    views: list[Logistic] = []
-    base = marks[~held].mean()
-    for turn in range(ROUNDS + 1):
-        views = [
-            fit_logistic(np.concatenate([side[~held], pool[at]]), np.concatenate([marks[~held], own]))
-            for side, pool, (at, own) in zip(sides, pools, given, strict=True)
-        ]
-        if turn == ROUNDS or not len(pool_content):
+    sides, own = (content, page), marks[~held]
+    widths = [side.shape[1] for side in sides]
+    views = [fit_logistic(side[~held], own) for side in sides]
+    designs = [_design(side[~held], view.mean, view.scale) for side, view in zip(sides, views, strict=True)]
+    base = own.mean()
+
+    def spread(*both: np.ndarray) -> np.ndarray:
+        """How many documents each view gives which logit, from both ends."""
+        logits = [view.logit(side).clip(-REACH, REACH - 1e-6) for view, side in zip(views, both, strict=True)]
+        return np.concatenate([np.bincount(((sign * logit).clip(-REACH, REACH - 1e-6) * FINE + REACH * FINE).astype(int), minlength=2 * REACH * FINE) for logit in logits for sign in (1, -1)])
+
+    for turn in range(1, ROUNDS + 1):
+        counts = pool(spread).reshape(2, 2, -1)
+        if not counts.sum():
             break
-        for k in (0, 1):
-            sure = 1 / (1 + np.exp(-views[k].logit(pools[k]).clip(-30, 30)))
-            taken = np.isin(np.arange(len(sure)), given[1 - k][0])
-            picks, values = [given[1 - k][0]], [given[1 - k][1]]
-            for mark, many in ((1.0, base), (0.0, 1 - base)):
-                mine = sure if mark else 1 - sure
-                order = np.argsort(-mine, kind="stable")
-                order = order[(mine[order] >= SURE) & ~taken[order]][: max(1, round(HANDED * many))]
-                picks.append(order)
-                values.append(np.full(len(order), mark))
-            given[1 - k] = (np.concatenate(picks), np.concatenate(values))
+        limits = [[_limits(counts[k, mark], turn * HANDED * rate) for mark, rate in ((0, base), (1, 1 - base))] for k in (0, 1)]
+        givers = list(views)
+
+        def handed(*both: np.ndarray) -> np.ndarray:
+            parts = []
+            for k in (0, 1):
+                sure = givers[1 - k].logit(both[1 - k])
+                good, bad = sure >= limits[1 - k][0], -sure >= limits[1 - k][1]
+                mine = good | bad
+                x = _design(both[k][mine], views[k].mean, views[k].scale)
+                parts += [[mine.sum()], _sums(x, good[mine].astype(float), views[k].weights)]
+            return np.concatenate(parts)
+
+        # Newton steps from the weights of the round before; one that makes things worse is halved.
+        begun = [(math.inf, view.weights, np.zeros(len(view.weights))) for view in views]
+        for _ in range(STEPS):
+            sums, at, largest = pool(handed), 0, 0.0
+            for k in (0, 1):
+                now, end = views[k].weights, at + 2 + (widths[k] + 1) * (widths[k] + 2)
+                weight = min(1.0, len(own) / sums[at]) if sums[at] else 0.0
+                loss, step = _step(_sums(designs[k], own, now) + weight * sums[at + 1 : end], now, 1.0)
+                if loss > begun[k][0] + 1e-9:
+                    loss, now, step = begun[k][0], begun[k][1], begun[k][2] / 2
+                begun[k], at = (loss, now, step), end
+                # Sums of doubles depend on their order in the last digits; rounding them off makes reruns agree.
+                views[k] = Logistic(views[k].mean, views[k].scale, np.round(now + step, 8))
+                largest = max(largest, float(np.abs(step).max()))
+            if largest < 1e-3:
+                break
     judged = held if held.any() else ~held
     logits = np.column_stack([views[k].logit(sides[k][judged]) for k in (0, 1)]).clip(-20, 20)
     blend = fit_logistic(logits, marks[judged], penalty=0.5)
@@ -200,8 +268,44 @@ def _sample(docs: DataFrame, marks: DataFrame) -> list:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").select("row.*").collect()
 
 
-def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """Train on `labels` (doc_id, quality 0 or 1; other values are no label) and unlabelled documents.
+def _unlabelled(docs: DataFrame, labels: DataFrame) -> Pool:
+    """Both views of all documents without a label, as a table that every sum reads."""
+    rows = _inputs(docs).join(labels.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "doc_id", "left_anti")
+    kinds = "content array<float>, page array<float>"
+
+    def views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content, page = _views(batch)
+            lists = [pa.array(list(side.astype(np.float32)), pa.list_(pa.float32())) for side in (content, page)]
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("same")), *lists], names=["same", "content", "page"])
+
+    rows = rows.withColumn("same", F.xxhash64("text", "lang", "source"))
+    each = rows.mapInArrow(views, f"same long, {kinds}").groupBy("same").agg(F.first("content").alias("content"), F.first("page").alias("page"))
+    table = materialize(each.select("content", "page"), "quality-views")
+
+    def pool(function: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                if batch.num_rows:
+                    sides = [batch.column(k).flatten().to_numpy().astype(float).reshape(batch.num_rows, -1) for k in (0, 1)]
+                    found = function(*sides)
+                    total = found if total is None else total + found
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total.astype(float))], names=["place", "value"])
+
+        # A row a place of the vector: some 1,500 at most, whatever the number of documents.
+        sums = table.mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
+        out = np.zeros(1 + max((row.place for row in sums), default=-1))
+        for row in sums:
+            out[row.place] = row.value
+        return out if len(sums) else function(np.zeros((0, len(content_view(b"")))), np.zeros((0, len(page_view(b"", None, None)))))
+
+    return pool
+
+
+def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
+    """Train on `labels` (doc_id, quality 0 or 1; other values are no label) and all documents without a row there.
 
     An id with two labels counts as 0, an id of several documents as one of them; null ids and labels are left out.
     Further columns of either table are not read. Without labels every document scores alike.
@@ -209,16 +313,11 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     bound_batches(docs.sparkSession)
     marks = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    order = (F.xxhash64("doc_id"), "doc_id")
-    some = marks.orderBy(*order).limit(labelled)
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().join(labels.select("doc_id"), "doc_id", "left_anti")
-    others = ids.orderBy(*order).limit(pool).withColumn("quality", F.lit(None).cast("int"))
-    known, unknown = _sample(docs, some), _sample(docs, others)
-    side = lambda rows, name: np.array([row[name] for row in rows], float).reshape(len(rows), -1 if rows else 0)
-    return co_train(
-        side(known, "content"), side(known, "page"), np.array([row.quality for row in known], float),
-        side(unknown, "content"), side(unknown, "page"),
-    )
+    known = _sample(docs, marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled))
+    if len({row.quality for row in known}) < 2:
+        return co_train(np.zeros((len(known), 1)), np.zeros((len(known), 1)), np.array([row.quality for row in known], float), pool_of)
+    side = lambda name: np.array([row[name] for row in known], float)
+    return co_train(side("content"), side("page"), np.array([row.quality for row in known], float), _unlabelled(docs, labels))
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
