@@ -23,8 +23,8 @@ from watchlens.session import materialize
 GAMMA, SMALLEST = 1.05, 1e-4
 #: Words in a window that counts as repeated; fewest words; per cent of repeated words.
 WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
-#: Documents that a source must have for limits of its own.
-LEAST_DOCUMENTS = 200
+#: As many documents as a source's language (or a language's whole) counts for beside its own.
+DRAWN = 30
 #: A limit lies this many spreads beyond the median.
 SPREADS = 4.0
 #: Smallest spread of each measure (in the measure's unit), and whether low values count too.
@@ -174,24 +174,29 @@ def _limits(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """Measures and verdict of every document: `base_failed`, and `kept` by the limits of its group.
 
-    A group is a language and source (null is one of each). With fewer than LEAST_DOCUMENTS
-    documents it takes the limits of its language, and a language those of all documents. The
-    sketches hold the documents that pass the base rules. Null and empty texts fail these.
+    A group is a language and source (null is one of each). Its limits are drawn to those of its language, which count for
+    DRAWN documents beside its own, and a language's to those of all documents: so a group of few goes by its
+    language, one of many by itself, and none changes at once as it grows. The sketches hold the documents that pass the base rules. Null and empty texts fail these.
     Equal rows are judged alike, an empty table gives no rows, further columns are ignored.
     """
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     rows = materialize(base_measures(docs).withColumn("base_failed", failed), "rules")
     fine = materialize(sketch(rows.where(~F.col("base_failed")), ("lang", "source"), measures()), "rules-sketch")
-    by_source = _limits(fine, ("lang", "source")).where(F.col("rows") >= LEAST_DOCUMENTS)
-    by_lang = _limits(merge(fine, ("lang",)), ("lang",)).where(F.col("rows") >= LEAST_DOCUMENTS)
+    by_source = _limits(fine, ("lang", "source"))
+    by_lang = _limits(merge(fine, ("lang",)), ("lang",))
     overall = _limits(merge(fine.withColumn("whole", F.lit(0)), ("whole",)), ("whole",))
     names = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
 
     def level(limits: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
         return limits.select(
-            *[F.col(c).alias(f"{prefix}_{c}") for c in keys], *[F.col(n).alias(f"{prefix}_{n}") for n in names]
+            *[F.col(c).alias(f"{prefix}_{c}") for c in keys], *[F.col(n).alias(f"{prefix}_{n}") for n in ("rows", *names)]
         )
 
+    def drawn(own: str, to: Column) -> Column:
+        """A limit of a group (s or g), drawn to that of the next larger one."""
+        rows_ = F.col(f"{own[0]}_rows")
+        return F.coalesce((rows_ * F.col(own) + DRAWN * to) / (rows_ + DRAWN), to)
+
     s, g = level(by_source, ("lang", "source"), "s"), level(by_lang, ("lang",), "g")
     # One row at most, so it is a value of the query and no join.
     whole = overall.select(F.struct(*names)).scalar()
@@ -202,6 +207,6 @@ def judge(docs: DataFrame) -> DataFrame:
     )
     inside = F.lit(True)
     for name, value in measures().items():
-        low, high = (F.coalesce(f"s_{name}_{end}", f"g_{name}_{end}", f"__whole.{name}_{end}") for end in ("low", "high"))
+        low, high = (drawn(f"s_{name}_{end}", drawn(f"g_{name}_{end}", F.col(f"__whole.{name}_{end}"))) for end in ("low", "high"))
         inside = inside & F.coalesce((value >= low) & (value <= high), F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & inside).select(*rows.columns, "kept")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from watchlens.llm.rules import (
-    GAMMA, LEAST_DOCUMENTS, LEAST_WORDS, MEASURES, MOST_REPEATED, SMALLEST, SPREADS, WINDOW,
+    DRAWN, GAMMA, LEAST_WORDS, MEASURES, MOST_REPEATED, SMALLEST, SPREADS, WINDOW,
 )
 
 _RATIOS = {
@@ -43,7 +43,10 @@ def _limits(level: str, keys: str) -> str:
 def _inside() -> str:
     tests = []
     for name in MEASURES:
-        low, high = (f"coalesce(s.{name}_{end}, g.{name}_{end}, a.{name}_{end})" for end in ("low", "high"))
+        def drawn(level: str, to: str, column: str) -> str:
+            return f"coalesce(({level}.documents * {level}.{column} + {DRAWN} * {to}) / ({level}.documents + {DRAWN}), {to})"
+
+        low, high = (drawn("s", drawn("g", f"a.{name}_{end}", f"{name}_{end}"), f"{name}_{end}") for end in ("low", "high"))
         tests.append(f"coalesce({_value(name)} BETWEEN {low} AND {high}, true)")
     return "\n  AND ".join(tests)
 
@@ -74,6 +77,6 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND {_inside()} AS kept
 FROM judged
-LEFT JOIN by_source s ON s.lang IS NOT DISTINCT FROM judged.lang AND s.source IS NOT DISTINCT FROM judged.source AND s.documents >= {LEAST_DOCUMENTS}
-LEFT JOIN by_lang g ON g.lang IS NOT DISTINCT FROM judged.lang AND g.documents >= {LEAST_DOCUMENTS}
+LEFT JOIN by_source s ON s.lang IS NOT DISTINCT FROM judged.lang AND s.source IS NOT DISTINCT FROM judged.source
+LEFT JOIN by_lang g ON g.lang IS NOT DISTINCT FROM judged.lang
 CROSS JOIN overall a"""
