@@ -270,17 +270,20 @@ def _sample(docs: DataFrame, marks: DataFrame) -> list:
 
 def _unlabelled(docs: DataFrame, labels: DataFrame) -> Pool:
     """Both views of all documents without a label, as a table that every sum reads."""
-    rows = _inputs(docs).join(labels.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "doc_id", "left_anti")
     kinds = "content array<float>, page array<float>"
 
     def views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content, page = _views(batch)
-            lists = [pa.array(list(side.astype(np.float32)), pa.list_(pa.float32())) for side in (content, page)]
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("same")), *lists], names=["same", "content", "page"])
+            same = batch.column(batch.schema.get_field_index("same"))
+            lists = [pa.array(list(side.astype(np.float32)), pa.list_(pa.float32())) for side in _views(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), same, *lists], names=["doc_id", "same", "content", "page"])
 
-    rows = rows.withColumn("same", F.xxhash64("text", "lang", "source"))
-    each = rows.mapInArrow(views, f"same long, {kinds}").groupBy("same").agg(F.first("content").alias("content"), F.first("page").alias("page"))
+    rows = _inputs(docs).withColumn("same", F.xxhash64("text", "lang", "source"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # Labels are taken out after the texts have become a few numbers, so that no text is shuffled.
+    each = rows.mapInArrow(views, f"doc_id {kind}, same long, {kinds}")
+    each = each.join(labels.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "doc_id", "left_anti")
+    each = each.groupBy("same").agg(F.first("content").alias("content"), F.first("page").alias("page"))
     table = materialize(each.select("content", "page"), "quality-views")
 
     def pool(function: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
