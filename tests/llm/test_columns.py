@@ -70,13 +70,3 @@ def test_pipeline_over_odd_tables(spark, wide_docs, marks, tmp_path, rows):
     assert sorted(result.columns) == sorted(docs.columns)
     assert all(untouched(row) and 0 <= row.shard < corpus_pipeline.SHARDS for row in kept)
     assert (len(kept) > 0) == (rows == "odd")
-
-
-def test_arcs_of_words_survive_packing():
-    own = lattice.Lattice(["▁", "a", "b", "ab", "▁a", "é"])
-    words = ["ab", "", "aéx", "漢a", "a\nb", "x" * 40]
-    weights = lattice.np.log(lattice.np.linspace(0.1, 1, 6 + 256))
-    arcs = own.unpacked(*own.packed(words))
-    assert lattice.np.array_equal(own.log_sums(arcs, weights[:, None]), own.log_probabilities(words, weights[:, None]))
-    assert lattice.np.allclose(own.uses(arcs, weights), own.expected(words, weights))
-    assert [len(column) for column in own.packed([])] == [0, 0, 0, 0]
