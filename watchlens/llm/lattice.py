@@ -98,7 +98,7 @@ class Lattice:
                 start, end = np.append(start, at), np.append(end, at + 1)
                 piece = np.append(piece, np.full(len(at), self.count + 256 + len(extra)))
                 extra.append(c)
-        word = np.searchsorted(begin, start, "right") - 1
+        word = np.repeat(np.arange(len(marked)), lengths + 1)[start]
         return {"start": start, "end": end, "piece": piece, "word": word, "begin": begin, "lengths": lengths, "extra": extra}
 
     def _bytes(self, character: str) -> np.ndarray:
@@ -113,12 +113,16 @@ class Lattice:
     @staticmethod
     def _sweep(level: np.ndarray, to: np.ndarray, frm: np.ndarray, gain: np.ndarray, values: np.ndarray) -> None:
         """values[to] = log sum over arcs of exp(values[from] + gain), level by level."""
-        order = np.lexsort((to, level))
+        order = np.argsort(level * (int(to.max(initial=0)) + 1) + to)
         level, to, frm, gain = level[order], to[order], frm[order], gain[order]
         steps = np.flatnonzero(np.diff(level, prepend=-1))
         for a, b in zip(steps, np.append(steps[1:], len(level)), strict=True):
             heads = np.flatnonzero(np.diff(to[a:b], prepend=-1))
-            values[to[a:b][heads]] = np.logaddexp.reduceat(values[frm[a:b]] + gain[a:b], heads, axis=0)
+            terms = values[frm[a:b]] + gain[a:b]
+            # What no path reaches stays at minus infinity; its terms weigh nothing.
+            most = np.maximum(np.maximum.reduceat(terms, heads, axis=0), -1e300)
+            terms -= np.repeat(most, np.diff(heads, append=b - a), axis=0)
+            values[to[a:b][heads]] = most + np.log(np.add.reduceat(np.exp(terms), heads, axis=0))
 
     def forward(self, arcs: dict, gain: np.ndarray) -> np.ndarray:
         values = np.full((int(arcs["begin"][-1] + arcs["lengths"][-1] + 1), gain.shape[1]), -np.inf)
