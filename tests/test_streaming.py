@@ -13,6 +13,7 @@ from watchlens.operators.ingest import accepted, parse_messages, stored_event
 from watchlens.operators.sessions import active_sessions, session_windows
 from watchlens.operators.stats import heat_map
 from watchlens.schemas import TABLES
+from watchlens.session import ROCKSDB_PROVIDER, STATE_CONF, state_on_disk
 from watchlens.sources import messages
 from watchlens.streaming import metrics, queries, sinks
 
@@ -267,6 +268,22 @@ def test_unfollowed_recommendations_come_out_when_their_time_is_over(spark, tmp_
     assert got == [("u", "c1", "e1"), ("u", "c1", "e2"), ("u", "c2", ""), ("v", "c1", "")]
 
 
+def test_state_is_kept_on_disk_in_a_session_that_says_nothing_of_it(spark, tmp_path):
+    folder = Folder(spark, tmp_path / "events")
+    folder.add(spark.createDataFrame(event_rows([("s", "00:00:10")], 0), EVENT))
+    plain = spark.newSession()
+    for key in STATE_CONF:
+        plain.conf.unset(key)
+    log, checkpoint = str(tmp_path / "log"), tmp_path / "ck"
+    queries.run(queries.session_stream(stream_of(plain, folder)), "on-disk", str(checkpoint), sinks.batch_log(log))
+    assert ROCKSDB_PROVIDER in (checkpoint / "offsets" / "0").read_text()
+    assert [plain.conf.get(key, None) for key in STATE_CONF] == [None] * len(STATE_CONF)
+    plain.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "77")
+    with state_on_disk(plain):
+        kept = {key: plain.conf.get(key) for key in STATE_CONF}
+    assert kept == STATE_CONF | {"spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "77"}
+
+
 def test_recorder_adds_up_what_queries_observe(spark, tmp_path):
     folder = Folder(spark, tmp_path / "messages")
     folder.add(as_messages(spark, [value for value, _ in CASES]))

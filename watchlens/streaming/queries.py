@@ -18,6 +18,7 @@ from watchlens.operators.sessions import session_windows
 from watchlens.schemas import (
     INGEST_TRIGGER, SESSION_GAP_SECONDS, SESSION_TRIGGER, SESSION_WATERMARK, SESSION_WINDOW,
 )
+from watchlens.session import state_on_disk
 from watchlens.streaming.metrics import ProgressRecorder
 from watchlens.streaming.sinks import batch_log, ingest_writer
 
@@ -145,14 +146,15 @@ def start(
 
     `every` is a processing-time trigger such as `3 seconds`; without it the
     query works through what is there and stops. The number of shuffle
-    partitions is fixed by the first run of a checkpoint.
+    partitions is fixed by the first run of a checkpoint. State is kept on disk, see `session.state_on_disk`.
     """
     writer = (
         stream.writeStream.queryName(name).outputMode(output_mode)
         .option("checkpointLocation", checkpoint).foreachBatch(write)
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    with state_on_disk(stream.sparkSession):
+        return writer.start()
 
 
 def run(
