@@ -282,6 +282,25 @@ def test_state_is_kept_on_disk_in_a_session_that_says_nothing_of_it(spark, tmp_p
     with state_on_disk(plain):
         kept = {key: plain.conf.get(key) for key in STATE_CONF}
     assert kept == STATE_CONF | {"spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "77"}
+    plain.conf.set("spark.sql.streaming.stateStore.providerClass", "another.Provider")
+    with state_on_disk(plain):
+        assert plain.conf.get("spark.sql.streaming.join.stateFormatVersion", None) is None
+
+
+def test_a_join_keeps_its_state_in_one_store_a_partition(spark, tmp_path):
+    at = datetime.datetime.fromisoformat("2026-01-01 10:00")
+    recs = spark.createDataFrame([("u", "c", at)], "user_id string, content_id string, created_at timestamp")
+    events = spark.createDataFrame(
+        [("e", "u", "c", "click", at)], "event_id string, user_id string, content_id string, event_type string, timestamp_ts timestamp"
+    )
+    streams = []
+    for name, df in (("recs", recs), ("events", events)):
+        df.write.parquet(str(tmp_path / name))
+        streams.append(messages.file_stream(spark, str(tmp_path / name), df.schema))
+    queries.run(queries.attribution_stream(*streams), "one-store", str(tmp_path / "ck"), sinks.batch_log(str(tmp_path / "log")), "append")
+    assert [r.event_id for r in spark.read.parquet(str(tmp_path / "log")).collect()] == ["e"]
+    stores = [place.name for place in (tmp_path / "ck" / "state" / "0" / "0").iterdir() if place.is_dir()]
+    assert not [name for name in stores if name.startswith(("left-", "right-"))]
 
 
 def test_recorder_adds_up_what_queries_observe(spark, tmp_path):
