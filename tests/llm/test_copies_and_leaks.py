@@ -262,6 +262,22 @@ def test_long_items_are_found_wherever_they_stand(spark, make_docs, size):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(rows), benchmark).collect()} == leaked
 
 
+def test_all_documents_shape_the_space(spark, make_docs):
+    rng = random.Random(3)
+    words = ["amber", "birch", "cedar", "dahlia", "elm", "fern"]
+    rows = [[rng.choice(words[: 2 + k % 5]) for _ in range(rng.randrange(1, 14))] for k in range(1800)]
+    items = decontaminate.Items([1], [[w.encode() for w in words]], [[b"fern"]], [False], {w.encode(): k for k, w in enumerate(words)})
+    docs = make_docs([(k, " ".join(own), "en", "s") for k, own in enumerate(rows)])
+    finder = decontaminate._finder(docs, items)
+    idf = np.array([np.log(1801 / (sum(w in own for own in rows) + 1)) + 0.05 for w in words])
+    different = np.array([[own.count(w) for w in words] for own in {tuple(own) for own in rows}]) * idf
+    gram = different.T @ different
+    # With as many directions as words the space is known: the inverse of all different passages' products, evened.
+    space = finder.rows / idf[:, None]
+    known = np.linalg.inv(gram + decontaminate.EVENING * np.trace(gram) / len(words) * np.eye(len(words)))
+    assert np.allclose(space @ space.T, known, rtol=1e-3, atol=1e-3 * np.abs(known).max())
+
+
 def test_passages_reach_the_end_of_a_text():
     items = decontaminate.Items([1], [[b"w%d" % k for k in range(90)]], [[b"w89"]], [False], {b"w%d" % k: k for k in range(90)})
     finder = decontaminate.Finder(items, np.eye(90), np.ones(90))

@@ -27,13 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchlens.llm.text import bound_batches, texts
+from watchlens.session import materialize
 
 #: Items in one pass over the corpus.
 ITEMS = 5000
-#: Latent directions, spare ones in the random start, power steps, documents whose passages shape the space.
-RANK, SPARE, POWERS, FIT_DOCS = 96, 16, 2, 1500
+#: Latent directions, spare ones in the random start, power steps.
+RANK, SPARE, POWERS = 96, 16, 2
 #: Words in a step between passages, and steps in the shortest passage; sizes double up to the longest item's.
 STEP, SHORTEST = 12, 2
+#: More passages than these weigh as much as these, so that what items weigh beside them does not fall as a corpus grows.
+FULL_WEIGHT = 18_000
 #: Words of an item that shape the space as one row, so that long items do not outweigh the others.
 FIT_WORDS = 96
 #: Steps in the passages that shape the space.
@@ -145,33 +148,68 @@ def read_items(rows: Sequence) -> Items:
     )
 
 
-def document_frequencies(docs: DataFrame, place: dict[bytes, int]) -> tuple[np.ndarray, int]:
+def numbered(docs: DataFrame, place: dict[bytes, int]) -> DataFrame:
+    """A row a document: the vocabulary numbers of its words, a list a passage of PASSAGE steps.
+
+    Written once, so that texts are taken apart once for all that is learned from them.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Numbers(place)
+        for batch in batches:
+            parts, words, sizes = [], [], []
+            for data in texts(batch):
+                steps, numbers = own.passages(raw_words(data))
+                heads = np.flatnonzero(np.diff(steps // PASSAGE, prepend=-1))
+                parts.append(len(heads))
+                sizes.append(np.diff(heads, append=len(numbers)))
+                words.append(numbers)
+            if parts:
+                inner = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), pa.int32()), pa.array(np.concatenate(words), pa.int32())
+                )
+                outer = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(parts)]), pa.int32()), inner)
+                yield pa.RecordBatch.from_arrays([outer], names=["passages"])
+
+    return materialize(docs.select("text").mapInArrow(cut, "passages array<array<int>>"), "passages")
+
+
+def document_frequencies(numbers: DataFrame, size: int) -> tuple[np.ndarray, int]:
     """In how many documents each word of the vocabulary occurs, and how many documents there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rows, numbers = np.zeros(len(place) + 1, np.int64), 0, Numbers(place)
-        there = np.zeros(len(place) + 1, bool)  # the last is for all other words, numbered -1
+        counts = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for data in texts(batch):
-                there[:] = False
-                there[numbers.of(raw_words(data))] = True
-                counts += there
-                rows += 1
-        counts[-1] = rows
+            passages = batch.column(0).flatten()
+            lengths = np.diff(passages.offsets.to_numpy())
+            owner = np.repeat(np.repeat(np.arange(batch.num_rows), np.diff(batch.column(0).offsets.to_numpy())), lengths)
+            once = np.unique(owner * size + passages.flatten().to_numpy())
+            counts[:-1] += np.bincount(once % max(size, 1), minlength=size)
+            counts[-1] += batch.num_rows  # the last counts documents
         there = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], names=["word", "docs"])
 
-    sums = docs.select("text").mapInArrow(run, "word long, docs long").groupBy("word").agg(F.sum("docs").alias("docs"))
-    counts = np.zeros(len(place) + 1)
+    sums = numbers.mapInArrow(run, "word long, docs long").groupBy("word").agg(F.sum("docs").alias("docs"))
+    counts = np.zeros(size + 1)
     for row in sums.collect():  # a row a word of the benchmark at most
         counts[row.word] = row.docs
     return counts[:-1], int(counts[-1])
 
 
-def latent_space(docs: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
+def _gram_product(heads: np.ndarray, numbers: np.ndarray, weighted: np.ndarray, out: np.ndarray) -> None:
+    """Add to `out` what passages, each a row of word numbers, give times their own product with `weighted`."""
+    along = np.add.reduceat(weighted[numbers], heads, axis=0)
+    owner = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(numbers)))
+    order = np.argsort(numbers, kind="stable")
+    words = numbers[order]
+    first = np.flatnonzero(np.diff(words, prepend=-1))
+    out[words[first]] += np.add.reduceat(along[owner[order]], first, axis=0)
+
+
+def latent_space(numbers: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
     """Latent directions (vocabulary by rank) of passages and items, by randomised SVD.
 
-    Products with the passages of FIT_DOCS documents run in Spark; what comes back is one row a
+    Products with the passages of all documents run in Spark; what comes back is one row a
     word of the vocabulary. Items, which all tasks know, are added at the end.
     """
     size = len(items.place)
@@ -191,41 +229,23 @@ def latent_space(docs: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
             np.add.at(out, row, value[:, None] * along)
         return out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(FIT_DOCS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    place = items.place
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Numbers(place)
-        for batch in batches:
-            found = []
-            for data in texts(batch):
-                steps, numbers = own.passages(raw_words(data))
-                heads = np.flatnonzero(np.diff(steps // PASSAGE, prepend=-1))
-                found.append([part.tolist() for part in np.split(numbers, heads[1:])] if len(numbers) else [])
-            kinds = pa.list_(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kinds)], names=["doc_id", "passages"])
-
-    cut_rows = sample.mapInArrow(cut, f"doc_id {kind}, passages array<array<long>>")
-    # A bounded sample: a document counts once, however many rows have its id, and so does a
-    # passage that many documents share, so that a much repeated leak does not shape the space.
-    cut_rows = cut_rows.groupBy("doc_id").agg(F.min("passages").alias("passages"))
-    cut_rows = cut_rows.select(F.explode("passages").alias("numbers")).distinct().persist()
+    # A passage counts once, however many documents share it, so that a much repeated leak does not shape the space.
+    passages = materialize(numbers.select(F.explode("passages").alias("numbers")).distinct(), "different-passages")
+    share = min(1.0, FULL_WEIGHT / max(1, passages.count()))
+    # Every task gives a row a word: as many tasks as there are cores, however many passages.
+    tasks = numbers.sparkSession.sparkContext.defaultParallelism
 
     def corpus_product(basis: np.ndarray) -> np.ndarray:
+        weighted = (idf[:, None] * basis).astype(np.float32)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros_like(basis)
+            out = np.zeros(basis.shape)
             for batch in batches:
                 column = batch.column(0)
-                sizes = np.diff(column.offsets.to_numpy())
-                if len(sizes):
-                    number = column.flatten().to_numpy()
-                    value = idf[number]
-                    heads = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                    along = np.add.reduceat(value[:, None] * basis[number], heads, axis=0)
-                    np.add.at(out, number, value[:, None] * np.repeat(along, sizes, axis=0))
+                heads = np.concatenate([[0], np.cumsum(np.diff(column.offsets.to_numpy()))[:-1]])
+                if len(column):
+                    _gram_product(heads, column.flatten().to_numpy(), weighted, out)
+            out *= share * idf[:, None]
             there = np.flatnonzero(np.abs(out).sum(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(there), *(pa.array(out[there, k]) for k in range(out.shape[1]))],
@@ -233,7 +253,7 @@ def latent_space(docs: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
             )
 
         names = [f"v{k}" for k in range(basis.shape[1])]
-        each = cut_rows.repartition(8).mapInArrow(run, ", ".join(["word long", *[f"{n} double" for n in names]]))
+        each = passages.coalesce(tasks).mapInArrow(run, ", ".join(["word long", *[f"{n} double" for n in names]]))
         found = each.groupBy("word").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
         out = np.zeros_like(basis)
         if len(found):
@@ -241,12 +261,9 @@ def latent_space(docs: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
         return out
 
     basis = np.random.default_rng(12).standard_normal((size, columns))
-    try:
-        for _ in range(POWERS):
-            basis = np.linalg.qr(corpus_product(basis) + item_product(basis))[0]
-        corpus = basis.T @ corpus_product(basis)
-    finally:
-        cut_rows.unpersist()
+    for _ in range(POWERS):
+        basis = np.linalg.qr(corpus_product(basis) + item_product(basis))[0]
+    corpus = basis.T @ corpus_product(basis)
     inner = corpus + basis.T @ item_product(basis)
     values, turns = np.linalg.eigh((inner + inner.T) / 2)
     turns = turns[:, np.argsort(-values)[:rank]]
@@ -400,9 +417,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _finder(rows: DataFrame, items: Items) -> Finder:
-    counts, documents = document_frequencies(rows, items.place)
+    numbers = numbered(rows, items.place)
+    counts, documents = document_frequencies(numbers, len(items.place))
     idf = np.log((documents + 1) / (counts + 1)) + 0.05
-    return Finder(items, latent_space(rows, items, idf), idf)
+    return Finder(items, latent_space(numbers, items, idf), idf)
 
 
 def _search(finder: Finder, items: Items) -> Callable:
