@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from watchlens.session import shared_folder
 from watchlens.sources import messages, testbed
 from watchlens.streaming import queries, sinks
 
-STAGED_FILES = 4
+#: Batches that a staged table comes in, and rows of one of its files.
+STAGED_BATCHES, STAGED_ROWS = 4, 100_000
 # Longer than the data: files of a staged table come in any order, none is late.
 LONG_WATERMARK = "60 days"
 
@@ -33,17 +36,22 @@ def _run_to_log(spark: SparkSession, stream: DataFrame, name: str, mode: str) ->
     return spark.read.parquet(f"{folder}/log")
 
 
-def _staged(spark: SparkSession, folder: str, work: str) -> str:
-    """The events as several files, in ranges of their time."""
+def _files_a_batch(events: DataFrame) -> int:
+    return max(1, math.ceil(events.count() / STAGED_BATCHES / STAGED_ROWS))
+
+
+def _staged(spark: SparkSession, folder: str, work: str) -> DataFrame:
+    """The events as several files, in ranges of their time, that come a part of the files a batch."""
     events = testbed.table(spark, folder, "events")
-    events.repartitionByRange(STAGED_FILES, "ts").write.parquet(f"{work}/staged")
-    return f"{work}/staged"
+    files = _files_a_batch(events)
+    events.repartitionByRange(STAGED_BATCHES * files, "ts").write.parquet(f"{work}/staged")
+    return messages.file_stream(spark, f"{work}/staged", testbed.EVENTS_SCHEMA, max_files_per_trigger=files)
 
 
 def stream_sessions_update(spark: SparkSession, folder: str) -> DataFrame:
     """Events come in several batches; every change of a window replaces its row."""
     work = shared_folder(spark, "sessions-update")
-    raw = messages.file_stream(spark, _staged(spark, folder, work), testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+    raw = _staged(spark, folder, work)
     stream = queries.with_instants(testbed.as_user_events(raw), "timestamp_ts")
     windows = queries.session_stream(stream, "3 hours", LONG_WATERMARK)
     queries.run(windows, "sessions-update", f"{work}/checkpoint", sinks.batch_log(f"{work}/log"), "update")
@@ -87,13 +95,15 @@ def stream_ingest_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "out-of-order")
     events = testbed.table(spark, folder, "events")
     span = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
-    edges = [span.first + (span.last - span.first) * k / STAGED_FILES for k in range(STAGED_FILES)]
-    for k in reversed(range(STAGED_FILES)):
+    files = _files_a_batch(events)
+    edges = [span.first + (span.last - span.first) * k / STAGED_BATCHES for k in range(STAGED_BATCHES)]
+    for k in reversed(range(STAGED_BATCHES)):
         part = events.where(F.col("ts") >= F.lit(edges[k]).cast("timestamp_ntz"))
-        if k + 1 < STAGED_FILES:
+        if k + 1 < STAGED_BATCHES:
             part = part.where(F.col("ts") < F.lit(edges[k + 1]).cast("timestamp_ntz"))
-        part.write.mode("append").parquet(f"{work}/staged")
-    raw = messages.file_stream(spark, f"{work}/staged", testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+        # As many files a part as a batch takes, however many tasks read the events.
+        part.repartition(files).write.mode("append").parquet(f"{work}/staged")
+    raw = messages.file_stream(spark, f"{work}/staged", testbed.EVENTS_SCHEMA, max_files_per_trigger=files)
     _store(testbed.as_messages(raw), "out-of-order", work)
     return sinks.current_events(spark, f"{work}/events")
 
@@ -117,12 +127,12 @@ def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def stream_sessions_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Sessions out of a snapshot made in two steps; the log of the first is gone by the second."""
     work = shared_folder(spark, "snapshot")
-    raw = messages.file_stream(spark, f"{_staged(spark, folder, work)}", testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+    raw = _staged(spark, folder, work)
     stream = queries.with_instants(testbed.as_user_events(raw), "timestamp_ts")
     windows = queries.session_stream(stream, "3 hours", LONG_WATERMARK)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(df, f"{work}/{'early' if batch_id < STAGED_FILES // 2 else 'late'}", batch_id)
+        sinks.write_batch(df, f"{work}/{'early' if batch_id < STAGED_BATCHES // 2 else 'late'}", batch_id)
 
     queries.run(windows, "snapshot", f"{work}/checkpoint", write, "update")
     for log in ("early", "late"):
@@ -161,7 +171,7 @@ def stream_unfollowed(spark: SparkSession, folder: str) -> DataFrame:
 def stream_samples(spark: SparkSession, folder: str) -> DataFrame:
     """The sample of a stream in several batches, out of the batches' own samples."""
     work = shared_folder(spark, "samples")
-    raw = messages.file_stream(spark, _staged(spark, folder, work), testbed.EVENTS_SCHEMA, max_files_per_trigger=1)
+    raw = _staged(spark, folder, work)
     writer = sinks.ingest_writer(f"{work}/events", f"{work}/letters", samples_path=f"{work}/samples")
     queries.run(queries.ingest_stream(testbed.as_messages(raw)), "samples", f"{work}/checkpoint", writer, "append")
     return hash_sample(spark.read.parquet(f"{work}/samples").select("event_id").distinct(), sinks.SAMPLE_ROWS, "event_id")

@@ -303,6 +303,22 @@ def test_a_join_keeps_its_state_in_one_store_a_partition(spark, tmp_path):
     assert not [name for name in stores if name.startswith(("left-", "right-"))]
 
 
+def test_staged_events_come_in_few_batches_of_many_files(spark, tmp_path, monkeypatch):
+    from catalog import streams
+
+    monkeypatch.setattr(streams, "shared_folder", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(streams, "STAGED_ROWS", 50)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    folder = str(tmp_path / "in")
+    events.repartition(12).write.parquet(f"{folder}/events.parquet")
+    assert streams.stream_samples(spark, folder).count() == sinks.SAMPLE_ROWS
+    streams.stream_ingest_out_of_order(spark, folder)
+    for name in ("samples", "out-of-order"):
+        assert len(list((tmp_path / name / "events").glob("batch_id=*"))) == 4
+        files = spark.read.parquet(str(tmp_path / name / "staged")).groupBy(F.input_file_name()).count().collect()
+        assert sum(r["count"] for r in files) == events.count() and max(r["count"] for r in files) <= 200
+
+
 def test_recorder_adds_up_what_queries_observe(spark, tmp_path):
     folder = Folder(spark, tmp_path / "messages")
     folder.add(as_messages(spark, [value for value, _ in CASES]))
