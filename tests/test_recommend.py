@@ -172,3 +172,22 @@ def test_diversity_of_known_lists(spark):
     contents = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y")], "content_id string, genre string")
     got = {r.user_id: (r.list_size, r.diversity) for r in experiment.diversity(lists, contents).collect()}
     assert got == {"u": (3, pytest.approx(2 / 3)), "v": (1, None)}
+
+
+def test_blending_aggregates_without_sorting(spark):
+    lists = {
+        name: spark.createDataFrame(rows, "user_id string, content_id string, score double, rank int")
+        for name, rows in {
+            recommend.SESSION: [("u", "a", 3.0, 1), ("u", "b", 2.0, 2)],
+            recommend.POPULAR: [("u", "b", 9.0, 1), ("u", "c", 8.0, 2), ("v", "b", 9.0, 1)],
+            "own": [("u", "d", None, 1)],
+        }.items()
+    }
+    blended = recommend.blend(lists, 4)
+    rows = [(r.user_id, r.content_id, r.score, r.algorithm, r["rank"]) for r in blended.orderBy("user_id", "rank").collect()]
+    assert rows == [
+        ("u", "a", 3.0, recommend.SESSION, 1), ("u", "b", 2.0, recommend.SESSION, 2), ("u", "c", 8.0, recommend.POPULAR, 3),
+        ("u", "d", None, "own", 4), ("v", "b", 9.0, recommend.POPULAR, 1),
+    ]
+    assert blended.where("content_id = 'd'").first().reason == "own"
+    assert "SortAggregate" not in blended._jdf.queryExecution().executedPlan().toString()

@@ -28,6 +28,8 @@ COLLABORATIVE, SESSION, PREFERENCE, POPULAR = (
 #: Scores are compared at this many decimals, so that the order in which a sum
 #: was added up cannot decide a rank.
 SCORE_DECIMALS = 9
+#: More than any rank in a list.
+RANKS = 2**32
 
 
 def interactions(events: DataFrame) -> DataFrame:
@@ -302,21 +304,28 @@ def blend(sources: dict[str, DataFrame], k: int = RECOMMENDATIONS_PER_USER) -> D
         PREFERENCE: "in a genre you like",
         POPULAR: "popular now",
     }
+    # Place and rank as one number; names and reasons follow from the place, so they are put in at the end.
     offers = [
         df.select(
             "user_id", "content_id", F.col("score").cast("double").alias("score"),
-            F.struct(F.lit(place).alias("place"), F.col("rank").cast("int").alias("rank")).alias("standing"),
-            F.lit(name).alias("algorithm"), F.lit(reasons.get(name, name)).alias("reason"),
+            (F.lit(place).cast("long") * RANKS + F.col("rank").cast("long")).alias("standing"),
         )
         for place, (name, df) in enumerate(sources.items())
     ]
-    first = reduce(DataFrame.unionByName, offers).groupBy("user_id", "content_id").agg(
-        F.min(F.struct("standing", "score", "algorithm", "reason")).alias("offer")
+    # By user at once: a content's offers come from different sources, so nothing combines before the shuffle.
+    all_offers = reduce(DataFrame.unionByName, offers).repartition("user_id")
+    first = all_offers.groupBy("user_id", "content_id").agg(
+        F.min_by("score", "standing").alias("score"), F.min("standing").alias("standing")
     )
-    flat = first.select("user_id", "content_id", "offer.*")
     order = Window.partitionBy("user_id").orderBy("standing", "content_id")
-    return flat.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "user_id", "content_id", "score", "algorithm", "reason", "rank"
+    best = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    def named(texts: list[str]) -> Column:
+        return F.get(F.array(*[F.lit(text) for text in texts]), F.floor(F.col("standing") / RANKS).cast("int"))
+
+    return best.select(
+        "user_id", "content_id", "score", named(list(sources)).alias("algorithm"),
+        named([reasons.get(name, name) for name in sources]).alias("reason"), "rank",
     )
 
 
