@@ -287,6 +287,30 @@ def test_passages_reach_the_end_of_a_text():
         assert max(ends) * decontaminate.STEP >= len(found)
 
 
+def test_numbers_are_those_of_words_without_their_signs():
+    words = [b"a", b"the", b"the\0", b"a\0b", b"\0", "\u00e9t\u00e9".encode(), b"x" * 8, b"x" * 9, b"y" * 64, b"y" * 65]
+    place = {w: 3 * k for k, w in enumerate(words)}
+    rng = random.Random(8)
+    signs = ["", "", ".", "--", "(", "|", "!?"]
+    pool = [w.decode() for w in words] + ["The", "\u00c9T\u00c9", "thes", "x" * 7, "y" * 66, "-", "...", "a-the"]
+    made = [" \t\n\v\f\r"[rng.randrange(6)].join(rng.choice(signs) + rng.choice(pool) + rng.choice(signs) for _ in range(n)) for n in range(60)]
+    data = [text.encode() for text in ["", " ", "  the  ", *made]] + [b"\xff the \xc3"]
+    for text, (at, numbers, count) in zip(data, decontaminate.Numbers(place).passages(data), strict=True):
+        found = decontaminate.raw_words(text)
+        want = [(k, place[w]) for k, word in enumerate(found) for w in decontaminate.bare([word]) if w in place]
+        assert list(zip(at.tolist(), numbers.tolist(), strict=True)) == want and count == len(found)
+
+
+def test_items_are_only_searched_where_their_words_stand_close():
+    words = [b"w%d" % k for k in range(16)]
+    items = decontaminate.Items([1], [words], [words[-3:]], [False], {w: k for k, w in enumerate(words)})
+    finder = decontaminate.Finder(items, np.eye(16), np.ones(16))
+    # Ten of sixteen words must stand within 60.
+    apart = lambda n: [b"x"] * 50 + [w for word in words for w in (word, *[b"x"] * n)] + [b"x"] * 50
+    assert finder.candidates(apart(6)) == {} and list(finder.candidates(apart(5))) == [0]
+    assert list(finder.matches([b" ".join(apart(6)), b" ".join(apart(0))]))[0] == []
+
+
 @pytest.mark.parametrize("cut", [0.2, 0.3])
 def test_items_without_their_end_are_found(spark, make_docs, cut):
     rng = random.Random(40)

@@ -15,11 +15,10 @@ them is bounded.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import compress
-from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +48,19 @@ ITEM_WEIGHT, EVENING = 6.0, 0.05
 LEAST_COMMON, LEAST_ANSWER = 0.6, 0.5
 #: Of an item without an answer of its own, this last part of its words is reported in its place; without it the rest must stand close together.
 ANSWER_PART = 0.2
-#: Words after which a task starts a new table of numbers beside the one before.
-REMEMBERED = 400_000
+#: Bytes of texts whose words are numbered together; machine words of eight bytes by which a word is known, longer ones are looked up.
+TOGETHER, LANES = 1 << 19, 8
+#: Words of the vocabulary, the most frequent first, whose part in products is a dense matrix.
+DENSE = 512
+#: Cells of a table of texts' words by items that is added up at a time.
+CELLS = 1 << 22
 
 _EDGES = b".,;:!?\"'`()[]{}<>*#$%&|_-"
+#: Of each byte: 0 within words, 1 a sign that words lose at their edges, 2 a blank.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[np.frombuffer(_EDGES, np.uint8)], _KINDS[np.frombuffer(b" \t\n\v\f\r", np.uint8)] = 1, 2
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_MULTIPLIERS = np.array([0x9E3779B97F4A7C15 + 0x632BE59BD9B4E018 * k & (1 << 64) - 1 for k in range(LANES)], np.uint64)
 
 
 def bare(words: Iterable[bytes]) -> list[bytes]:
@@ -60,9 +68,13 @@ def bare(words: Iterable[bytes]) -> list[bytes]:
     return [w for word in words if (w := word.strip(_EDGES))]
 
 
+def _lowered(data: bytes) -> bytes:
+    return data.lower() if data.isascii() else data.decode("utf-8", "replace").lower().encode()
+
+
 def raw_words(data: bytes) -> list[bytes]:
     """Lower-case words, letters of all scripts folded."""
-    return (data.lower() if data.isascii() else data.decode("utf-8", "replace").lower().encode()).split()
+    return _lowered(data).split()
 
 
 def split_words(data: bytes) -> list[bytes]:
@@ -75,35 +87,98 @@ def passage_sizes(longest: float) -> np.ndarray:
 
 
 class Numbers:
-    """Vocabulary numbers of words as they stand in texts, -1 of others; remembers what it has seen."""
+    """Vocabulary numbers of words as they stand in texts, many texts at a time.
+
+    A word is known by its bytes, eight to a machine word: these choose a slot, and are compared with all of the slot's words.
+    """
 
     def __init__(self, place: dict[bytes, int]) -> None:
-        self.place = place
-        # Numbers here are higher by two, so that none is zero.
-        self.known: dict[bytes, int] = {}
-        self.older: dict[bytes, int] = {}
-
-    def of(self, words: Sequence[bytes]) -> np.ndarray:
-        row = list(map(self.known.get, words))
-        if None in row:
-            older, place, known = self.older.get, self.place.get, self.known
-            for k in compress(range(len(row)), map(not_, row)):
-                word = words[k]
-                row[k] = known[word] = older(word) or place(word.strip(_EDGES), -1) + 2
-            if len(known) > REMEMBERED:
-                self.older, self.known = {w: n for w, n in known.items() if len(w) <= 64}, {}
-        return np.array(row, np.int64) - 2
-
-    def passages(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Step number and vocabulary number of each word that the vocabulary has."""
-        numbers = self.of(words)
-        at = np.flatnonzero(numbers >= 0)
-        return at // STEP, numbers[at]
-
-
-def common_words(item: Sequence[bytes], region: Sequence[bytes]) -> int:
+        self.lengths = np.array([len(w) for w in place], np.int64)
+        self.numbers = np.array(list(place.values()), np.int64)
+        self.long = {w: n for w, n in place.items() if len(w) > 8 * LANES}
+        self.longest = min(8 * LANES, int(self.lengths.max(initial=0)))
+        own = np.frombuffer(b"".join(w[: 8 * LANES].ljust(8 * LANES, b"\0") for w in place), "<u8").reshape(-1, LANES)
+        self.lanes = own.T.copy()
+        self.shift = np.uint64(64 - max(12, (16 * len(place)).bit_length()))
+        slots = self._slots(np.minimum(self.lengths, 8 * LANES), lambda k, which: self.lanes[k][which])
+        self.order = np.argsort(slots, kind="stable")
+        filled = np.bincount(slots, minlength=1 << (64 - int(self.shift)))
+        self.first, self.filled = (np.cumsum(filled) - filled).astype(np.int32), np.minimum(filled, 1 << 30).astype(np.int32)
+
+    def _slots(self, lengths: np.ndarray, lane: Callable) -> np.ndarray:
+        """The slot of each word; `lane(k, which)` gives eight bytes of the words `which`, zero beyond their ends."""
+        which = np.arange(len(lengths))
+        keys = lane(0, which) * _MULTIPLIERS[0]
+        for k in range(1, LANES):
+            which = which[lengths[which] > 8 * k]
+            if not len(which):
+                break
+            keys[which] = (keys[which] ^ (keys[which] >> np.uint64(29)) ^ lane(k, which)) * _MULTIPLIERS[k]
+        return ((keys ^ (keys >> np.uint64(32))) * _MULTIPLIERS[0] >> self.shift).astype(np.int64)
+
+    def _find(self, whole: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Vocabulary numbers of the words that stand at `start`, -1 of others."""
+        out = np.full(len(start), -1, np.int64)
+        short = np.flatnonzero((length > 0) & (length <= self.longest))
+        start, length = start[short], length[short]
+        eight = np.ndarray((len(whole) - 7,), "<u8", whole, strides=(1,))
+        lane = lambda k, which: eight[start[which] + 8 * k] & _MASKS[np.minimum(length[which] - 8 * k, 8)]
+        slots = self._slots(length, lane)
+        left = np.flatnonzero(self.filled[slots])
+        chain = 0
+        while len(left):
+            word = self.order[self.first[slots[left]] + chain]
+            same = self.lengths[word] == length[left]
+            own, word = left[same], word[same]
+            for k in range(LANES):
+                more = length[own] > 8 * k
+                if not more.any():
+                    break
+                equal = np.ones(len(own), bool)
+                equal[more] = self.lanes[k][word[more]] == lane(k, own[more])
+                own, word = own[equal], word[equal]
+            out[short[own]] = self.numbers[word]
+            chain += 1
+            left = left[self.filled[slots[left]] > chain]
+        return out
+
+    def passages(self, data: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Of each text: place and vocabulary number of each word that the vocabulary has, and the number of words."""
+        begin = 0
+        while begin < len(data):
+            end, size = begin + 1, len(data[begin])
+            while end < len(data) and size + len(data[end]) <= TOGETHER:
+                size += len(data[end])
+                end += 1
+            yield from self._passages([_lowered(text) for text in data[begin:end]])
+            begin = end
+
+    def _passages(self, lowered: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        whole = np.frombuffer(b"".join([b" ", *(part for text in lowered for part in (text, b" ")), b" " * 8 * LANES]), np.uint8)
+        kinds = _KINDS[whole]
+        blank = kinds == 2
+        turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        start, end = turns[::2].copy(), turns[1::2].copy()
+        heads, tails = np.flatnonzero(kinds[start] == 1), np.flatnonzero(kinds[end - 1] == 1)
+        words = np.searchsorted(start, np.cumsum([1, *(len(text) + 1 for text in lowered)]))
+        if len(heads) or len(tails):
+            # Signs at a word's edges are no part of it; of signs only, nothing is left.
+            solid = np.concatenate([[-1], np.flatnonzero(kinds == 0), [len(whole)]])
+            start[heads], end[tails] = solid[np.searchsorted(solid, start[heads])], solid[np.searchsorted(solid, end[tails]) - 1] + 1
+        numbers = self._find(whole, start, end - start)
+        for k in np.flatnonzero(end - start > 8 * LANES) if self.long else ():
+            numbers[k] = self.long.get(whole[start[k] : end[k]].tobytes(), -1)
+        there = np.flatnonzero(numbers >= 0)
+        numbers = numbers[there]
+        parts = np.searchsorted(there, words)
+        for k in range(len(lowered)):
+            own = slice(parts[k], parts[k + 1])
+            yield there[own] - words[k], numbers[own], int(words[k + 1] - words[k])
+
+
+def common_words(item: Sequence[Hashable], region: Sequence[Hashable]) -> int:
     """Length of the longest common subsequence, by bit vectors."""
-    masks: dict[bytes, int] = {}
+    masks: dict[Hashable, int] = {}
     for k, word in enumerate(item):
         masks[word] = masks.get(word, 0) | 1 << k
     full = (1 << len(item)) - 1
@@ -158,9 +233,8 @@ def numbered(docs: DataFrame, place: dict[bytes, int]) -> DataFrame:
         own = Numbers(place)
         for batch in batches:
             parts, words, sizes = [], [], []
-            for data in texts(batch):
-                steps, numbers = own.passages(raw_words(data))
-                heads = np.flatnonzero(np.diff(steps // PASSAGE, prepend=-1))
+            for at, numbers, _ in own.passages(texts(batch)):
+                heads = np.flatnonzero(np.diff(at // (STEP * PASSAGE), prepend=-1))
                 parts.append(len(heads))
                 sizes.append(np.diff(heads, append=len(numbers)))
                 words.append(numbers)
@@ -196,14 +270,35 @@ def document_frequencies(numbers: DataFrame, size: int) -> tuple[np.ndarray, int
     return counts[:-1], int(counts[-1])
 
 
-def _gram_product(heads: np.ndarray, numbers: np.ndarray, weighted: np.ndarray, out: np.ndarray) -> None:
-    """Add to `out` what passages, each a row of word numbers, give times their own product with `weighted`."""
-    along = np.add.reduceat(weighted[numbers], heads, axis=0)
+def _dense_part(heads: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passages by words below DENSE (the most frequent), how often each has each; then owner and number of all other words."""
     owner = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(numbers)))
-    order = np.argsort(numbers, kind="stable")
-    words = numbers[order]
-    first = np.flatnonzero(np.diff(words, prepend=-1))
-    out[words[first]] += np.add.reduceat(along[owner[order]], first, axis=0)
+    frequent = numbers < DENSE
+    cells = np.bincount(owner[frequent] * DENSE + numbers[frequent], minlength=len(heads) * DENSE)
+    rest = ~frequent
+    return cells.astype(np.float32).reshape(len(heads), DENSE), owner[rest], numbers[rest]
+
+
+def _along(parts: tuple, weighted: np.ndarray) -> np.ndarray:
+    """Products of passages, each a row of word numbers, with `weighted`, a row a word."""
+    cells, owner, numbers = parts
+    out = cells[:, : len(weighted)] @ weighted[:DENSE]
+    if len(owner):
+        heads = np.flatnonzero(np.diff(owner, prepend=-1))
+        out[owner[heads]] += np.add.reduceat(weighted[numbers], heads, axis=0)
+    return out
+
+
+def _gram_product(parts: tuple, weighted: np.ndarray, out: np.ndarray) -> None:
+    """Add to `out` what passages give times their own product with `weighted`."""
+    cells, owner, numbers = parts
+    along = _along(parts, weighted)
+    out[:DENSE] += cells[:, : len(out)].T @ along
+    if len(owner):
+        order = np.argsort(numbers, kind="stable")
+        words = numbers[order]
+        first = np.flatnonzero(np.diff(words, prepend=-1))
+        out[words[first]] += np.add.reduceat(along[owner[order]], first, axis=0)
 
 
 def latent_space(numbers: DataFrame, items: Items, idf: np.ndarray) -> np.ndarray:
@@ -235,35 +330,52 @@ def latent_space(numbers: DataFrame, items: Items, idf: np.ndarray) -> np.ndarra
     # Every task gives a row a word: as many tasks as there are cores, however many passages.
     tasks = numbers.sparkSession.sparkContext.defaultParallelism
 
-    def corpus_product(basis: np.ndarray) -> np.ndarray:
-        weighted = (idf[:, None] * basis).astype(np.float32)
+    # In products words stand by how many documents have them.
+    order = np.argsort(idf, kind="stable")
+    ranks = np.argsort(order)
+
+    def over_passages(add: Callable, shape: tuple[int, int]) -> np.ndarray:
+        """The sum of what `add` gives over the passages of all documents; rows that are zero are not sent."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros(basis.shape)
+            out = np.zeros(shape)
             for batch in batches:
                 column = batch.column(0)
                 heads = np.concatenate([[0], np.cumsum(np.diff(column.offsets.to_numpy()))[:-1]])
                 if len(column):
-                    _gram_product(heads, column.flatten().to_numpy(), weighted, out)
-            out *= share * idf[:, None]
+                    add(_dense_part(heads, ranks[column.flatten().to_numpy()]), out)
             there = np.flatnonzero(np.abs(out).sum(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(there), *(pa.array(out[there, k]) for k in range(out.shape[1]))],
-                names=["word", *(f"v{k}" for k in range(out.shape[1]))],
+                names=["row", *(f"v{k}" for k in range(out.shape[1]))],
             )
 
-        names = [f"v{k}" for k in range(basis.shape[1])]
-        each = passages.coalesce(tasks).mapInArrow(run, ", ".join(["word long", *[f"{n} double" for n in names]]))
-        found = each.groupBy("word").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-        out = np.zeros_like(basis)
+        names = [f"v{k}" for k in range(shape[1])]
+        each = passages.coalesce(tasks).mapInArrow(run, ", ".join(["row long", *[f"{n} double" for n in names]]))
+        found = each.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+        out = np.zeros(shape)
         if len(found):
-            out[found["word"].to_numpy()] = found[names].to_numpy()
-        return out
+            out[found["row"].to_numpy()] = found[names].to_numpy()
+        return out * share
+
+    def corpus_product(basis: np.ndarray) -> np.ndarray:
+        weighted = (idf[:, None] * basis).astype(np.float32)[order]
+        return idf[:, None] * over_passages(lambda parts, out: _gram_product(parts, weighted, out), basis.shape)[ranks]
+
+    def corpus_inside(basis: np.ndarray) -> np.ndarray:
+        """The passages' own products along the basis."""
+        weighted = (idf[:, None] * basis).astype(np.float32)[order]
+
+        def add(parts: tuple, out: np.ndarray) -> None:
+            along = _along(parts, weighted)
+            out += along.T @ along
+
+        return over_passages(add, (basis.shape[1], basis.shape[1]))
 
     basis = np.random.default_rng(12).standard_normal((size, columns))
     for _ in range(POWERS):
         basis = np.linalg.qr(corpus_product(basis) + item_product(basis))[0]
-    corpus = basis.T @ corpus_product(basis)
+    corpus = corpus_inside(basis)
     inner = corpus + basis.T @ item_product(basis)
     values, turns = np.linalg.eigh((inner + inner.T) / 2)
     turns = turns[:, np.argsort(-values)[:rank]]
@@ -294,72 +406,141 @@ class Finder:
         sizes = passage_sizes(want.max())
         self.size = sizes[np.abs(np.log2(sizes[None] / np.maximum(want[:, None], 0.1))).argmin(axis=1)]
         # How often each item has each word, and how many words in common the least verified match has.
-        self.times = np.zeros((len(items.place), len(items.words)), np.int16)
+        kind = np.int16 if max(map(len, items.words)) < 1 << 15 else np.int32
+        self.times = np.zeros((len(items.place), len(items.words)), kind)
         for k, words in enumerate(items.words):
             np.add.at(self.times[:, k], [items.place[w] for w in words], 1)
         self.least = np.array([math.ceil(LEAST_COMMON * len(words) - 1e-9) for words in items.words])
         self.groups = [(size, np.flatnonzero(self.size == size)) for size in np.unique(self.size).tolist()]
-        widest = [max(2 * self._reach(int(k), size) for k in set(self.owner[mine])) // STEP + 2 for size, mine in self.groups]
-        # Groups whose stretches are of about one size share the widest.
-        self.widest = [max(w for w in widest if w < 4 * wide) for wide in widest]
+        # Each item's words, and how often it has each.
+        self.words, self.often = zip(*(np.unique([items.place[w] for w in words], return_counts=True) for words in items.words), strict=True)
+        # The widest region in which an item is verified.
+        self.width = [2 * self._reach(k, max(self.size[self.owner == k].tolist())) for k in range(len(items.words))]
+        self.turn = np.full(len(items.place), -1)
 
     def _reach(self, item: int, size: int) -> int:
         """Words before and after a passage's middle in which an item is verified."""
         return max(len(self.items.words[item]), size * STEP) * 3 // 4 + STEP
 
-    def possible(self, steps: np.ndarray, numbers: np.ndarray, count: int, wide: int) -> np.ndarray:
-        """Stretch by item: whether enough of the item's words for a match stand in the stretch at all.
+    def _of_item(self, numbers: np.ndarray, item: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the words are the item's, and which of its words they are."""
+        self.turn[self.words[item]] = np.arange(len(self.words[item]))
+        turns = self.turn[numbers]
+        self.turn[self.words[item]] = -1
+        own = np.flatnonzero(turns >= 0)
+        return own, turns[own]
+
+    def possible(self, at: np.ndarray, numbers: np.ndarray, item: int) -> bool:
+        """Whether enough of an item's words for a match stand in any region as wide as it is verified in.
 
-        Stretch k is of `2 * wide` steps from step `k * wide`, so that all that is `wide` long lies in one.
         What is left out here could not be verified.
         """
-        stretches = max(1, -(-count // wide) - 1)
-        out = np.empty((stretches, len(self.least)), bool)
-        for k in range(stretches):
-            inside = numbers if stretches == 1 else numbers[np.searchsorted(steps, k * wide) : np.searchsorted(steps, (k + 2) * wide)]
-            there = np.zeros(len(self.times), bool)
-            there[inside] = True
-            out[k] = self.times[there].sum(axis=0, dtype=np.int32) >= self.least
+        own, turns = self._of_item(numbers, item)
+        least, width, stands = int(self.least[item]), self.width[item], at[own]
+        if len(own) < least or not (stands[least - 1 :] - stands[: len(own) - least + 1] < width).any():
+            return False
+        # Every region lies in one of the stretches that are twice as wide, each half over the next one.
+        part, kinds = stands // width, len(self.often[item])
+        cells = np.bincount(part * kinds + turns, minlength=(int(part[-1]) + 2) * kinds).reshape(-1, kinds) > 0
+        enough = np.flatnonzero((cells[:-1] | cells[1:]) @ self.often[item] >= least)
+        ends = np.searchsorted(part, [enough, enough + 2]).T.tolist()
+        return any(self._close(stands[a:b].tolist(), turns[a:b].tolist(), item) for a, b in ends)
+
+    def _close(self, stands: list[int], turns: list[int], item: int) -> bool:
+        least, width, left = int(self.least[item]), self.width[item], self.often[item].tolist()
+        first = have = 0
+        for place, word in zip(stands, turns, strict=True):
+            while stands[first] <= place - width:
+                left[turns[first]] += 1
+                have -= left[turns[first]] > 0
+                first += 1
+            left[word] -= 1
+            have += left[word] >= 0
+            if have >= least:
+                return True
+        return False
+
+    def _enough(self, numbers: Sequence[np.ndarray]) -> list[list[int]]:
+        """Of each text: the items that have enough words for a match in it, wherever they stand."""
+        out: list[list[int]] = [[]] * len(numbers)
+        size, most = len(self.times), max(1, CELLS // len(self.least))
+        once = [np.flatnonzero(np.bincount(own, minlength=size)) if 4 * len(own) > size else np.unique(own) for own in numbers]
+        lists = [k for k, own in enumerate(once) if len(own)]
+        ends = np.cumsum([len(once[k]) for k in lists])
+        at = 0
+        while at < len(lists):
+            begin = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, begin + most, side="right")))
+            heads = np.concatenate([[0], ends[at : to - 1] - begin])
+            # No sum is over an item's number of words.
+            sums = np.add.reduceat(self.times[np.concatenate([once[k] for k in lists[at:to]])], heads, axis=0)
+            there = sums >= self.least
+            for k in np.flatnonzero(there.any(axis=1)).tolist():
+                out[lists[at + k]] = np.flatnonzero(there[k]).tolist()
+            at = to
         return out
 
+    def possible_items(self, read: Sequence[tuple[np.ndarray, np.ndarray, int]]) -> list[list[int]]:
+        """Of each text: the items of which enough words for a match stand close enough together."""
+        found = self._enough([numbers for _, numbers, _ in read])
+        return [[item for item in items if self.possible(at, numbers, item)] for items, (at, numbers, _) in zip(found, read, strict=True)]
+
     def candidates(self, found: Sequence[bytes]) -> dict[int, list[tuple[int, int, float]]]:
         """Item number -> passages (first step, steps, cosine) that come close to it."""
-        steps, numbers = self.numbers.passages(found)
-        if not len(numbers):
-            return {}
-        count = len(found) // STEP + 1
-        may = {wide: self.possible(steps, numbers, count, wide) for wide in set(self.widest)}
-        if not any(stretches.any() for stretches in may.values()):
+        read = list(self.numbers.passages([b" ".join(found)]))
+        return self._candidates(*read[0], self.possible_items(read)[0])
+
+    def _candidates(self, at: np.ndarray, numbers: np.ndarray, words: int, items: list[int]) -> dict[int, list[tuple[int, int, float]]]:
+        if not items:
             return {}
+        steps, count = at // STEP, words // STEP + 1
         heads = np.flatnonzero(np.diff(steps, prepend=-1))
         sums = np.zeros((count + 1, self.rows.shape[1]), np.float32)
         sums[steps[heads] + 1] = np.add.reduceat(self.rows[numbers], heads, axis=0)
         sums = np.cumsum(sums, axis=0, dtype=np.float64)
         close: dict[int, list[tuple[int, int, float]]] = {}
-        for (size, mine), wide in zip(self.groups, self.widest, strict=True):
-            open_ = may[wide][:, self.owner[mine]]
-            mine, open_ = mine[open_.any(axis=0)], open_[:, open_.any(axis=0)]
+        for size, mine in self.groups:
+            mine = mine[np.isin(self.owner[mine], items)]
             if not len(mine):
                 continue
             last = max(0, count - size)  # a passage ends where the text does
             start = np.append(np.arange(0, last, size // 2), last)
-            # The stretch that holds all in which a passage's items are verified.
-            stretch = np.clip((start + size // 2 - wide // 2) // wide, 0, len(open_) - 1)
-            inside = open_.any(axis=1)[stretch]
-            start, stretch = start[inside], stretch[inside]
             passages = sums[np.minimum(start + size, count)] - sums[start]
             along = passages @ self.unit[mine].T
             norms = np.maximum(np.linalg.norm(passages, axis=1), 1e-9)
-            good = (along >= LEAST_COSINE * norms[:, None]) & (along >= LEAST_ENERGY * self.lengths[mine][None]) & open_[stretch]
-            for at, item in zip(*np.nonzero(good), strict=True):
-                close.setdefault(int(self.owner[mine[item]]), []).append((int(start[at]), size, float(along[at, item] / norms[at])))
+            good = (along >= LEAST_COSINE * norms[:, None]) & (along >= LEAST_ENERGY * self.lengths[mine][None])
+            for at_, item in zip(*(found.tolist() for found in np.nonzero(good)), strict=True):
+                close.setdefault(int(self.owner[mine[item]]), []).append((int(start[at_]), size, float(along[at_, item] / norms[at_])))
         return close
 
-    def matches(self, data: bytes) -> list[tuple[int, float, float, float]]:
-        """(item number, cosine, share of the item in common, share of its answer found) of verified items."""
-        found = raw_words(data)
+    def matches(self, data: Sequence[bytes]) -> Iterator[list[tuple[int, float, float, float]]]:
+        """Of each text: (item number, cosine, share of the item in common, share of its answer found) of verified items."""
+        read = list(self.numbers.passages(data))
+        for text, own, items in zip(data, read, self.possible_items(read), strict=True):
+            close = self._verifiable(*own[:2], self._candidates(*own, items))
+            yield self._verified(raw_words(text), close) if close else []
+
+    def _verifiable(self, at: np.ndarray, numbers: np.ndarray, close: dict[int, list[tuple[int, int, float]]]) -> dict[int, list[tuple[int, int, float]]]:
+        """The candidates with enough of the item's words in order around them, read off the vocabulary numbers."""
+        out = {}
+        for item, places in close.items():
+            own, _ = self._of_item(numbers, item)
+            stands, words = at[own].tolist(), numbers[own].tolist()
+            of_item, least = [self.items.place[w] for w in self.items.words[item]], int(self.least[item])
+            good = []
+            for step, size, cosine in places:
+                middle = step * STEP + size * STEP // 2
+                reach = self._reach(item, size)
+                begin, end = bisect_left(stands, middle - reach), bisect_left(stands, middle + reach)
+                if end - begin >= least and common_words(of_item, words[begin:end]) >= least:
+                    good.append((step, size, cosine))
+            if good:
+                out[item] = good
+        return out
+
+    def _verified(self, found: Sequence[bytes], close: dict[int, list[tuple[int, int, float]]]) -> list[tuple[int, float, float, float]]:
         out = []
-        for item, places in sorted(self.candidates(found).items()):
+        for item, places in sorted(close.items()):
             words, answer = self.items.words[item], Counter(self.items.answers[item])
             best = None
             for step, size, cosine in places:
@@ -427,8 +608,8 @@ def _search(finder: Finder, items: Items) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, hits = [], []
-            for row, data in enumerate(texts(batch)):
-                for hit in finder.matches(data):
+            for row, found in enumerate(finder.matches(texts(batch))):
+                for hit in found:
                     at.append(row)
                     hits.append(hit)
             if hits:
@@ -454,7 +635,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], finder: Finder = finder) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array([not finder.matches(data) for data in texts(batch)], pa.bool_()))
+                yield batch.filter(pa.array([not found for found in finder.matches(texts(batch))], pa.bool_()))
 
         inside = inside.mapInArrow(run, inside.schema)
     return inside.select("__row.*")
