@@ -6,6 +6,7 @@ from collections import defaultdict
 from itertools import product
 from zlib import crc32
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,19 @@ def test_pieces_and_sequences_hold_every_id_once(spark, make_docs, odd_docs, mon
     assert sorted(got) == want
 
 
+def test_words_of_plain_letters_are_read_without_a_look_at_each(monkeypatch):
+    looked = []
+    monkeypatch.setattr(packing, "_stem", lambda word, own=packing._stem: looked.append(word) or own(word))
+    tokenizer = packing.load_tokenizer(PATH)
+    encode = packing.Encoder(tokenizer)
+    texts = ["The the THE running Running, x! a.b " + "Long" * 20, "the \u00c9t\u00e9 \u00e9t\u00e9. <| " + "Long" * 20 + " ...", ""]
+    for _ in range(2):
+        got = [np.frombuffer(ids, encode.kind).tolist() for ids in encode.ids([text.encode() for text in texts])]
+        assert got == [one.ids for one in encode.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert looked and not any(word.isalpha() for word in looked)
+    assert max(map(len, [*encode.known, *encode.stems])) <= packing.LONGEST_WORD
+
+
 def test_packing_an_empty_table(spark, make_docs):
     cut = packing.windows(make_docs([]), packing.load_tokenizer(PATH), 1)
     assert packing.pieces(cut).collect() == [] and packing.sequences(cut).collect() == []

@@ -13,7 +13,7 @@ import json
 import os
 import unicodedata
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain, compress
 from operator import not_
 from pathlib import Path
 
@@ -84,17 +84,26 @@ class Encoder:
         return here
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        parts = [_stem(word) for word in words]
         if len(self.stems) > REMEMBERED_STEMS:
             self.stems.clear()
-        new = list({part for both in parts for part in both if part}.difference(self.stems))
-        plain = [stem for stem in new if _is_small_letters(stem)]
-        rest = list(set(new).difference(plain))
+        # Words of A-Z and a-z alone are their own stems and need no look at their characters.
+        letters = [word for word in words if word.isalpha()]
+        small = list(map(bytes.lower, letters))
+        others = [word for word in words if not word.isalpha()]
+        parts = list(map(_stem, others))
+        plain = set(small).difference(self.stems)
+        new = set(chain.from_iterable(parts)).difference(self.stems, plain, (b"",))
+        more = [stem for stem in new if _is_small_letters(stem)]
+        rest = list(new.difference(more))
         here = dict(zip(rest, self._one_by_one(rest), strict=True)) if rest else {}
-        here.update(self._letters(plain))
-        self.stems.update((stem, ids) for stem, ids in here.items() if len(stem) <= LONGEST_WORD)
-        find = lambda part: self.stems.get(part) or here.get(part, b"")
-        return {word: find(stem) + find(sign) for word, (stem, sign) in zip(words, parts, strict=True)}
+        here.update(self._letters([*plain, *more]))
+        _remember(self.stems, here)
+        known = self.stems.get
+        out = {word: known(stem) or here.get(stem, b"") for word, stem in zip(letters, small, strict=True)}
+        for word, (stem, sign) in zip(others, parts, strict=True):
+            ids = known(stem) or here.get(stem, b"")
+            out[word] = ids + (known(sign) or here.get(sign, b"")) if sign else ids
+        return out
 
     def ids(self, data: list[bytes]) -> Iterator[bytes]:
         """Each text's ids, as bytes."""
@@ -105,16 +114,25 @@ class Encoder:
         found = [list(map(find, each)) for each in words]
         gaps = [list(compress(range(len(ids)), map(not_, ids))) if None in ids else [] for ids in found]
         unknown = {each[k] for each, gap in zip(words, gaps, strict=True) for k in gap}
-        here = {word: self.older[word] for word in unknown if word in self.older}
+        here = {word: self.older[word] for word in unknown.intersection(self.older)} if self.older else {}
         here |= self._learn(list(unknown.difference(here)))
         for ids, each, gap in zip(found, words, gaps, strict=True):
             for k in gap:
                 ids[k] = here[each[k]]
-        self.known.update((word, ids) for word, ids in here.items() if len(word) <= LONGEST_WORD)
+        _remember(self.known, here)
         return map(b"".join, found)
 
 
+def _remember(known: dict[bytes, bytes], here: dict[bytes, bytes]) -> None:
+    known.update(here)
+    for word in here:
+        if len(word) > LONGEST_WORD:
+            known.pop(word)
+
+
 def _is_small_letters(stem: bytes) -> bool:
+    if stem.isalpha():
+        return stem.islower()
     text = stem.decode("utf-8", "replace")
     return text.isalpha() and text.lower() == text and unicodedata.is_normalized("NFC", text)
 
@@ -127,6 +145,8 @@ def _stem(word: bytes) -> tuple[bytes, bytes]:
     """
     stem, sign = (word[:-1], word[-1:]) if word[-1] in SIGNS and len(word) > 1 else (word, b"")
     small = stem.lower()
+    if stem.isalpha():
+        return small, sign
     if stem.isascii():
         sure = b"<|" not in stem and (not sign or stem[-1:].isalpha())
     else:
