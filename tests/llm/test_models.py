@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 from zlib import crc32
 
@@ -135,6 +136,26 @@ def test_every_unlabelled_document_takes_part(spark):
 # Language model
 
 
+def test_lattice_arcs_and_classes_at_once():
+    pieces = ["\u2581", "\u2581a", "a", "b", "ab", "ba", "abab", "\u00e9", "\u00e9b"]
+    own = lattice.Lattice(pieces)
+    rng = random.Random(4)
+    words = ["".join(rng.choice("ab\u00e9x") for _ in range(rng.randrange(0, 9))) for _ in range(200)]
+    arcs = own.arcs(words)
+    got = sorted(zip(arcs["start"].tolist(), arcs["end"].tolist(), arcs["piece"].tolist(), strict=True))
+    want = []
+    for word, begin in zip(words, arcs["begin"].tolist(), strict=True):
+        marked = lattice.BLANK + word
+        for a in range(len(marked)):
+            want += [(begin + a, begin + a + len(p), k) for k, p in enumerate(pieces) if marked.startswith(p, a)]
+            want += [(begin + a, begin + a + 1, len(pieces) + 256)] if marked[a] == "x" else []
+    assert got == sorted(want)
+    weights = np.log(np.random.default_rng(1).dirichlet(np.ones(len(pieces) + 256), 3).T)
+    kinds = np.arange(len(words)) % 3
+    each = [own.expected([w for w, k in zip(words, kinds, strict=True) if k == kind], weights[:, kind]) for kind in range(3)]
+    assert np.allclose(own.expected_by_class(words, kinds, weights), np.stack(each, axis=1))
+
+
 def test_lattice_sums_over_all_segmentations():
     pieces = ["▁", "a", "b", "ab", "▁a", "▁ab", "ba"]
     weights = np.log(np.append(np.arange(1, 8), np.full(256, 0.01)))

@@ -22,9 +22,7 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain, islice
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -67,12 +65,62 @@ class Lattice:
 
     def __init__(self, pieces: Sequence[str]) -> None:
         self.count = len(pieces)
-        self.sizes = np.array([len(p) for p in pieces], np.int64)
         self.single = {p for p in pieces if len(p) == 1}
-        self.finder = ahocorasick.Automaton()
+        # A tree of the pieces' characters: children by (node, character), sorted by hash slots, and the piece that ends at a node.
+        letters = {c: k for k, c in enumerate(sorted(set("".join(pieces))))}
+        self.letter = np.full(0x110000, -1, np.int32)
+        self.letter[[ord(c) for c in letters]] = range(len(letters))
+        self.letters, children, ends = max(1, len(letters)), {}, [-1]
         for k, piece in enumerate(pieces):
-            self.finder.add_word(piece, k)
-        self.finder.make_automaton()
+            node = 0
+            for c in piece:
+                key = node * self.letters + letters[c]
+                node = children.setdefault(key, len(ends))
+                if node == len(ends):
+                    ends.append(-1)
+            ends[node] = k
+        self.ends = np.array(ends, np.int64)
+        keys = np.fromiter(children.keys(), np.int64, len(children))
+        self.shift = np.uint64(64 - (4 * len(keys)).bit_length())
+        order = np.argsort(self._slots(keys), kind="stable")
+        self.keys, self.nodes = keys[order], np.fromiter(children.values(), np.int64, len(children))[order]
+        self.filled = np.bincount(self._slots(keys), minlength=1 << (64 - int(self.shift)))
+        self.first = np.cumsum(self.filled) - self.filled
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def _children(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The nodes' children along letters, -1 where there are none."""
+        keys, out = node * self.letters + letter, np.full(len(node), -1, np.int64)
+        slots = self._slots(keys)
+        left = np.flatnonzero((self.filled[slots] > 0) & (letter >= 0))
+        chain = 0
+        while len(left):
+            at = self.first[slots[left]] + chain
+            same = self.keys[at] == keys[left]
+            out[left[same]] = self.nodes[at[same]]
+            chain += 1
+            left = left[~same]
+            left = left[self.filled[slots[left]] > chain]
+        return out
+
+    def _pieces_in(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and number of every piece that stands in `letters`; all places go down the tree together."""
+        starts, ends, found = [], [], []
+        at, node, depth = np.arange(len(letters)), np.zeros(len(letters), np.int64), 0
+        while len(at):
+            node = self._children(node, letters[at + depth])
+            depth += 1
+            on = node >= 0
+            at, node = at[on], node[on]
+            whole = self.ends[node] >= 0
+            starts.append(at[whole])
+            ends.append(at[whole] + depth)
+            found.append(self.ends[node[whole]])
+            inside = at + depth < len(letters)
+            at, node = at[inside], node[inside]
+        return tuple(np.concatenate(part) if part else np.zeros(0, np.int64) for part in (starts, ends, found))
 
     def arcs(self, words: Sequence[str]) -> dict:
         """Arcs of the words' lattices; characters are numbered through, with a gap after each word."""
@@ -80,19 +128,16 @@ class Lattice:
         lengths = np.array([len(w) for w in marked], np.int64)
         begin = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
         joined = "\n".join(marked)
-        found, parts = self.finder.iter(joined), []
-        while len(part := np.fromiter(chain.from_iterable(islice(found, 1 << 18)), np.int64)):
-            parts.append(part.reshape(-1, 2))
-        pairs = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
-        piece, end = pairs[:, 1], pairs[:, 0] + 1
-        start = end - self.sizes[piece]
+        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters = self.letter[chars]
+        letters[(begin + lengths)[:-1]] = -1
+        start, end, piece = self._pieces_in(letters)
         # A character outside the vocabulary is one more piece, made of its bytes.
         others = [c for c in set(joined) - self.single if c != "\n" or any("\n" in w for w in words)]
         extra: list[str] = []
         if others:
             inside = np.ones(len(joined), bool)
             inside[(begin + lengths)[:-1]] = False
-            chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
             for c in sorted(others):
                 at = np.flatnonzero((chars == ord(c)) & inside)
                 start, end = np.append(start, at), np.append(end, at + 1)
@@ -140,15 +185,22 @@ class Lattice:
 
     def expected(self, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
         """How often each piece is used, over all segmentations of words that occur once each."""
-        arcs = self.arcs(words)
-        gain = self.log_weights(arcs, weights[:, None])
+        return self.expected_by_class(words, np.zeros(len(words), np.int64), weights[:, None])[:, 0]
+
+    def expected_by_class(self, words: Sequence[str], kinds: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """`expected` of words that each belong to a class, under its weights (pieces by classes)."""
+        arcs, classes = self.arcs(words), weights.shape[1]
+        spelt = [weights[self._bytes(c)].sum(axis=0) for c in arcs["extra"]]
+        kind = kinds[arcs["word"]]
+        gain = (np.concatenate([weights, spelt]) if spelt else weights)[arcs["piece"], kind][:, None]
         ahead = self.forward(arcs, gain)
         behind = np.full(ahead.shape, -np.inf)
         last = arcs["begin"] + arcs["lengths"]
         behind[last] = 0.0
         self._sweep(last[arcs["word"]] - arcs["start"], arcs["start"], arcs["end"], gain, behind)
         share = np.exp((ahead[arcs["start"]] + gain + behind[arcs["end"]] - ahead[last][arcs["word"]])[:, 0])
-        uses = np.bincount(arcs["piece"], share, self.count + 256 + len(arcs["extra"]))
+        size = self.count + 256 + len(arcs["extra"])
+        uses = np.bincount(arcs["piece"] * classes + kind, share, size * classes).reshape(size, classes)
         for k, c in enumerate(arcs["extra"]):
             np.add.at(uses, self._bytes(c), uses[self.count + 256 + k])
         return uses[: self.count + 256]
@@ -173,10 +225,11 @@ def fit(counted: DataFrame, classes: int, vocabulary: Vocabulary, rounds: int =
             for batch in batches:
                 for part in slices(batch, GROUP_WORDS):
                     words = _strings(part)
-                    for k in range(classes):
-                        own = np.flatnonzero(part.column(k + 1).to_numpy(zero_copy_only=False) > 0)
-                        if len(own):
-                            total[:, k] += lattice.expected([words[i] for i in own], weights[:, k])
+                    # A word counts once in each class that has it.
+                    used = np.stack([part.column(k + 1).to_numpy(zero_copy_only=False) for k in range(classes)], axis=1) > 0
+                    own, kinds = np.nonzero(used)
+                    if len(own):
+                        total += lattice.expected_by_class([words[i] for i in own.tolist()], kinds, weights)
             piece, kind = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece, pa.int32()), pa.array(kind, pa.int32()), pa.array(total[piece, kind])],
