@@ -101,6 +101,38 @@ def test_words_of_plain_letters_are_read_without_a_look_at_each(monkeypatch):
     assert max(map(len, [*encode.known, *encode.stems])) <= packing.LONGEST_WORD
 
 
+def test_a_batch_asks_for_each_part_of_a_word_once():
+    asked = []
+
+    class Known(dict):
+        def get(self, part, default=None):
+            asked.append(part)
+            return super().get(part, default)
+
+    encode = packing.Encoder(packing.load_tokenizer(PATH))
+    encode.known = Known()
+    texts = [" The the THE, the!? (the) 2019; 2019 l\u2019\u00e9t\u00e9, \u00e9t\u00e9 \u00e9t\u00e9&&& " * 20, "the,\n" * 30, ""] * 10
+    got = [np.frombuffer(ids, encode.kind).tolist() for ids in encode.ids([text.encode() for text in texts])]
+    assert got == [one.ids for one in encode.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert 0 < len(asked) == len(set(asked)) <= 12
+
+
+def test_signs_after_any_character_equal_the_library(monkeypatch):
+    ends = ["", "\u00e9", "\u00c9", "\u0130", "\u0131", "\u03a3", "\u03c2", "\u00df", "\u017f", "\u01c5", "e\u0301", "\u0345", "\u00aa", "\u00b2", "\u2167", "\u0663", "\u6f22", "\x7f", "\x1c", "\xa0", "\u2019", "9", "Z"]
+    signs = [",", "!!", "'s", "'", "<|", "|>", "<|endoftext|>", "&&&", ".'", "=\u0338", "-"]
+    words = [start + end + sign for start, end, sign in product(["", "a", "X1", "\u00d1"], ends, signs)]
+    encode = packing.Encoder(packing.load_tokenizer(PATH))
+    monkeypatch.setattr(packing, "REMEMBERED", 300)
+    monkeypatch.setattr(packing, "REMEMBERED_STEMS", 10)
+    for k in range(4):
+        texts = [" ".join(random.Random(k).sample(words, 40)) for _ in range(3)] + words[k::4]
+        got = [np.frombuffer(ids, encode.kind).tolist() + [1] for ids in encode.ids([text.encode() for text in texts])]
+        assert got == library_ids(texts)
+    broken = [b"a\xff, the\xc3 \xe2\x82. b", b"\xc3", b"fine"]
+    got = [np.frombuffer(ids, encode.kind).tolist() + [1] for ids in encode.ids(broken)]
+    assert got == library_ids([text.decode("utf-8", "replace") for text in broken])
+
+
 def test_packing_an_empty_table(spark, make_docs):
     cut = packing.windows(make_docs([]), packing.load_tokenizer(PATH), 1)
     assert packing.pieces(cut).collect() == [] and packing.sequences(cut).collect() == []

@@ -13,12 +13,12 @@ import json
 import os
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain, compress
-from operator import not_
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,13 +28,15 @@ from watchlens.session import materialize, shared_folder
 
 #: Most ids of a document in one row between the passes; longer documents take several rows.
 ROW_IDS = 1 << 16
-#: Words after which a Python worker starts a new table beside the one before, stems after which it
-#: starts anew, and the longest word that it remembers.
-REMEMBERED, REMEMBERED_STEMS, LONGEST_WORD = 400_000, 500_000, 64
+#: Parts of words after which a Python worker starts a new table beside the one before, stems of odd words after
+#: which it starts anew, and the longest part that it remembers.
+REMEMBERED, REMEMBERED_STEMS, LONGEST_WORD = 600_000, 200_000, 64
 #: Stems that the tokenizer reads together, and what ends the last piece of a word.
 TOGETHER, WORD_END = 200, "</w>"
-#: Signs that are cut off before a word is looked up.
-SIGNS = b".,;:!?"
+#: Signs that are cut off a word's end before it is looked up: all of ASCII's.
+SIGNS = bytes(sign for sign in range(33, 127) if not chr(sign).isalnum())
+#: For each byte, whether it is an ASCII letter or digit.
+PLAIN = np.array([chr(byte).isalnum() and byte < 128 for byte in range(256)])
 #: Partitions whose totals are added up in one window task, and how many starts are broadcast at most.
 BLOCK, BROADCAST_STARTS = 1024, 1 << 20
 #: Bytes of an id in packed sequences (little-endian, unsigned).
@@ -44,9 +46,10 @@ ID_BYTES = 4
 class Encoder:
     """Ids of whole texts by a tokenizer that reads words between blanks one by one.
 
-    `load_tokenizer` refuses others. Words met before are looked up. Of a new word the tokenizer reads the
-    stem, in lower case and without a last sign, where that is sure to give the same ids; stems of small letters alone
-    need no normalising and are read many at a time, as each gives just one piece that ends a word.
+    `load_tokenizer` refuses others. A batch's different words are found and cut into stem and signs in Arrow, and
+    put together again there; only their different parts are looked up one by one. A stem goes in lower case, and
+    without the signs at its end, where that is sure to give the same ids; stems of small letters alone need no
+    normalising and are read many at a time, as each gives just one piece that ends a word.
     """
 
     def __init__(self, tokenizer: str):
@@ -83,44 +86,90 @@ class Encoder:
             here.update((stem, data[begin:end]) for stem, begin, end in zip(group, [0, *ends[:-1]], ends, strict=True))
         return here
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
         if len(self.stems) > REMEMBERED_STEMS:
             self.stems.clear()
-        # Words of A-Z and a-z alone are their own stems and need no look at their characters.
-        letters = [word for word in words if word.isalpha()]
-        small = list(map(bytes.lower, letters))
-        others = [word for word in words if not word.isalpha()]
-        parts = list(map(_stem, others))
-        plain = set(small).difference(self.stems)
-        new = set(chain.from_iterable(parts)).difference(self.stems, plain, (b"",))
+        # Parts of small letters a-z need no look at their characters.
+        letters = [part for part in parts if part.isalpha() and part.islower()]
+        others = list(set(parts).difference(letters))
+        cut = list(map(_stem, others))
+        new = set(chain.from_iterable(cut)).difference(self.stems).difference(letters, (b"",))
         more = [stem for stem in new if _is_small_letters(stem)]
         rest = list(new.difference(more))
         here = dict(zip(rest, self._one_by_one(rest), strict=True)) if rest else {}
-        here.update(self._letters([*plain, *more]))
-        _remember(self.stems, here)
+        here.update(self._letters([*letters, *more]))
         known = self.stems.get
-        out = {word: known(stem) or here.get(stem, b"") for word, stem in zip(letters, small, strict=True)}
-        for word, (stem, sign) in zip(others, parts, strict=True):
-            ids = known(stem) or here.get(stem, b"")
-            out[word] = ids + (known(sign) or here.get(sign, b"")) if sign else ids
+        find = lambda part: known(part) or here.get(part, b"")
+        out = {part: here[part] for part in letters}
+        out.update((part, find(stem) + find(sign) if sign else find(stem)) for part, (stem, sign) in zip(others, cut, strict=True))
+        _remember(self.stems, {stem: here[stem] for stem in new.difference(out)})
         return out
 
-    def ids(self, data: list[bytes]) -> Iterator[bytes]:
-        """Each text's ids, as bytes."""
+    def _find(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of different parts, looked up or learnt."""
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
-        words = [text.split() for text in data]
-        find = self.known.get
-        found = [list(map(find, each)) for each in words]
-        gaps = [list(compress(range(len(ids)), map(not_, ids))) if None in ids else [] for ids in found]
-        unknown = {each[k] for each, gap in zip(words, gaps, strict=True) for k in gap}
-        here = {word: self.older[word] for word in unknown.intersection(self.older)} if self.older else {}
+        found = list(map(self.known.get, parts))
+        gaps = [k for k, ids in enumerate(found) if ids is None]
+        unknown = {parts[k] for k in gaps}
+        here = {part: self.older[part] for part in unknown.intersection(self.older)} if self.older else {}
         here |= self._learn(list(unknown.difference(here)))
-        for ids, each, gap in zip(found, words, gaps, strict=True):
-            for k in gap:
-                ids[k] = here[each[k]]
+        for k in gaps:
+            found[k] = here[parts[k]]
         _remember(self.known, here)
-        return map(b"".join, found)
+        return found
+
+    def ids(self, data: list[bytes]) -> Iterator[bytes]:
+        """Each text's ids, as bytes."""
+        texts = pa.array(data, pa.large_binary()).view(pa.large_string())
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            data = [text.decode("utf-8", "replace").encode() for text in data]
+            texts = pa.array(data, pa.large_binary()).view(pa.large_string())
+        words = pc.ascii_split_whitespace(texts)
+        codes = words.flatten().dictionary_encode()
+        parts = _parts(codes.dictionary).dictionary_encode()
+        found = self._find(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends, ids = _buffers(pa.array(found, pa.large_binary()).take(parts.indices))
+        # A word's parts lie side by side, so that every other end is a word's.
+        by_word = pa.Array.from_buffers(pa.large_binary(), len(codes.dictionary), [None, pa.py_buffer(ends[::2].copy()), pa.py_buffer(ids)])
+        ends, ids = _buffers(by_word.take(codes.indices))
+        ends = ends[words.offsets.to_numpy()].tolist()
+        return (bytes(ids[begin:end]) for begin, end in zip(ends[:-1], ends[1:], strict=True))
+
+
+def _buffers(values: pa.LargeBinaryArray) -> tuple[np.ndarray, memoryview]:
+    """Where values begin and end in their bytes, and those bytes."""
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int64)[values.offset : values.offset + len(values) + 1] if ends else np.zeros(1, np.int64)
+    return ends, memoryview(data or b"")
+
+
+def _parts(words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+    """Two parts a word, whose ids together are the word's: a stem and its last signs, or the whole word and nothing.
+
+    Stems have a-z for A-Z. What `_stem` says of one word holds here for many; words with characters from U+0300 on, which
+    may change when they are normalised, with U+0130, or with other characters than letters beyond ASCII are left to it.
+    """
+    stems = pc.ascii_rtrim(words, SIGNS.decode())
+    ends, data = _buffers(words)
+    lengths = pc.binary_length(stems).to_numpy()
+    cuts = ends[:-1] + lengths
+    ascii_only = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+    last = np.frombuffer(data, np.uint8)[np.maximum(cuts - 1, 0)] if len(data) else np.zeros(len(words), np.uint8)
+    special = pc.match_substring(words, "<|").to_numpy(zero_copy_only=False)
+    sure = ascii_only & (PLAIN[last] | (cuts == ends[1:])) & ~special
+    other = np.flatnonzero(~ascii_only)
+    beyond = stems.take(pa.array(other))
+    letters = pc.and_(pc.utf8_is_alpha(beyond), pc.invert(pc.match_substring_regex(beyond, r"[\x{130}\x{300}-\x{10ffff}]")))
+    sure[other] = letters.to_numpy(zero_copy_only=False)
+    sure |= lengths == 0
+    both = np.empty(2 * len(words) + 1, np.int64)
+    both[::2], both[1::2] = ends, np.where(sure, cuts, ends[1:])
+    small = pc.if_else(pa.array(sure), pc.ascii_lower(words), words)
+    begins, data = _buffers(small)
+    return pa.Array.from_buffers(pa.large_binary(), 2 * len(words), [None, pa.py_buffer(both - ends[0] + begins[0]), pa.py_buffer(data)])
 
 
 def _remember(known: dict[bytes, bytes], here: dict[bytes, bytes]) -> None:
@@ -138,23 +187,23 @@ def _is_small_letters(stem: bytes) -> bool:
 
 
 def _stem(word: bytes) -> tuple[bytes, bytes]:
-    """A word as stem and last sign, whose ids together are the word's; the whole word where that is not sure.
+    """A word as stem and last signs, whose ids together are the word's; the whole word where that is not sure.
 
-    A sign after a letter is a piece of its own, and A-Z become small, as long as the characters stay as they are when they
-    are normalised.
+    Signs after a letter or digit are a piece of their own, and A-Z become small, as long as the characters stay as they are when
+    they are normalised. Small U+0130 ends in a mark that is read with the signs.
     """
-    stem, sign = (word[:-1], word[-1:]) if word[-1] in SIGNS and len(word) > 1 else (word, b"")
-    small = stem.lower()
+    stem = word.rstrip(SIGNS) or word
+    small, sign = stem.lower(), word[len(stem) :]
     if stem.isalpha():
         return small, sign
     if stem.isascii():
-        sure = b"<|" not in stem and (not sign or stem[-1:].isalpha())
+        sure = b"<|" not in stem and (not sign or stem[-1:].isalnum())
     else:
         try:
             text = stem.decode()
         except UnicodeDecodeError:
             return word, b""
-        sure = "<|" not in text and (not sign or text[-1].isalpha())
+        sure = "<|" not in text and (not sign or text[-1].isalpha() and text[-1] != "\u0130")
         sure = sure and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", small.decode())
     return (small, sign) if sure else (word, b"")
 
