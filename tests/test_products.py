@@ -45,6 +45,26 @@ def test_larger_catalogues_are_joined(spark, monkeypatch):
         products.best_products(matrix, "user_id", np.zeros((25, 25)), [], 1, 9)
 
 
+@pytest.mark.parametrize("block", [7, 1024])
+def test_model_scores_in_blocks_equal_those_of_crossed_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(products, "BLOCK_ROWS", block)
+    matrix = random_matrix(spark, 8 + block).unionByName(spark.createDataFrame([("all", f"c{c:02d}", 1) for c in range(24)], "user_id string, content_id string, weight int"))
+    in_blocks = recommend.als_recommendations(matrix, 5)
+    assert "Cartesian" not in (plan := in_blocks._jdf.queryExecution().executedPlan().toString()) and "NestedLoop" not in plan
+    monkeypatch.setattr(products, "LARGEST_CATALOGUE", 24)
+    crossed = recommend.als_recommendations(matrix, 5)
+    assert in_blocks.columns == crossed.columns and in_blocks.dtypes == crossed.dtypes
+    got, want = lists(in_blocks), lists(crossed)
+    assert [row[:2] for row in got] == [row[:2] for row in want] and len(got) == 90 * 5 + 1
+    assert [row[3] for row in got] == pytest.approx([row[3] for row in want], abs=1e-4)
+    known = {(r.user_id, r.content_id) for r in matrix.collect()}
+    assert not known & {(user, content) for user, _, content, _ in got}
+    # Contents may change places only where their scores are as good as equal.
+    assert sum(one[2] != other[2] for one, other in zip(got, want, strict=True)) <= 4
+    with pytest.raises(ValueError):
+        products.best_by_factors(matrix, "user_id", np.zeros((25, 2)), list(range(25)), 1)
+
+
 def test_scoring_shuffles_no_scores(spark):
     plan = recommend.user_cf(random_matrix(spark, 6))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan

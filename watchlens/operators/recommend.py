@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from watchlens.functions.identity import ab_group
 from watchlens.functions.weights import interaction_weight
-from watchlens.plans.products import best_products, catalogue, gram, rows_of
+from watchlens.plans.products import best_by_factors, best_products, catalogue, gram, rows_of
 from watchlens.plans.skew import group_pairs, sharded_join
 from watchlens.schemas import RECOMMENDATION_TTL_SECONDS, RECOMMENDATIONS_PER_USER
 from watchlens.session import materialize
@@ -145,9 +145,9 @@ def als_recommendations(
 ) -> DataFrame:
     """Model-based collaborative filtering for user counts where exact scoring costs too much.
 
-    Runs the model at once. Contents that the user knows are left out: users are scored in groups by how many they
-    know, in powers of two, so that each is asked for `k` and at most twice as many more as it knows itself, and the best `k` of
-    the others stay.
+    Runs the model at once. Contents that the user knows are left out. Where the catalogue's factors fit every task (see
+    `plans.products`), users are scored in blocks, all at once too, and only their lists are written. Larger catalogues meet the users
+    block by block, as Spark's model has it.
     """
     from pyspark.ml.recommendation import ALS
 
@@ -160,6 +160,23 @@ def als_recommendations(
     if matrix.isEmpty():
         return matrix.select("user_id", "content_id", F.lit(0.0).alias("score"), F.lit(1).alias("rank")).where(F.lit(False))
     model = als.fit(numbered.select("user_id_no", "content_id_no", F.col("weight").cast("float").alias("weight")))
+    items = catalogue(matrix, "content_id")
+    if items is None:
+        return als_crossed(model, numbered, users, contents, k)
+    found = model.itemFactors.join(contents, F.col("id") == F.col("content_id_no")).select("content_id", "features").collect()
+    lines = {r.content_id: r.features for r in found}
+    factors = np.array([lines[item] for item in items], np.float32)
+    profiles = rows_of(matrix, "user_id", "content_id").join(users, "user_id").join(model.userFactors, F.col("user_id_no") == F.col("id"))
+    best = materialize(best_by_factors(profiles, "user_id", factors, items, k), "als-lists")
+    return best.withColumnRenamed("item", "content_id")
+
+
+def als_crossed(model, numbered: DataFrame, users: DataFrame, contents: DataFrame, k: int) -> DataFrame:
+    """`als_recommendations` for catalogues of any size.
+
+    Users are scored in groups by how many contents they know, in powers of two, so that each is asked for `k` and at most twice
+    as many more as it knows itself, and the best `k` of the others stay.
+    """
     grouped = numbered.groupBy("user_id_no").agg(F.ceil(F.log2(F.count(F.lit(1)))).cast("int").alias("level"))
     grouped = materialize(grouped, "als-users")
     # As many levels as a count of contents has binary digits.
@@ -171,7 +188,7 @@ def als_recommendations(
         F.col("item.rating").cast("double").alias("score"), (F.col("position") + 1).alias("rank"),
     )
     named = flat.join(users, "user_id_no").join(contents, "content_id_no")
-    unknown = named.join(matrix.select("user_id", "content_id"), ["user_id", "content_id"], "left_anti")
+    unknown = named.join(numbered.select("user_id", "content_id"), ["user_id", "content_id"], "left_anti")
     order = Window.partitionBy("user_id").orderBy("rank", "content_id")
     ranked = unknown.select("user_id", "content_id", "score", F.row_number().over(order).alias("rank"))
     return ranked.where(F.col("rank") <= k)

@@ -129,3 +129,37 @@ def best_products(
             )
 
     return rows.select(row, "items", "weights").mapInArrow(run, f"{row} {kind}, item {item_kind}, score double, rank int")
+
+
+def best_by_factors(rows: DataFrame, row: str, factors: np.ndarray, items: list, k: int) -> DataFrame:
+    """The `k` items whose factors give the highest product with a row's, of those that it does not hold: (row, item, score, rank).
+
+    `rows` have `features` and `items`; line n of `factors` is item n's. Equal scores go by the order of `items`.
+    """
+    if len(items) > LARGEST_CATALOGUE:
+        raise ValueError("the catalogue is too large to be sent to every task")
+    kind, item_kind = rows.schema[row].dataType.simpleString(), rows.schema["items"].dataType.elementType.simpleString()
+    sent, block_rows = rows.sparkSession.sparkContext.broadcast((factors, items)), BLOCK_ROWS
+    _, blocks, _ = _helpers()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        lines, names = sent.value
+        place = pa.array(names)
+        for batch in blocks(batches, block_rows):
+            features = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            scores = features @ lines.T
+            held = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+            open_ = np.ones(scores.shape, bool)
+            open_[held, pc.index_in(batch.column(2).flatten(), place).to_numpy(zero_copy_only=False).astype(np.int64)] = False
+            order = np.argsort(np.where(open_, -scores, np.inf), axis=1, kind="stable")[:, :k]
+            chosen = open_[np.arange(batch.num_rows)[:, None], order]
+            which, rank = np.nonzero(chosen)
+            found = order[chosen]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(which)), place.take(pa.array(found)), pa.array(scores[which, found].astype(float)), pa.array(rank + 1, pa.int32())],
+                names=[row, "item", "score", "rank"],
+            )
+
+    return rows.select(row, "features", "items").mapInArrow(run, f"{row} {kind}, item {item_kind}, score double, rank int")
